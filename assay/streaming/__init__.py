@@ -1,0 +1 @@
+"""The workload is daily and weekly batch; no streaming operator is defined."""
