@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from assay.functions.aggregates import pearson
+
 BLOCKS = 64
 WHOLE = "__all"
 
@@ -21,15 +23,21 @@ def _grouped(df: DataFrame, groups: list[str]) -> tuple[DataFrame, list[str]]:
     return (df, groups) if groups else (df.withColumn(WHOLE, F.lit(0)), [WHOLE])
 
 
-def value_blocks(df: DataFrame, groups: list[str], value: str, blocks: int = BLOCKS) -> DataFrame:
-    """(groups, value, cnt, block, before, n): counts per value with block offsets."""
+def _blocked_counts(df: DataFrame, groups: list[str], value: str, blocks: int) -> tuple[DataFrame, DataFrame]:
+    """Counts per value with their block, and the offset of each block.
+
+    Both results start from the same (groups, value, cnt) shuffle, which Spark
+    runs once and reuses; ``n`` comes from the cut table so that every use
+    needs the same columns of it.
+    """
     counts = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*groups, value)
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
     cuts = counts.groupBy(*groups).agg(
-        F.percentile_approx(value, [i / blocks for i in range(1, blocks)], 1000).alias("cuts")
+        F.percentile_approx(value, [i / blocks for i in range(1, blocks)], 1000).alias("cuts"),
+        F.sum("cnt").alias("n"),
     )
     blocked = (
         counts.join(cuts, groups)
@@ -37,18 +45,12 @@ def value_blocks(df: DataFrame, groups: list[str], value: str, blocks: int = BLO
         .drop("cuts")
     )
     # at most `blocks` rows per group from here on
-    sizes = blocked.groupBy(*groups, "block").agg(F.sum("cnt").alias("block_n"))
+    sizes = blocked.groupBy(*groups, "block", "n").agg(F.sum("cnt").alias("block_n"))
     earlier = (
         Window.partitionBy(*groups).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = sizes.select(
-        *groups,
-        "block",
-        "block_n",
-        F.coalesce(F.sum("block_n").over(earlier), F.lit(0)).alias("before"),
-        F.sum("block_n").over(Window.partitionBy(*groups)).alias("n"),
-    )
-    return blocked.join(offsets, [*groups, "block"])
+    offsets = sizes.withColumn("before", F.coalesce(F.sum("block_n").over(earlier), F.lit(0)))
+    return blocked.drop("n"), offsets
 
 
 def average_ranks(df: DataFrame, groups: list[str], value: str) -> DataFrame:
@@ -58,7 +60,8 @@ def average_ranks(df: DataFrame, groups: list[str], value: str) -> DataFrame:
         Window.partitionBy(*keys, "block").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     )
     lower = F.col("before") + F.coalesce(F.sum("cnt").over(inside), F.lit(0))
-    return value_blocks(df, keys, value).select(
+    blocked, offsets = _blocked_counts(df, keys, value, BLOCKS)
+    return blocked.join(offsets, [*keys, "block"]).select(
         *groups, value, (lower + (F.col("cnt") + 1) / 2).alias("avg_rank"), "n"
     )
 
@@ -75,6 +78,15 @@ def with_average_rank(df: DataFrame, groups: list[str], value: str, out: str) ->
     return df.join(ranks, [*groups, value], "left")
 
 
+def spearman(df: DataFrame, groups: list[str], x: str, y: str, least_rows: int = 2) -> DataFrame:
+    """(groups, n, rank_ic): Pearson r of average ranks over complete pairs."""
+    d, keys = _grouped(df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()), groups)
+    ranked = with_average_rank(with_average_rank(d, keys, x, "__rx"), keys, y, "__ry")
+    return ranked.groupBy(*keys).agg(
+        F.count("*").alias("n"), pearson("__rx", "__ry", least_rows).alias("rank_ic")
+    ).select(*groups, "n", "rank_ic")
+
+
 def exact_quantiles(
     df: DataFrame, groups: list[str], value: str, probabilities: list[float]
 ) -> DataFrame:
@@ -83,13 +95,10 @@ def exact_quantiles(
     Only the blocks that hold a wanted position are looked into.
     """
     df, keys = _grouped(df, groups)
-    blocked = value_blocks(df, keys, value)
+    blocked, offsets = _blocked_counts(df, keys, value, BLOCKS)
     inside = Window.partitionBy(*keys, "block").orderBy(value)
-    p = F.explode(F.array(*[F.lit(float(x)) for x in probabilities]))
     wanted = (
-        blocked.select(*keys, "block", "before", "block_n", "n")
-        .distinct()
-        .withColumn("p", p)
+        offsets.withColumn("p", F.explode(F.array(*[F.lit(float(x)) for x in probabilities])))
         .withColumn("pos", F.col("p") * (F.col("n") - 1))
         .withColumn("lo", F.floor("pos"))
         .withColumn("hi", F.ceil("pos"))
@@ -97,18 +106,15 @@ def exact_quantiles(
             (F.col("hi") >= F.col("before"))
             & (F.col("lo") < F.col("before") + F.col("block_n"))
         )
-        .select(*keys, "block", "p", "pos", "lo", "hi")
-    )
-    spans = (
-        blocked.join(wanted.select(*keys, "block").distinct(), [*keys, "block"], "left_semi")
-        .withColumn("end", F.col("before") + F.sum("cnt").over(inside))
-        .withColumn("start", F.col("end") - F.col("cnt"))
-        .select(*keys, "block", F.col(value).alias("v"), "start", "end")
     )
+    # one row per wanted position and block: at most two blocks per position
+    in_block = blocked.withColumn("start", F.sum("cnt").over(inside) - F.col("cnt"))
+    spans = in_block.join(wanted, [*keys, "block"]).withColumn(
+        "start", F.col("before") + F.col("start")).withColumn(
+        "end", F.col("start") + F.col("cnt")).withColumn("v", F.col(value))
     hit = lambda k: (F.col(k) >= F.col("start")) & (F.col(k) < F.col("end"))
     return (
-        spans.join(wanted, [*keys, "block"])
-        .groupBy(*keys, "p", "pos", "lo")
+        spans.groupBy(*keys, "p", "pos", "lo")
         .agg(
             F.max(F.when(hit("lo"), F.col("v"))).alias("v_lo"),
             F.max(F.when(hit("hi"), F.col("v"))).alias("v_hi"),

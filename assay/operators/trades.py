@@ -61,8 +61,12 @@ def exit_timing_summary(timed: DataFrame, min_roundtrips: int = 5) -> DataFrame:
         rnd(F.avg("realized_return_pct"), 2).alias("avg_realized_return"),
         rnd(F.avg("capture_ratio"), 2).alias("avg_capture_ratio"),
     )
-    for col, out in (("mfe_pct", "median_mfe"), ("mae_pct", "median_mae")):
-        row = row.join(F.broadcast(exact_quantiles(timed, [], col, [0.5]).select(rnd("quantile", 2).alias(out))))
+    long = timed.select(F.explode(F.array(
+        F.struct(F.lit("median_mfe").alias("m"), F.col("mfe_pct").alias("v")),
+        F.struct(F.lit("median_mae").alias("m"), F.col("mae_pct").alias("v")))).alias("x")).select("x.*")
+    medians = exact_quantiles(long, ["m"], "v", [0.5])
+    row = row.join(F.broadcast(medians.agg(*[  # one row
+        rnd(F.max(F.when(F.col("m") == m, F.col("quantile"))), 2).alias(m) for m in ("median_mfe", "median_mae")])))
     capture = F.col("avg_capture_ratio")
     diagnosis = (
         F.when(capture < 0.3, "exits_too_early")

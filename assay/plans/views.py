@@ -344,6 +344,17 @@ def _fill(text: str, names: dict[str, str]) -> str:
     return text
 
 
+# Aggregated or windowed views that several operators of one query read.  On a
+# cluster that names a shared folder they are written once per application, so
+# the fact table is not scanned again for each of them; a written table also
+# survives the loss of executors.  Without such a folder they stay lazy.
+SHARED = {
+    "cells", "round_trips", "predictor_outcomes", "universe_returns", "brand_bars",
+    "event_bars", "features", "event_outcomes", "order_log",
+}
+_written: set[str] = set()
+
+
 class Tables:
     """Lazy access to base tables and domain views of one data folder."""
 
@@ -357,10 +368,21 @@ class Tables:
             if name in BASE:
                 df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             else:
-                df = self._view(name)
+                df = self._shared(name) if name in SHARED else self._view(name)
             self._cache[name] = df
         return self._cache[name]
 
+    def _shared(self, name: str) -> DataFrame:
+        folder = self.spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            return self._view(name)
+        app = self.spark.sparkContext.applicationId
+        path = f"{folder.rstrip('/')}/assay/{app}/{re.sub(r'[^0-9A-Za-z]+', '_', self.sf_dir)}/{name}"
+        if path not in _written:
+            self._view(name).write.mode("overwrite").parquet(path)
+            _written.add(path)
+        return self.spark.read.parquet(path)
+
     def _view(self, name: str) -> DataFrame:
         # registered under a private name; Spark resolves the plan right away
         needed = placeholders(VIEWS[name])
