@@ -334,6 +334,41 @@ FROM {{trades}} t JOIN {{combos}} c ON t.research_score >= c.min_score + 30
 """
 
 
+VIEWS["market_state"] = f"""
+SELECT {_T} AS ticker, c.date, CASE WHEN c.okey % 31 = 0 THEN NULL ELSE c.px END AS close, {r('c.px_hi + 1', 4)} AS high,
+       CASE WHEN c.okey % 8 = 0 THEN NULL ELSE {r('1 + c.disc * 60', 4)} END AS atr_dollar, 20 + c.qmax AS rsi_14,
+       CASE WHEN c.okey % 12 = 0 THEN NULL ELSE {r('c.tax * 500 - 25', 4)} END AS momentum_20d, {r('c.disc * 4 - 0.2e0', 4)} AS lookback_return
+FROM {{cells}} c
+"""
+
+VIEWS["ticker_sectors"] = """
+SELECT concat('S', CAST(s_suppkey AS VARCHAR(20))) AS ticker, r_name AS sector, concat('X', CAST(r_regionkey AS VARCHAR(20))) AS sector_etf
+FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
+"""
+
+VIEWS["fund_returns"] = f"""
+SELECT d.sector_etf, m.date, {r('avg(m.lookback_return)', 4)} AS fund_return
+FROM {{market_state}} m JOIN {{ticker_sectors}} d ON m.ticker = d.ticker WHERE d.sector_etf <> 'X4' GROUP BY d.sector_etf, m.date
+"""
+
+# Buy candidates with everything the entry rules look at.
+VIEWS["candidates"] = f"""
+SELECT {_T} AS ticker, c.date, 50 + c.qmax AS score,
+       CASE c.pkey % 3 WHEN 0 THEN 'declining' WHEN 1 THEN 'stable' ELSE 'rising' END AS conviction,
+       CASE c.okey % 4 WHEN 0 THEN 'overweight' WHEN 1 THEN 'underweight' ELSE 'market_weight' END AS sector_rating,
+       CASE WHEN c.pkey % 5 = 0 THEN NULL ELSE {r('c.disc * 2', 4)} END AS upside,
+       CASE WHEN c.pkey % 7 = 0 THEN NULL ELSE {r('0.005e0 + c.tax', 4)} END AS atr_pct,
+       CASE WHEN c.okey % 6 = 0 THEN NULL ELSE {r('0.5e0 + (c.okey % 50) / 100e0', 4)} END AS confidence,
+       CASE WHEN c.okey % 9 = 0 THEN NULL ELSE {r('(c.pkey % 100) / 100e0', 4)} END AS p_up,
+       CASE WHEN c.pkey % 11 < 4 THEN NULL ELSE CAST(c.pkey % 11 AS INT) END AS days_to_earnings,
+       CASE WHEN c.okey % 5 = 0 THEN NULL ELSE {r('(c.okey % 10) / 10e0', 4)} END AS coverage,
+       CASE WHEN c.okey % 12 = 0 THEN NULL ELSE {r('c.tax * 300 - 8', 4)} END AS momentum_20d,
+       c.okey % 15 = 0 AS model_veto, CAST(c.pkey % 12 AS INT) AS signal_age_days,
+       CASE WHEN c.okey % 31 = 0 THEN NULL ELSE c.px END AS price
+FROM {{cells}} c WHERE c.line = 6
+"""
+
+
 def placeholders(text: str) -> list[str]:
     return [n for n in dict.fromkeys(re.findall(r"\{([a-z_]+)\}", text)) if n in VIEWS or n in BASE]
 
@@ -350,7 +385,7 @@ def _fill(text: str, names: dict[str, str]) -> str:
 # survives the loss of executors.  Without such a folder they stay lazy.
 SHARED = {
     "cells", "round_trips", "predictor_outcomes", "universe_returns", "brand_bars",
-    "event_bars", "features", "event_outcomes", "order_log",
+    "event_bars", "features", "event_outcomes", "order_log", "market_state",
 }
 _written: set[str] = set()
 
