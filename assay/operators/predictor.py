@@ -441,9 +441,10 @@ def boost_correlations(joined: DataFrame, boosts: list[str], least: int = 20) ->
     """Correlation of each boost with beating the benchmark; one pass, one row per boost."""
     aggs = []
     for b in boosts:
-        v = F.coalesce(F.col(b).cast("double"), F.lit(0.0))
+        v = F.col(b).cast("double")
         aggs.append(F.struct(
-            F.lit(b).alias("boost"), F.count(F.col("beat_spy_10d")).alias("n"),
+            F.lit(b).alias("boost"),
+            F.count_if(v.isNotNull() & F.col("beat_spy_10d").isNotNull()).alias("n"),
             F.count_if(v != 0).alias("n_nonzero"), rnd(F.avg(F.when(v != 0, v)), 4).alias("mean_nonzero"),
             rnd(pearson(v, "beat_spy_10d", least), 6).alias("r_10d"),
             rnd(pearson(v, "beat_spy_30d", least), 6).alias("r_30d")).alias(b))

@@ -287,7 +287,8 @@ SELECT o_orderkey AS doc_id, CAST(o_orderdate AS DATE) AS doc_date,
        ELSE concat('{"date": "', CAST(CAST(o_orderdate AS DATE) AS VARCHAR(20)), '"',
          CASE WHEN o_orderkey % 6 = 0 THEN '' ELSE concat(', "market_regime": "', CASE month(o_orderdate) % 4 WHEN 0 THEN 'bull' WHEN 1 THEN 'neutral' WHEN 2 THEN 'bear' ELSE 'caution' END, '"') END,
          ', "sector_ratings": {"Sec', CAST(o_custkey % 5 AS VARCHAR(20)), '": {"rating": "', CASE o_custkey % 3 WHEN 0 THEN 'overweight' WHEN 1 THEN 'market_weight' ELSE 'underweight' END, '", "modifier": 1.0}}',
-         CASE WHEN o_orderkey % 2 = 0 THEN concat(', "signals": {"S', CAST(o_custkey AS VARCHAR(20)), '": {"signal": "', CASE o_custkey % 4 WHEN 0 THEN 'EXIT' WHEN 1 THEN 'HOLD' ELSE 'ENTER' END, '", "score": ', CASE WHEN o_orderkey % 10 = 0 THEN 'null' ELSE CAST(50 + o_orderkey % 50 AS VARCHAR(20)) END, ', "sub_scores": {"technical": 50, "news": ', CASE WHEN o_orderkey % 8 = 0 THEN 'null' ELSE CAST(o_orderkey % 91 AS VARCHAR(20)) END, ', "research": ', CAST(o_orderkey % 83 AS VARCHAR(20)), '}}}')
+         CASE WHEN o_orderkey % 2 = 0 THEN concat(', "signals": {"S', CAST(o_custkey AS VARCHAR(20)), '": {"signal": "', CASE o_custkey % 4 WHEN 0 THEN 'EXIT' WHEN 1 THEN 'HOLD' ELSE 'ENTER' END, '", "score": ', CASE WHEN o_orderkey % 10 = 0 THEN 'null' ELSE CAST(50 + o_orderkey % 50 AS VARCHAR(20)) END, ', "rating": "', CASE WHEN o_custkey % 3 = 0 THEN 'HOLD' ELSE 'BUY' END, '", "sub_scores": {"technical": 50, "news": ', CASE WHEN o_orderkey % 8 = 0 THEN 'null' ELSE CAST(o_orderkey % 91 AS VARCHAR(20)) END, ', "research": ', CAST(o_orderkey % 83 AS VARCHAR(20)), '}}}')
+              WHEN o_orderkey % 4 = 1 THEN concat(', "signals": [{"ticker": "S', CAST(o_custkey AS VARCHAR(20)), '", "rating": "BUY", "score": ', CAST(55 + o_orderkey % 45 AS VARCHAR(20)), '}]')
               ELSE '' END,
          ', "universe": [{"ticker": "S', CAST(o_custkey AS VARCHAR(20)), '", "signal": "', CASE o_orderkey % 3 WHEN 0 THEN 'EXIT' WHEN 1 THEN 'HOLD' ELSE 'REDUCE' END, '", "score": ', CAST(40 + o_orderkey % 55 AS VARCHAR(20)), ', "conviction": "stable", "sector": "Sec', CAST(o_custkey % 5 AS VARCHAR(20)), '", "sub_scores": {"quant": ', CAST(o_orderkey % 97 AS VARCHAR(20)), ', "qual": ', CAST(o_orderkey % 89 AS VARCHAR(20)), '}, "short_interest_adj": ', CAST(o_orderkey % 6 AS VARCHAR(20)), '}, ',
          '{"ticker": "s', CAST(o_custkey + 1 AS VARCHAR(20)), '", "signal": "HOLD", "score": ', CAST(30 + o_orderkey % 60 AS VARCHAR(20)), ', "conviction": "declining", "sector": "Sec', CAST((o_custkey + 1) % 5 AS VARCHAR(20)), '", "quant_score": ', CAST(o_orderkey % 79 AS VARCHAR(20)), ', "qual_score": ', CAST(o_orderkey % 73 AS VARCHAR(20)), '}]',
@@ -307,6 +308,33 @@ FROM {{orders}}
 """
 # JSON braces are doubled in the text above only where the view is an f-string.
 
+VIEWS["training_docs"] = f"""
+SELECT p_partkey AS version, concat('{{"feature_ics": {{"rsi_14": ', CAST({r('(p_size - 25) / 100e0', 4)} AS VARCHAR(20)), ', "breadth": ', CAST({r('p_size / 500e0', 4)} AS VARCHAR(20)), '}}',
+       CASE WHEN p_partkey % 3 = 0 THEN '' ELSE concat(', "walk_forward": {{"median_ic": ', CAST({r('p_size / 400e0', 4)} AS VARCHAR(20)), '}}') END,
+       CASE WHEN p_partkey % 6 = 0 THEN '' ELSE concat(', "test_ic": ', CAST({r('p_size / 300e0', 4)} AS VARCHAR(20))) END,
+       CASE WHEN p_partkey % 4 = 0 THEN ', "noise_candidates": ["breadth", "rsi_14"]' ELSE '' END,
+       CASE WHEN p_partkey % 5 = 0 THEN '' ELSE ', "deployed_at": "2024-01-05T00:00:00Z"' END, '}}') AS body
+FROM {{part}}
+"""
+
+VIEWS["parameter_docs"] = """
+SELECT c_custkey AS doc_id, concat('{', CASE WHEN c_custkey % 2 = 0 THEN concat('"tech_score_min": ', CAST(50 + c_custkey % 30 AS VARCHAR(20)), ', ') ELSE '' END,
+       CASE WHEN c_custkey % 3 = 0 THEN '"max_atr_pct": 9.5, ' ELSE '' END, '"retired_key": 1, "updated": ', CAST(c_custkey AS VARCHAR(20)), '}') AS body
+FROM {customer}
+"""
+
+VIEWS["grade_docs"] = """
+SELECT o_orderkey AS doc_id, CAST(o_orderdate AS DATE) AS run_date,
+       concat('{"overall": {"grade": ', CAST(30 + o_orderkey % 60 AS VARCHAR(20)), '}, "research": {"grade": ', CASE WHEN o_orderkey % 7 = 0 THEN 'null' ELSE CAST(20 + o_orderkey % 70 AS VARCHAR(20)) END,
+       ', "components": {"scanner": {"grade": ', CAST(o_orderkey % 100 AS VARCHAR(20)), ', "letter": "B"}, "sector_teams": [{"team_id": "t1", "grade": ', CAST(o_orderkey % 91 AS VARCHAR(20)), '}, {"team_id": "t2", "grade": null}]}}, "predictor": {"grade": ',
+       CAST(o_orderkey % 83 AS VARCHAR(20)), ', "components": {"veto_gate": {"grade": ', CAST(o_orderkey % 77 AS VARCHAR(20)), '}}}}') AS body
+FROM {orders}
+"""
+
+VIEWS["sector_map_docs"] = """
+SELECT concat('{"S', CAST(s_suppkey AS VARCHAR(20)), '": "X', CAST(s_nationkey % 5 AS VARCHAR(20)), '"}') AS body FROM {supplier}
+"""
+
 VIEWS["account_days"] = f"""
 SELECT event_id AS snapshot_id, concat('A', CAST(user_id AS VARCHAR(20))) AS account, CAST(ts AS DATE) AS date,
        {r('100000 + value * 100', 2)} AS portfolio_nav,
