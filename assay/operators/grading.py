@@ -101,14 +101,28 @@ def component_grades(metrics: DataFrame) -> DataFrame:
     return everything.join(rows, ["component", "item"], "left").withColumn("letter", letter("grade"))
 
 
-def scorecard(grades: DataFrame) -> DataFrame:
+def component_means(grades: DataFrame) -> DataFrame:
+    """(component, grade): teams and triggers count by their mean."""
+    return grades.groupBy("component").agg(F.avg("grade").alias("grade"))
+
+
+def as_values(means: DataFrame) -> DataFrame:
+    """The component means as literal rows: run now, one job per module.
+
+    There is at most one row per component of the rule table, about a dozen.
+    Left in one plan, the roll-up would be re-planned after every stage of every
+    component.
+    """
+    return means.sparkSession.createDataFrame(means.collect(), "component string, grade double")
+
+
+def scorecard(means: DataFrame) -> DataFrame:
     """(level, name, grade, letter, status): components in modules, modules in the total."""
-    spark = grades.sparkSession
+    spark = means.sparkSession
     weights = spark.createDataFrame([(m, c, w) for m, cs in MODULES.items() for c, w in cs.items()],
                                     "module string, component string, weight double")
     top = spark.createDataFrame(list(OVERALL.items()), "module string, weight double")
-    one = grades.groupBy("component").agg(F.avg("grade").alias("grade"))  # teams count by their mean
-    parts = weights.join(F.broadcast(one), "component", "left")  # a dozen rows
+    parts = weights.join(F.broadcast(means), "component", "left")  # a dozen rows
     modules = parts.groupBy("module").agg(rnd(weighted_average("weight", "grade"), 6).alias("grade"))
     total = top.join(F.broadcast(modules), "module", "left").agg(
         rnd(weighted_average("weight", "grade"), 6).alias("grade"), F.count("grade").alias("n"))
