@@ -81,8 +81,15 @@ def with_average_rank(df: DataFrame, groups: list[str], value: str, out: str) ->
 def spearman(df: DataFrame, groups: list[str], x: str, y: str, least_rows: int = 2) -> DataFrame:
     """(groups, n, rank_ic): Pearson r of average ranks over complete pairs."""
     d, keys = _grouped(df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()), groups)
-    ranked = with_average_rank(with_average_rank(d, keys, x, "__rx"), keys, y, "__ry")
-    return ranked.groupBy(*keys).agg(
+    d = d.select(*keys, F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y"))
+    # both sides are ranked in one pass, as two groups of one long table
+    long = d.select(*keys, F.explode(F.array(
+        F.struct(F.lit("x").alias("__side"), F.col("__x").alias("__v")),
+        F.struct(F.lit("y").alias("__side"), F.col("__y").alias("__v")))).alias("__e")).select(*keys, "__e.*")
+    ranks = average_ranks(long, [*keys, "__side"], "__v").select(*keys, "__side", "__v", "avg_rank")
+    rx = ranks.filter("__side = 'x'").select(*keys, F.col("__v").alias("__x"), F.col("avg_rank").alias("__rx"))
+    ry = ranks.filter("__side = 'y'").select(*keys, F.col("__v").alias("__y"), F.col("avg_rank").alias("__ry"))
+    return d.join(rx, [*keys, "__x"]).join(ry, [*keys, "__y"]).groupBy(*keys).agg(
         F.count("*").alias("n"), pearson("__rx", "__ry", least_rows).alias("rank_ic")
     ).select(*groups, "n", "rank_ic")
 

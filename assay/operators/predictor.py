@@ -308,15 +308,18 @@ def outcomes_with_features(outcomes: DataFrame, features: DataFrame, feature_col
     return joined.filter(F.col("matched_date").isNotNull())
 
 
-def feature_ics(joined: DataFrame, feature_cols: list[str], min_samples: int = 20) -> DataFrame:
-    """(feature, n, ic): rank correlation of every feature with the outcome."""
+def feature_ics(joined: DataFrame, feature_cols: list[str], min_samples: int = 20,
+                by: list[str] | None = None) -> DataFrame:
+    """(feature, n, ic): rank correlation of every feature with the outcome, within
+    the groups of ``by`` (a period, say), all in one pass."""
+    by = by or []
     long = joined.select(
-        F.col("actual_5d_return").alias("y"),
+        *by, F.col("actual_5d_return").cast("double").alias("y"),
         F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x"))
                             for c in feature_cols])).alias("f"),
-    ).select("f.feature", "f.x", "y")
-    return spearman(long, ["feature"], "x", "y").filter(F.col("n") >= min_samples).select(
-        "feature", "n", rnd("rank_ic", 6).alias("ic"))
+    ).select(*by, "f.feature", "f.x", "y")
+    return spearman(long, [*by, "feature"], "x", "y").filter(F.col("n") >= min_samples).select(
+        *by, "feature", "n", rnd("rank_ic", 6).alias("ic"))
 
 
 def feature_drift(production: DataFrame, training: DataFrame) -> DataFrame:

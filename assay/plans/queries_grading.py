@@ -49,7 +49,7 @@ def research_metrics(t) -> DataFrame:
 
 def predictor_metrics(t) -> DataFrame:
     m = G.metric_rows
-    sel = P.select_veto_threshold(P.veto_thresholds(P.nearest_prediction(t.scored_signals, t.predictor_outcomes)))
+    sel = P.select_veto_threshold(P.veto_thresholds(queries_predictor.matched(t)))
     sel = sel.filter(F.col("status").isin("ok", "insufficient_lift"))
     sizing = P.predictor_sizing(t.predictor_outcomes)
     return _union([
@@ -65,7 +65,7 @@ def executor_metrics(t) -> DataFrame:
     card = TR.trigger_scorecard(t.trades)
     names = {"slippage": "avg_slippage_vs_signal", "win_rate": "win_rate_vs_spy"}
     guard = TR.blocked_vs_traded(t.shadow_book, t.trades, t.universe_returns)
-    exits = TR.exit_timing_summary(TR.exit_timing(t.trades, t.bars))
+    exits = TR.exit_timing_summary(queries_trades.timed(t))
     stats = combo_stats(t)
     overall = Q.overall_accuracy(t.scored_signals)
     return _union([

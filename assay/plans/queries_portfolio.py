@@ -49,8 +49,9 @@ cs AS (SELECT c.*, CASE WHEN total_orders > 0 THEN 'ok' ELSE 'no_orders' END AS
 def portfolio(t):
     cal = calendar(t.market_state)
     executed = PF.executed_orders(t.order_log)
-    marked = PF.marked_positions(executed, cal, t.market_state)
-    return cal, executed, marked, PF.nav_history(executed, cal, t.market_state, CASH, marked)
+    marked = t.kept("marked_positions", lambda: PF.marked_positions(executed, cal, t.market_state))
+    nav = t.kept("nav_history", lambda: PF.nav_history(executed, cal, t.market_state, CASH, marked))
+    return cal, executed, marked, nav
 
 
 @query("executed_orders", f"WITH {EXEC} SELECT combo_id, seq, CAST(date AS VARCHAR) AS date, ticker, action, held_after, sold, {r('cash_flow', 4)} AS cash_flow, entry_price, CAST(entry_date AS VARCHAR) AS entry_date FROM ex")
@@ -97,8 +98,9 @@ def _(t):
 
 
 def combo_stats(t):
-    cal, executed, marked, nav = portfolio(t)
-    return PF.combo_statistics(t.combos, nav, t.order_log, PF.benchmark_return(spy(t), cal.select("date")), CASH)
+    cal, _, _, nav = portfolio(t)
+    return t.kept("combo_stats", lambda: PF.combo_statistics(
+        t.combos, nav, t.order_log, PF.benchmark_return(spy(t), cal.select("date")), CASH))
 
 
 @query("combo_statistics", f"WITH {STATS} SELECT * FROM cs")

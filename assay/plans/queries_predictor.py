@@ -15,17 +15,21 @@ MATCHED = """(SELECT s.*, p.prediction_date AS matched_date, p.predicted_directi
   ON s.symbol = p.symbol AND p.prediction_date <= s.score_date)"""
 
 
+def matched(t):
+    return t.kept("matched_predictions", lambda: P.nearest_prediction(t.scored_signals, t.predictor_outcomes))
+
+
 @query("nearest_prediction", f"""SELECT symbol, CAST(score_date AS VARCHAR) AS score_date, score, beat_spy_10d, return_10d, CAST(matched_date AS VARCHAR) AS matched_date,
   predicted_direction, prediction_confidence FROM {MATCHED}""")
 def _(t):
-    return P.nearest_prediction(t.scored_signals, t.predictor_outcomes).select(
+    return matched(t).select(
         "symbol", "score_date", "score", "beat_spy_10d", "return_10d", "matched_date", "predicted_direction",
         "prediction_confidence")
 
 
 @query("veto_direction_distribution", f"""SELECT coalesce(predicted_direction, 'UNKNOWN') AS direction, count(*) AS n FROM {MATCHED} WHERE matched_date IS NOT NULL GROUP BY 1""")
 def _(t):
-    return P.direction_distribution(P.nearest_prediction(t.scored_signals, t.predictor_outcomes))
+    return P.direction_distribution(matched(t))
 
 
 _lo, _hi = wilson("count(CASE WHEN beat_spy_10d = 0 THEN 1 END)", "count(beat_spy_10d)")
@@ -42,7 +46,7 @@ SWEEP = f"""(SELECT c AS confidence, {_NV} AS n_vetoes, {_TN} AS true_negatives,
 
 @query("veto_threshold_sweep", f"SELECT * FROM {SWEEP}")
 def _(t):
-    return P.veto_thresholds(P.nearest_prediction(t.scored_signals, t.predictor_outcomes))
+    return P.veto_thresholds(matched(t))
 
 
 def _pick(w, col):
@@ -59,7 +63,7 @@ FROM (SELECT a.*, b.*, len(list_distinct([c1, c2, c3, c4])) AS nd FROM
 
 @query("veto_threshold_selection", f"""WITH x AS (SELECT *, n_vetoes >= 10 AS ok, abs(missed_alpha) / greatest(max(CASE WHEN n_vetoes >= 10 THEN abs(missed_alpha) END) OVER (), 1e-300) AS cost FROM {SWEEP}) {_SEL}""")
 def _(t):
-    return P.select_veto_threshold(P.veto_thresholds(P.nearest_prediction(t.scored_signals, t.predictor_outcomes)))
+    return P.select_veto_threshold(P.veto_thresholds(matched(t)))
 
 
 @query("veto_by_sector", f"""SELECT sector, count(*) AS n_down, count(CASE WHEN h THEN 1 END) AS n_vetoes,
@@ -67,7 +71,7 @@ def _(t):
   {r('CASE WHEN count(CASE WHEN h THEN 1 END) > 0 THEN count(CASE WHEN h AND beat_spy_10d = 0 THEN 1 END) * 1e0 / nullif(count(CASE WHEN beat_spy_10d = 0 THEN 1 END), 0) END', 4)} AS recall
  FROM (SELECT *, prediction_confidence >= 0.6e0 AS h FROM {MATCHED} WHERE predicted_direction = 'DOWN') WHERE sector IS NOT NULL GROUP BY 1""")
 def _(t):
-    return P.veto_by_sector(P.nearest_prediction(t.scored_signals, t.predictor_outcomes), 0.6)
+    return P.veto_by_sector(matched(t), 0.6)
 
 
 _KNOWN = "(SELECT *, predicted_direction AS p, CASE WHEN actual_5d_return > 0.5e0 THEN 'UP' WHEN actual_5d_return < -0.5e0 THEN 'DOWN' ELSE 'FLAT' END AS a FROM {predictor_outcomes} WHERE predicted_direction IS NOT NULL AND actual_5d_return IS NOT NULL)"
@@ -177,7 +181,8 @@ def _outcomes(t):
 
 
 def _joined(t):
-    return P.outcomes_with_features(_outcomes(t), t.features.filter("day(date) % 3 <> 0"), FEATURES, "last_id")
+    return t.kept("outcome_features", lambda: P.outcomes_with_features(
+        _outcomes(t), t.features.filter("day(date) % 3 <> 0"), FEATURES, "last_id"))
 
 
 _J3 = JOINED.replace("ASOF JOIN {features} f", "ASOF JOIN (SELECT * FROM {features} WHERE day(date) % 3 <> 0) f")
@@ -204,9 +209,9 @@ def _(t):
 
 
 def _drift(t):
-    early = _joined(t).filter("prediction_date < DATE '2024-01-16'")
-    late = _joined(t).filter("prediction_date >= DATE '2024-01-16'")
-    return P.feature_drift(P.feature_ics(late, FEATURES), P.feature_ics(early, FEATURES))
+    late = F.col("prediction_date") >= F.lit("2024-01-16").cast("date")
+    ics = P.feature_ics(_joined(t).withColumn("late", late), FEATURES, by=["late"])
+    return P.feature_drift(ics.filter("late").drop("late"), ics.filter("NOT late").drop("late"))
 
 
 _DRIFT = f"""j AS {_J3}, l AS ({_LONG}),

@@ -156,7 +156,8 @@ _SPLIT = f"(SELECT *, row_number() OVER (ORDER BY score_date, symbol, {', '.join
 
 
 def split(t):
-    return R.time_split(t.scored_signals.filter("beat_spy_10d IS NOT NULL"), 0.7, "score_date", "symbol", TIES)
+    return t.kept("time_split", lambda: R.time_split(
+        t.scored_signals.filter("beat_spy_10d IS NOT NULL"), 0.7, "score_date", "symbol", TIES))
 
 
 @query("time_ordered_split", f"SELECT in_train, count(*) AS n, CAST(min(score_date) AS VARCHAR) AS first_date, CAST(max(score_date) AS VARCHAR) AS last_date, {r('sum(score)', 3)} AS total_score, {r('sum(return_10d)', 3)} AS total_return FROM {_SPLIT} GROUP BY 1")
@@ -221,7 +222,7 @@ _VSEL = f"WITH x AS (SELECT *, n_vetoes >= 10 AS ok, abs(missed_alpha) / greates
 
 @query("veto_threshold_decision", f"""{_VSEL} SELECT reason IS NULL AS applied, reason, recommended_threshold FROM (SELECT *, CASE WHEN status <> 'ok' THEN concat('status=', status) WHEN recommended_threshold IS NULL THEN 'no_recommendation' WHEN abs(recommended_threshold - 0.6e0) < 0.1e0 THEN 'too_close' END AS reason FROM y)""")
 def _(t):
-    sel = P.select_veto_threshold(P.veto_thresholds(P.nearest_prediction(t.scored_signals, t.predictor_outcomes)))
+    sel = P.select_veto_threshold(P.veto_thresholds(QP.matched(t)))
     return R.threshold_decision(sel, 0.6)
 
 

@@ -50,9 +50,13 @@ def _(t):
     return TR.round_trips(t.trades)
 
 
+def timed(t):
+    return t.kept("exit_timing", lambda: TR.exit_timing(t.trades, t.bars))
+
+
 @query("exit_timing_trades", f"SELECT * REPLACE (CAST(entry_date AS VARCHAR) AS entry_date, CAST(exit_date AS VARCHAR) AS exit_date) FROM {TIMED}")
 def _(t):
-    return TR.exit_timing(t.trades, t.bars)
+    return timed(t)
 
 
 @query("exit_timing_summary", f"""SELECT *, CASE WHEN avg_capture_ratio < 0.3e0 THEN 'exits_too_early' WHEN avg_realized_return > avg_mfe * 0.6e0 THEN 'exits_well_timed'
@@ -60,13 +64,13 @@ def _(t):
  SELECT count(*) AS n_roundtrips, {r('avg(mfe_pct)', 2)} AS avg_mfe, {r('avg(mae_pct)', 2)} AS avg_mae, {r('avg(realized_return_pct)', 2)} AS avg_realized_return,
   {r('avg(capture_ratio)', 2)} AS avg_capture_ratio, {r('median(mfe_pct)', 2)} AS median_mfe, {r('median(mae_pct)', 2)} AS median_mae FROM {TIMED})""")
 def _(t):
-    return TR.exit_timing_summary(TR.exit_timing(t.trades, t.bars))
+    return TR.exit_timing_summary(timed(t))
 
 
 @query("exit_timing_by_type", f"""SELECT exit_type, count(*) AS n, {r('avg(mfe_pct)', 2)} AS avg_mfe, {r('avg(mae_pct)', 2)} AS avg_mae,
   {r('avg(realized_return_pct)', 2)} AS avg_realized, {r('avg(capture_ratio)', 2)} AS avg_capture FROM {TIMED} WHERE exit_type IS NOT NULL GROUP BY 1 HAVING count(*) >= 2""")
 def _(t):
-    return TR.exit_timing_by_type(TR.exit_timing(t.trades, t.bars))
+    return TR.exit_timing_by_type(timed(t))
 
 
 _ENT = "(SELECT * FROM {trades} WHERE action = 'ENTER')"

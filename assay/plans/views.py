@@ -417,6 +417,9 @@ SHARED = {
 }
 _written: set[str] = set()
 
+# Tables whose rows are worked on before their first shuffle.
+SPREAD = {"lineitem", "orders", "events"}
+
 
 class Tables:
     """Lazy access to base tables and domain views of one data folder."""
@@ -429,20 +432,34 @@ class Tables:
             raise AttributeError(name)
         if name not in self._cache:
             if name in BASE:
-                df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                df = self._base(name)
             else:
                 df = self._shared(name) if name in SHARED else self._view(name)
             self._cache[name] = df
         return self._cache[name]
 
+    def _base(self, name: str) -> DataFrame:
+        """A base table; one with fewer input splits than cores is spread over them,
+        because a file with a single row group is read by a single task."""
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        cores = self.spark.sparkContext.defaultParallelism
+        if name in SPREAD and df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+        return df
+
     def _shared(self, name: str) -> DataFrame:
+        return self.kept(name, lambda: self._view(name))
+
+    def kept(self, name: str, build) -> DataFrame:
+        """A result several queries start from: written once per application to the
+        shared folder, or simply built when no such folder is set."""
         folder = self.spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
-            return self._view(name)
+            return build()
         app = self.spark.sparkContext.applicationId
         path = f"{folder.rstrip('/')}/assay/{app}/{re.sub(r'[^0-9A-Za-z]+', '_', self.sf_dir)}/{name}"
         if path not in _written:
-            self._view(name).write.mode("overwrite").parquet(path)
+            build().write.mode("overwrite").parquet(path)
             _written.add(path)
         return self.spark.read.parquet(path)
 

@@ -95,12 +95,14 @@ def referenced_tickers(parsed: DataFrame) -> DataFrame:
 
 def flat_records(parsed: DataFrame) -> DataFrame:
     """One row per list entry: document, bucket, position and the plain fields."""
-    def part(bucket: str, field: str) -> DataFrame:
-        return parsed.select("doc_id", F.col("doc_date").alias("date"), F.lit(bucket).alias("bucket"),
-                             F.posexplode(f"doc.{field}").alias("position", "s"))
+    def tagged(bucket: str, field: str) -> Column:
+        return F.transform(F.coalesce(F.col(f"doc.{field}"), F.array()), lambda e, i: F.struct(
+            F.lit(bucket).alias("bucket"), i.alias("position"), e.alias("s")))
 
+    rows = parsed.select("doc_id", F.col("doc_date").alias("date"), F.explode(F.concat(
+        tagged("buy", "buy_candidates"), tagged("universe", "universe"))).alias("x")).select("doc_id", "date", "x.*")
     text = lambda c: F.coalesce(F.col(f"s.{c}"), F.lit("")).alias(c)
-    return part("buy", "buy_candidates").unionByName(part("universe", "universe")).select(
+    return rows.select(
         "doc_id", "date", "bucket", "position", text("ticker"), text("signal"),
         F.coalesce(F.col("s.score"), F.lit(0.0)).alias("score"), text("conviction"), text("sector"), text("rating"))
 
