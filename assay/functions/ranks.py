@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assay.functions.aggregates import pearson
+from assay.functions.frames import with_scalars
 
 BLOCKS = 64
-WHOLE = "__all"
 
 
-def _grouped(df: DataFrame, groups: list[str]) -> tuple[DataFrame, list[str]]:
-    return (df, groups) if groups else (df.withColumn(WHOLE, F.lit(0)), [WHOLE])
+def _with_cuts(counts: DataFrame, cuts: DataFrame, groups: list[str]) -> DataFrame:
+    """Without groups the cut table is one row, a scalar."""
+    return counts.join(cuts, groups) if groups else with_scalars(counts, cuts)
 
 
 def _blocked_counts(df: DataFrame, groups: list[str], value: str, blocks: int) -> tuple[DataFrame, DataFrame]:
@@ -40,7 +41,7 @@ def _blocked_counts(df: DataFrame, groups: list[str], value: str, blocks: int) -
         F.sum("cnt").alias("n"),
     )
     blocked = (
-        counts.join(cuts, groups)
+        _with_cuts(counts, cuts, groups)
         .withColumn("block", F.size(F.filter("cuts", lambda c: c < F.col(value))))
         .drop("cuts")
     )
@@ -55,7 +56,7 @@ def _blocked_counts(df: DataFrame, groups: list[str], value: str, blocks: int) -
 
 def average_ranks(df: DataFrame, groups: list[str], value: str) -> DataFrame:
     """(groups, value, avg_rank, n): tied values share the mean of their ranks."""
-    df, keys = _grouped(df, groups)
+    keys = groups
     inside = (
         Window.partitionBy(*keys, "block").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -80,7 +81,8 @@ def with_average_rank(df: DataFrame, groups: list[str], value: str, out: str) ->
 
 def spearman(df: DataFrame, groups: list[str], x: str, y: str, least_rows: int = 2) -> DataFrame:
     """(groups, n, rank_ic): Pearson r of average ranks over complete pairs."""
-    d, keys = _grouped(df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()), groups)
+    keys = groups
+    d = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     d = d.select(*keys, F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y"))
     # both sides are ranked in one pass, as two groups of one long table
     long = d.select(*keys, F.explode(F.array(
@@ -101,7 +103,7 @@ def exact_quantiles(
 
     Only the blocks that hold a wanted position are looked into.
     """
-    df, keys = _grouped(df, groups)
+    keys = groups
     blocked, offsets = _blocked_counts(df, keys, value, BLOCKS)
     inside = Window.partitionBy(*keys, "block").orderBy(value)
     wanted = (

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assay.functions.frames import with_scalars
+
 LAST = Window.unboundedPreceding
 
 
@@ -133,8 +135,7 @@ def carry_forward(df: DataFrame, cal: DataFrame, values: list[str], by: str = "t
     placed = df.select(by, F.col(date_col).alias("date"), *values).join(cal.select("date", "pos"), "date")
     nxt = F.lead("pos").over(Window.partitionBy(by).orderBy("pos"))
     spread = (
-        placed.withColumn("__next", nxt)
-        .join(F.broadcast(last))  # one row
+        with_scalars(placed.withColumn("__next", nxt), last)
         .withColumn("pos", F.explode(F.sequence("pos", F.coalesce(F.col("__next") - 1, F.col("__last")))))
         .select(by, "pos", F.col("date").alias("source_date"), *values)
     )

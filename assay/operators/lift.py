@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assay.functions.aggregates import binary_counts, binary_metrics
+from assay.functions.frames import with_scalars
 from assay.functions.scalars import rnd
 
 KEYS = ["ticker", "eval_date"]
@@ -29,7 +30,7 @@ def universe_status(universe: DataFrame) -> DataFrame:
     """Dates are counted before unresolved rows are dropped, rows after."""
     dates = universe.select("eval_date").distinct().agg(F.count("*").alias("n_dates"))
     rows = universe.agg(F.count("return_5d").alias("n_universe_rows"))
-    return dates.join(F.broadcast(rows)).withColumn(
+    return with_scalars(dates, rows).withColumn(
         "status", F.when(F.col("n_universe_rows") > 0, "ok").otherwise("insufficient_data"))
 
 
@@ -215,8 +216,7 @@ def executor_lift(universe, trades, blocked) -> DataFrame:
 def pipeline_lift(universe, executor_row: DataFrame, committee_row: DataFrame) -> DataFrame:
     """What was traded (else what the committee advanced) against the universe."""
     u = resolved_universe(universe).agg(F.avg("return_5d").alias("__u"))
-    both = executor_row.select("traded_avg").join(F.broadcast(committee_row.select("advance_avg")))
-    row = both.join(F.broadcast(u)).select(F.coalesce("traded_avg", "advance_avg").alias("traded_avg"), "__u")
+    row = with_scalars(executor_row.select("traded_avg"), committee_row.select("advance_avg"), u).select(F.coalesce("traded_avg", "advance_avg").alias("traded_avg"), "__u")
     return row.select(rnd("__u", 4).alias("universe_avg"), "traded_avg",
                       rnd(F.col("traded_avg") - F.col("__u"), 4).alias("lift"))
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from assay.functions.frames import with_scalars
 from assay.functions.scalars import ratio, rnd
 
 
@@ -52,8 +53,7 @@ def permutation_test(signals: DataFrame, n_permutations: int = 1000, top_n: int
     actual = top_n_alpha(buys, top_n).select(F.col("alpha").alias("actual"), F.col("n_dates").alias("n_signal_dates"))
     counts = known.agg(F.count("*").alias("n_known"), F.count_if(F.col("score") >= min_score).alias("n_signals"))
     nulls = null_alphas(buys, n_permutations, top_n, seed)
-    # one-row tables attached to the n_permutations rows
-    row = nulls.join(F.broadcast(actual)).join(F.broadcast(counts)).groupBy("actual", "n_signal_dates", "n_known", "n_signals").agg(
+    row = with_scalars(nulls, actual, counts).groupBy("actual", "n_signal_dates", "n_known", "n_signals").agg(
         F.count("*").alias("n_permutations"), F.count_if(F.col("alpha") >= F.col("actual")).alias("ge"),
         F.avg("alpha").alias("m"), F.stddev_pop("alpha").alias("s"), F.min("alpha").alias("lo"), F.max("alpha").alias("hi"))
     p = ratio(F.col("ge"), F.col("n_permutations"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assay.functions.frames import with_scalars
 from assay.functions.scalars import ratio, rnd
 
 # Fixed values: (relative, absolute) tolerance per numeric field; fields only the
@@ -97,7 +98,7 @@ def parity_metrics(live: DataFrame, replay: DataFrame, day: str = "signal_tradin
     m = matched(live, replay).agg(F.count("*").alias("n_matched"))
     v = field_differences(live, replay).agg(F.count("*").alias("n_field_violations"))
     zero = lambda c: rnd(F.coalesce(c, F.lit(0.0)), 4)
-    return row.join(F.broadcast(m)).join(F.broadcast(v)).select(  # one row each
+    return with_scalars(row, m, v).select(
         zero(ratio(F.col("n_replay"), F.col("n_live"))).alias("capture_rate"), zero(F.col("j")).alias("ticker_jaccard_avg"),
         zero(F.col("rms")).alias("count_divergence_rms"),
         zero(ratio(F.col("n_field_violations"), F.col("n_matched"))).alias("field_diff_rate"),

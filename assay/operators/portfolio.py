@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from assay.functions.frames import with_scalars
 from assay.functions.scalars import ratio, rnd
 
 YEAR = 252
@@ -49,7 +50,7 @@ def held_days(executed: DataFrame, cal: DataFrame) -> DataFrame:
     last = cal.agg(F.max("pos").alias("__last"))
     w = Window.partitionBy("combo_id", "ticker").orderBy("pos", "seq")
     d = executed.join(cal.select("date", "pos"), "date").withColumn("__next", F.lead("pos").over(w))
-    d = d.filter(F.col("held_after") > 0).join(F.broadcast(last))  # one row
+    d = with_scalars(d.filter(F.col("held_after") > 0), last)
     stop = F.coalesce("__next", "__last")
     return d.filter(F.col("pos") + 1 <= stop).select(
         "combo_id", "ticker", F.col("held_after").alias("shares"), "entry_price", "entry_date", "episode",
@@ -71,7 +72,7 @@ def nav_history(executed: DataFrame, cal: DataFrame, bars: DataFrame, init_cash:
     flows = executed.join(cal.select("date", "pos"), "date").groupBy("combo_id", "pos").agg(
         F.sum("cash_flow").alias("flow"))
     last = cal.agg(F.max("pos").alias("__last"))
-    days = executed.select("combo_id").distinct().join(F.broadcast(last)).select(  # one row
+    days = with_scalars(executed.select("combo_id").distinct(), last).select(
         "combo_id", F.explode(F.sequence(F.lit(0), F.col("__last"))).alias("pos"))
     w = Window.partitionBy("combo_id").orderBy("pos").rowsBetween(PAST, -1)
     cash = init_cash + F.coalesce(F.sum("flow").over(w), F.lit(0.0))
@@ -137,8 +138,8 @@ def combo_statistics(combos: DataFrame, nav: DataFrame, orders: DataFrame, bench
     """One row per combination: its parameters, order counts and portfolio statistics.
     A combination that never traded gets zeros and minus the benchmark as alpha."""
     stats = nav_statistics(nav, init_cash)
-    d = combos.join(stats, "combo_id", "left").join(trade_counts(orders), "combo_id", "left") \
-        .join(F.broadcast(benchmark))  # one row
+    d = with_scalars(
+        combos.join(stats, "combo_id", "left").join(trade_counts(orders), "combo_id", "left"), benchmark)
     traded = F.col("total_orders") > 0
     zero = lambda c: F.coalesce(F.when(traded, F.col(c)), F.lit(0.0))
     return d.select(

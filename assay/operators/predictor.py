@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assay.functions.aggregates import pearson
+from assay.functions.frames import with_scalars
 from assay.functions.ranks import numbered_by_id, spearman, with_average_rank
 from assay.functions.scalars import (
     bucket_right_open, direction_of, drift_class, net_signal, ratio, rnd, wilson_bounds,
@@ -78,7 +79,7 @@ def veto_thresholds(matched: DataFrame, thresholds: list[float] = CONFIDENCES) -
     n, tn = F.col("n_vetoes"), F.col("true_negatives")
     precision, recall = ratio(tn, n), F.when(n > 0, ratio(tn, F.col("losers")))
     lo, hi = wilson_bounds(tn, n)
-    return table.join(F.broadcast(base)).select(  # one row
+    return with_scalars(table, base).select(
         "confidence", "n_vetoes", "true_negatives", "false_negatives",
         rnd(precision, 4).alias("precision"), rnd(recall, 4).alias("recall"),
         rnd(F.try_divide(2 * precision * recall, precision + recall), 4).alias("f1"),
@@ -144,7 +145,7 @@ def confusion_matrix(predictions: DataFrame, band: float = 0.005) -> DataFrame:
     )
     spine = predictions.sparkSession.createDataFrame(
         [(p, a) for p in DIRECTIONS for a in DIRECTIONS], "predicted string, actual string")
-    return spine.join(F.broadcast(seen), ["predicted", "actual"], "left").select(  # nine rows
+    return spine.join(seen, ["predicted", "actual"], "left").select(
         "predicted", "actual", F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -156,17 +157,16 @@ def direction_rates(predictions: DataFrame, band: float = 0.005, min_samples: in
         known.select(F.col("predicted_direction").alias("p"), direction_of("actual_5d_return", band).alias("a"))
         .cube("p", "a").agg(F.grouping_id().alias("g"), F.count("*").alias("n"))
     )
-    d = predictions.sparkSession.createDataFrame([(x,) for x in DIRECTIONS], "direction string")
     g = lambda i: F.col("g") == i
-    hit = lambda c: F.col(c) == F.col("direction")
-    total = F.sum(F.when(g(3), F.col("n")))
-    diagonal = F.sum(F.when(g(0) & (F.col("p") == F.col("a")), F.col("n")))
-    # at most sixteen cube rows against three labels
-    rows = d.join(F.broadcast(cube)).groupBy("direction").agg(
-        total.alias("__n"), F.coalesce(diagonal, F.lit(0)).alias("__diag"),
-        F.coalesce(F.sum(F.when(g(1) & hit("p"), F.col("n"))), F.lit(0)).alias("n_predicted"),
-        F.coalesce(F.sum(F.when(g(2) & hit("a"), F.col("n"))), F.lit(0)).alias("n_actual"),
-        F.coalesce(F.sum(F.when(g(0) & hit("p") & hit("a"), F.col("n"))), F.lit(0)).alias("tp"))
+    whole = cube.agg(F.sum(F.when(g(3), F.col("n"))).alias("__n"),
+                     F.coalesce(F.sum(F.when(g(0) & (F.col("p") == F.col("a")), F.col("n"))), F.lit(0)).alias("__diag"))
+    label = F.when(g(1), F.col("p")).when(g(2), F.col("a")).when(g(0) & (F.col("p") == F.col("a")), F.col("p"))
+    sums = cube.groupBy(label.alias("direction")).agg(
+        F.sum(F.when(g(1), F.col("n"))).alias("n_predicted"), F.sum(F.when(g(2), F.col("n"))).alias("n_actual"),
+        F.sum(F.when(g(0), F.col("n"))).alias("tp"))
+    spine = predictions.sparkSession.createDataFrame([(x,) for x in DIRECTIONS], "direction string")
+    rows = with_scalars(spine.join(sums, "direction", "left"), whole).fillna(
+        0, ["n_predicted", "n_actual", "tp"])
     precision, recall = ratio(F.col("tp"), F.col("n_predicted")), ratio(F.col("tp"), F.col("n_actual"))
     return rows.filter(F.col("__n") >= min_samples).select(
         "direction", rnd(precision, 4).alias("precision"), rnd(recall, 4).alias("recall"),
@@ -241,7 +241,7 @@ def regime_ic(outcomes: DataFrame, regimes: DataFrame, asof, lookback_days: int
     ic = recent_resolved(outcomes, asof, lookback_days).join(r, "prediction_date").groupBy("regime").agg(
         F.count(actual).alias("n"), rnd(pearson(net_signal("p_up", "p_down"), actual, min_samples), 4).alias("ic"))
     spine = outcomes.sparkSession.createDataFrame([(x,) for x in REGIMES], "regime string")
-    return spine.join(F.broadcast(ic), "regime", "left").select(  # four rows
+    return spine.join(ic, "regime", "left").select(
         "regime", F.coalesce("n", F.lit(0)).alias("n"), "ic")
 
 
@@ -295,7 +295,7 @@ def rolling_metrics(outcomes: DataFrame, asof, id_col: str = "id", lookback_days
     )
     ir = per_chunk.agg(F.count("*").alias("n_chunks"), rnd(F.when(
         F.max("m") >= least_ic, F.avg("c") / (F.stddev_pop("c") + 1e-8)), 3).alias("ic_ir"))
-    return totals.join(F.broadcast(ir)).filter(F.col("rolling_n") >= least)  # one row each
+    return with_scalars(totals, ir).filter(F.col("rolling_n") >= least)
 
 
 # --- feature drift -------------------------------------------------------------
@@ -379,7 +379,7 @@ def predictor_sizing(outcomes: DataFrame, min_samples: int = 30, min_ic: float =
     returns = ranked.agg(
         F.avg(F.col("rk") / F.col("rk_n") * F.col("actual_5d_return")).alias("w"),
         F.avg("actual_5d_return").alias("e"))
-    row = overall.join(F.broadcast(weeks)).join(F.broadcast(returns))  # one row each
+    row = with_scalars(overall, weeks, returns)
     enable = (
         (F.col("overall") >= min_ic) & (F.col("recent") >= min_ic)
         & (F.col("recent_positive_weeks") >= F.least(F.lit(min_positive), F.col("recent_total_weeks"))))
@@ -425,7 +425,7 @@ def scanner_leakage(scanner: DataFrame, universe: DataFrame, threshold: float =
         F.coalesce(F.avg(F.when(rejected, F.col("beat_spy_5d"))),
                    F.when(F.count_if(rejected) == 0, 0.0)).alias("__leak"),
         rnd(F.avg(F.when(passed, F.col("return_5d"))) - F.avg("return_5d"), 4).alias("filter_lift"))
-    return weeks.join(F.broadcast(row)).filter(F.col("n_weeks") >= min_weeks).select(
+    return with_scalars(weeks, row).filter(F.col("n_weeks") >= min_weeks).select(
         "n_weeks", "n_total_stocks", "n_passed", "n_rejected", rnd("__leak", 4).alias("leakage_rate"),
         F.lit(threshold).alias("leakage_threshold"), "filter_lift",
         (F.col("__leak") > threshold).alias("high_leakage"))
@@ -434,7 +434,7 @@ def scanner_leakage(scanner: DataFrame, universe: DataFrame, threshold: float =
 def gates_to_relax(gates: DataFrame, summary: DataFrame) -> DataFrame:
     """Gates that leak more than the limit, provided the scanner as a whole does."""
     s = summary.filter("high_leakage").select("leakage_threshold")
-    return gates.join(F.broadcast(s)).filter(F.col("leakage_rate") > F.col("leakage_threshold")).select(
+    return with_scalars(gates, s).filter(F.col("leakage_rate") > F.col("leakage_threshold")).select(
         "gate", F.col("leakage_rate").alias("current_leakage"), F.lit("relax").alias("action"))
 
 

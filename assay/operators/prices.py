@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assay.functions.frames import with_scalars
 from assay.functions.scalars import ratio, rnd
 
 OHLCV = ["open", "high", "low", "close", "volume", "vwap"]
@@ -73,7 +74,7 @@ def require_quality(df: DataFrame, quality: DataFrame) -> DataFrame:
     """Pass rows through only while the gate holds; otherwise the job fails with its reason."""
     gate = quality.select(F.when(F.col("status") == "ok", True).otherwise(
         F.raise_error(F.concat(F.lit("price read gate: "), "status"))).alias("__gate"))
-    return df.join(F.broadcast(gate)).filter("__gate").drop("__gate")  # one row
+    return with_scalars(df, gate).filter("__gate").drop("__gate")
 
 
 def with_fallback(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -134,8 +135,9 @@ def heartbeats(modules: DataFrame, beats: DataFrame, now, max_age_hours: int = 4
 def trading_dates(features: DataFrame, least: int, most: int) -> DataFrame:
     """The most recent dates of the table; none at all below the minimum."""
     days = features.select("date").filter(F.col("date").isNotNull()).distinct()
-    enough = days.agg((F.count("*") >= least).alias("ok")).filter("ok")
-    return days.orderBy(F.col("date").desc()).limit(most).join(F.broadcast(enough), how="left_semi")
+    enough = days.agg((F.count("*") >= least).alias("__ok"))
+    latest = days.orderBy(F.col("date").desc()).limit(most)
+    return with_scalars(latest, enough).filter("__ok").drop("__ok")
 
 
 def price_matrix(bars: DataFrame, cal: DataFrame, limit: int = 5, backfill: bool = True) -> DataFrame:
@@ -148,12 +150,10 @@ def price_matrix(bars: DataFrame, cal: DataFrame, limit: int = 5, backfill: bool
     """
     last = cal.agg(F.max("pos").alias("last"))
     w = Window.partitionBy("ticker").orderBy("pos")
-    obs = (
+    obs = with_scalars(
         bars.filter(F.col("close").isNotNull()).select("ticker", "date", "close")
         .join(cal.select("date", "pos"), "date")
-        .withColumns({"prev": F.lag("pos").over(w), "next": F.lead("pos").over(w)})
-        .join(F.broadcast(last))  # one row
-    )
+        .withColumns({"prev": F.lag("pos").over(w), "next": F.lead("pos").over(w)}), last)
     stop = F.coalesce(F.col("next") - 1, F.col("last"))
     own = F.sequence("pos", F.least(F.col("pos") + limit, stop))
     forward = obs.select("ticker", F.explode(own).alias("at"), F.col("close").alias("price"),
@@ -175,13 +175,11 @@ def gap_statistics(bars: DataFrame, cal: DataFrame, limit: int = 5, backfill: bo
     w = Window.partitionBy("ticker").orderBy("pos")
     obs = bars.filter(F.col("close").isNotNull()).select("ticker", "date").join(cal.select("date", "pos"), "date")
     over = F.greatest(F.col("pos") - F.lag("pos").over(w) - 1 - limit, F.lit(0))
-    row = (
+    row = with_scalars(
         obs.withColumn("over", F.coalesce(over, F.lit(0)))
         .groupBy("ticker")
         .agg(F.count("*").alias("n_seen"), F.min("pos").alias("first"), F.max("pos").alias("final"),
-             F.sum("over").alias("inner"))
-        .join(F.broadcast(size))  # one row
-    )
+             F.sum("over").alias("inner")), size)
     tail = F.greatest(F.col("last") - F.col("final") - limit, F.lit(0))
     unfilled = tail if backfill else tail + F.col("first") + F.col("inner")
     return row.select(
@@ -199,7 +197,7 @@ def fill_rate(bars: DataFrame, cal: DataFrame) -> DataFrame:
     seen = obs.select("ticker", "date").distinct().groupBy("ticker").agg(F.count("*").alias("n"))
     row = seen.agg(F.count("*").alias("n_tickers"), F.sum("n").alias("n_filled"))
     days = cal.agg(F.count("*").alias("n_dates"))
-    return row.join(F.broadcast(days)).withColumn(
+    return with_scalars(row, days).withColumn(
         "fill_rate", rnd(ratio(F.col("n_filled"), F.col("n_tickers") * F.col("n_dates")), 4))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assay.functions.aggregates import pearson, sample_skewness
+from assay.functions.frames import with_scalars
 from assay.functions.ranks import exact_quantiles
 from assay.functions.scalars import (
     bucket_right_open, net_signal, proportion_p_value, ratio, rnd, wilson_bounds,
@@ -107,8 +108,8 @@ def accuracy_by_field(signals: DataFrame, field: str) -> DataFrame:
 def accuracy_by_regime(signals: DataFrame, macro: DataFrame, min_samples: int = MIN_SAMPLES) -> DataFrame:
     by_regime = accuracy_by_field(with_regime(signals, macro), "market_regime")
     # rows without a regime count for the gate, so it looks at all signals
-    gate = signals.agg((F.count("beat_spy_10d") >= min_samples).alias("enough"))
-    return by_regime.join(F.broadcast(gate.filter("enough")), how="left_semi")
+    gate = signals.agg((F.count("beat_spy_10d") >= min_samples).alias("__enough"))
+    return with_scalars(by_regime, gate).filter("__enough").drop("__enough")
 
 
 def accuracy_by_threshold(
@@ -239,7 +240,7 @@ def score_calibration(signals: DataFrame, macro: DataFrame, horizon: str = "10d"
         .agg(F.array_sort(F.collect_set("quantile")).alias("edges"))  # n_buckets + 1 values
     )
     binned = (
-        sub.join(F.broadcast(edges))
+        with_scalars(sub, edges)
         # edges strictly below the score; the lowest score belongs to the first bin
         .withColumn("bin", F.greatest(F.size(F.filter("edges", lambda e: e < F.col("score"))), F.lit(1)))
         .withColumn("score_low", F.element_at("edges", F.col("bin")))
@@ -354,7 +355,7 @@ def accumulation(signals: DataFrame) -> DataFrame:
         aggs += [F.count(beat).alias(f"resolved_{h}"), rnd(F.avg(beat), 4).alias(f"accuracy_{h}")]
     totals = signals.agg(*aggs)
     dates = signals.select("score_date").distinct().agg(F.count("score_date").alias("distinct_dates"))
-    return totals.join(F.broadcast(dates))  # one row each
+    return with_scalars(totals, dates)
 
 
 def stale_rows(signals: DataFrame, asof, date_col: str = "score_date",

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assay.functions.aggregates import pearson
+from assay.functions.frames import with_scalars
 from assay.functions.scalars import hit_probability, ratio, rnd
 from assay.operators.portfolio import nav_statistics
 
@@ -52,7 +53,7 @@ def sampled_grid(grid: DataFrame, params: list[str], trials: int, seed: int = 42
 
 
 def sweep_coverage(grid: DataFrame, sample: DataFrame) -> DataFrame:
-    row = grid.agg(F.count("*").alias("n_grid")).join(F.broadcast(sample.agg(F.count("*").alias("n_trials"))))
+    row = with_scalars(grid.agg(F.count("*").alias("n_grid")), sample.agg(F.count("*").alias("n_trials")))
     return row.withColumn("coverage", rnd(ratio(F.col("n_trials"), F.col("n_grid")), 4)).withColumn(
         "mode", F.when(F.col("n_trials") < F.col("n_grid"), "random").otherwise("grid")).withColumn(
         "hit_probability", rnd(hit_probability("n_trials"), 6))
@@ -135,7 +136,7 @@ def holdout_check(nav: DataFrame, choice: DataFrame, share: float = 0.7, least_d
     """Sharpe of the chosen combination on the last days against its Sharpe overall."""
     chosen = nav.join(choice.select(F.col("best_combo").alias("combo_id"), F.col("best_sharpe")), "combo_id")
     last = chosen.agg((F.max("pos") + 1).alias("__n"))
-    held = chosen.join(F.broadcast(last)).filter(F.col("pos") >= F.floor(F.col("__n") * share))  # one row
+    held = with_scalars(chosen, last).filter(F.col("pos") >= F.floor(F.col("__n") * share))
     stats = nav_statistics(held.select("combo_id", "date", "nav"))
     train = choice.select(F.col("best_combo").alias("combo_id"), "best_sharpe", "status")
     d = train.join(stats, "combo_id", "left").withColumn("n_dates", F.coalesce("n_dates", F.lit(0)))
@@ -325,8 +326,8 @@ def team_slots(lift: DataFrame, slots: DataFrame, threshold: float = 0.005, leas
 
 
 def committee_mode(committee: DataFrame, ranking: DataFrame, least_lift: float = 0.0, worst_lift: float = -0.005) -> DataFrame:
-    row = committee.select(F.col("lift").alias("cio_lift")).join(
-        F.broadcast(ranking.select(F.col("lift").alias("cio_vs_ranking_lift"))))  # one row each
+    row = with_scalars(committee.select(F.col("lift").alias("cio_lift")),
+                       ranking.select(F.col("lift").alias("cio_vs_ranking_lift")))
     weak = F.coalesce(F.col("cio_vs_ranking_lift") < least_lift, F.lit(False)) | F.coalesce(
         F.col("cio_lift") < worst_lift, F.lit(False))
     return row.withColumn("recommendation", F.when(weak, "deterministic").otherwise("keep"))
@@ -417,7 +418,7 @@ def regression_check(current: DataFrame, baseline: DataFrame, accuracy_pp: float
     """Current metrics against the newest promotion baseline; no baseline, no check."""
     b = baseline.select(F.col("accuracy_10d").alias("base_accuracy"), F.col("sharpe_ratio").alias("base_sharpe"),
                         F.lit(True).alias("__b"))
-    d = current.select("accuracy_10d", "sharpe_ratio").join(F.broadcast(b), how="left")  # one row each
+    d = with_scalars(current.select("accuracy_10d", "sharpe_ratio"), b)
     acc = (F.col("base_accuracy") - F.col("accuracy_10d")) * 100
     drop = F.when(F.col("base_sharpe") > 0, ratio(F.col("base_sharpe") - F.col("sharpe_ratio"), F.abs("base_sharpe")))
     bad = F.coalesce(acc > accuracy_pp, F.lit(False)) | F.coalesce(drop > sharpe_pct, F.lit(False))
@@ -456,7 +457,7 @@ def alert_status(triggers: DataFrame, history: DataFrame, asof, quiet_days: int
     last = history.agg(F.max("date").alias("last_alert"))
     age = F.datediff(F.lit(asof).cast("date"), F.col("last_alert"))
     quiet = F.coalesce(age < quiet_days, F.lit(False))
-    return row.join(F.broadcast(last)).select(
+    return with_scalars(row, last).select(
         "n_triggers", "n_high", "last_alert", (F.col("n_triggers") > 0).alias("triggered"),
         F.when(F.col("n_triggers") == 0, "no_triggers").when(quiet, "suppressed").otherwise("send").alias("decision"))
 

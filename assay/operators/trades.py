@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assay.functions.aggregates import binary_metrics, null_safe_mean, win_rate
+from assay.functions.frames import with_scalars
 from assay.functions.ranks import exact_quantiles
 from assay.functions.scalars import (
     ENTRY_TRIGGERS, EXIT_RULES, POST_TRADE_TRIGGERS, bucket_right_closed, keyword_category, ratio, rnd,
@@ -65,8 +66,8 @@ def exit_timing_summary(timed: DataFrame, min_roundtrips: int = 5) -> DataFrame:
         F.struct(F.lit("median_mfe").alias("m"), F.col("mfe_pct").alias("v")),
         F.struct(F.lit("median_mae").alias("m"), F.col("mae_pct").alias("v")))).alias("x")).select("x.*")
     medians = exact_quantiles(long, ["m"], "v", [0.5])
-    row = row.join(F.broadcast(medians.agg(*[  # one row
-        rnd(F.max(F.when(F.col("m") == m, F.col("quantile"))), 2).alias(m) for m in ("median_mfe", "median_mae")])))
+    row = with_scalars(row, medians.agg(*[
+        rnd(F.max(F.when(F.col("m") == m, F.col("quantile"))), 2).alias(m) for m in ("median_mfe", "median_mae")]))
     capture = F.col("avg_capture_ratio")
     diagnosis = (
         F.when(capture < 0.3, "exits_too_early")
@@ -195,7 +196,7 @@ def post_trade_summary(trades: DataFrame, min_trades: int = 3) -> DataFrame:
     )
     best_trigger = best_by(post_trade_by_trigger(trades, min_trades), "trigger", "avg_alpha_pct", "best_trigger")
     best_exit = best_by(post_trade_by_exit(trades, min_trades), "exit_rule", "avg_alpha_pct", "best_exit_rule")
-    return row.join(F.broadcast(best_trigger)).join(F.broadcast(best_exit))  # one row each
+    return with_scalars(row, best_trigger, best_exit)
 
 
 def blocked_vs_traded(blocked: DataFrame, trades: DataFrame, universe: DataFrame, min_blocks: int = 3) -> DataFrame:

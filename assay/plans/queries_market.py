@@ -30,10 +30,10 @@ _SPYFB = "(SELECT 'VIX' AS ticker, CAST(ts AS DATE) AS date, value AS close, eve
 
 def _universe(t):
     allow = t.events.filter("user_id % 4 = 1").select(F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("ticker"))
-    vix = t.events.filter("event_type = 'view'").select(
-        F.lit("VIX").alias("ticker"), F.col("ts").cast("date").alias("date"), F.col("value").alias("close"), "event_id")
-    spy = vix.withColumn("ticker", F.lit("SPY"))
-    return P.load_universe(_raw(t), vix.unionByName(spy), "event_id", allow)
+    macro = t.events.filter("event_type IN ('view', 'click')").select(
+        F.when(F.col("event_type") == "view", "VIX").otherwise("SPY").alias("ticker"), F.col("ts").cast("date").alias("date"),
+        F.col("value").alias("close"), "event_id")
+    return P.load_universe(_raw(t), macro, "event_id", allow)
 
 
 @query("universe_prices", f"""SELECT ticker, CAST(date AS VARCHAR) AS date, high, close, volume FROM {_LAST} WHERE ticker = 'SPY' OR ticker IN {_ALLOW.replace('(SELECT DISTINCT', '(SELECT', 1)}

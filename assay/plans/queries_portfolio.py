@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assay.functions import scalars as S
+from assay.functions.frames import with_scalars
 from assay.functions.scalars import rnd
 from assay.operators import decisions as D
 from assay.operators import portfolio as PF
@@ -275,5 +276,5 @@ def _(t):
     nested = t.combos.withColumn("strategy", F.struct(F.when(F.col("combo_id") % 3 == 0, 0.33).alias("profit_take_pct")))
     conf = D.with_defaults(nested, D.EXIT_DEFAULTS, "strategy").join(t.combos.select("combo_id", "min_score"), "combo_id")
     n = t.orders.agg(F.count("*").alias("n"))
-    return conf.join(F.broadcast(n)).select("combo_id", "profit_take_pct", "atr_multiplier", "fallback_stop_pct", "time_decay_reduce_days",
+    return with_scalars(conf, n).select("combo_id", "profit_take_pct", "atr_multiplier", "fallback_stop_pct", "time_decay_reduce_days",
                                             "time_decay_exit_days", "reduce_fraction", F.floor(F.col("min_score") * F.col("n") % 97).cast("double").alias("probe"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from assay.functions.frames import with_scalars
 from assay.functions.scalars import automatic_trials, random_trials_needed, rnd
 from assay.operators import indicators as I
 from assay.operators import lift as L
@@ -378,7 +379,7 @@ def _(t):
     rows = R.alpha_cutoffs(t.brand_bars.select("date", "alpha"), CUTS).withColumn(
         "combo_id", F.round(F.col("cutoff") * 200).cast("int")).join(stats, "combo_id")
     base = rows.agg(F.max(F.when(F.col("cutoff") == 0, F.col("sharpe_ratio"))).alias("bs"))
-    return R.choose_cutoff(rows.join(F.broadcast(base)), F.col("bs"))
+    return R.choose_cutoff(with_scalars(rows, base), F.col("bs"))
 
 
 _M6 = ["sharpe_ratio", "total_alpha", "max_drawdown", "win_rate", "total_return", "total_trades"]
