@@ -50,7 +50,7 @@ def _(t):
 _CONTENT = "(json_type(body, '$.signals') IN ('OBJECT', 'ARRAY') OR coalesce(json_array_length(body, '$.universe'), 0) > 0)"
 
 
-@query("valid_documents", f"SELECT doc_id, path, coalesce(json_array_length(body, '$.universe'), 0) AS n_universe FROM {{signal_docs}} WHERE coalesce({_CONTENT}, false)")
+@query("valid_documents", f"SELECT doc_id, path, CAST(coalesce(json_array_length(body, '$.universe'), 0) AS INT) AS n_universe FROM {{signal_docs}} WHERE coalesce({_CONTENT}, false)")
 def _(t):
     return DOC.valid_documents(parsed(t)).select("doc_id", "path", F.coalesce(F.size("doc.universe"), F.lit(0)).alias("n_universe"))
 

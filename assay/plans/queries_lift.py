@@ -42,7 +42,7 @@ CIO = f"""SELECT {r('a', 4)} AS all_recs_avg, {r('s', 4)} AS advance_avg, {r('j'
   FROM {UR} u JOIN {{cio_evaluations}} USING (ticker, eval_date))"""
 
 RANKING = f"""SELECT cio_avg, ranking_avg, avg_overlap, n_dates, n_picks, {r('cio_avg - ranking_avg', 4)} AS lift, {r('cio_avg - ranking_avg', 4)} > 0 AS cio_beats_ranking FROM (
-  SELECT {r('avg(ca)', 4)} AS cio_avg, {r('avg(ra)', 4)} AS ranking_avg, {r('avg(ov)', 4)} AS avg_overlap, count(*) AS n_dates, sum(k) AS n_picks FROM (
+  SELECT {r('avg(ca)', 4)} AS cio_avg, {r('avg(ra)', 4)} AS ranking_avg, {r('avg(ov)', 4)} AS avg_overlap, count(*) AS n_dates, CAST(sum(k) AS BIGINT) AS n_picks FROM (
     SELECT eval_date, max(k) AS k, avg(CASE WHEN adv THEN return_5d END) AS ca, avg(CASE WHEN rn <= k AND final_score IS NOT NULL THEN return_5d END) AS ra,
            count(CASE WHEN adv AND rn <= k AND final_score IS NOT NULL THEN 1 END) AS ov FROM (
       SELECT *, count(CASE WHEN adv THEN 1 END) OVER (PARTITION BY eval_date) AS k, count(final_score) OVER (PARTITION BY eval_date) AS ns,
@@ -131,7 +131,7 @@ def _(t):
 _NONE = "CAST(NULL AS DOUBLE) AS precision, CAST(NULL AS DOUBLE) AS recall, CAST(NULL AS DOUBLE) AS f1"
 SUMMARY = f"""
 SELECT 'scanner' AS stage, passing_avg AS mean, universe_avg AS baseline, lift, n_passing AS n_selected, precision, recall, f1 FROM ({SCANNER})
-UNION ALL SELECT 'teams', {r('avg(pick_avg)', 4)}, {r('avg(sector_avg)', 4)}, {r('avg(lift)', 4)}, sum(n_picks), {r('avg(precision)', 4)}, {r('avg(recall)', 4)}, {r('avg(f1)', 4)} FROM ({TEAM})
+UNION ALL SELECT 'teams', {r('avg(pick_avg)', 4)}, {r('avg(sector_avg)', 4)}, {r('avg(lift)', 4)}, CAST(sum(n_picks) AS BIGINT), {r('avg(precision)', 4)}, {r('avg(recall)', 4)}, {r('avg(f1)', 4)} FROM ({TEAM})
 UNION ALL SELECT 'committee', advance_avg, all_recs_avg, lift, n_advance, precision, recall, f1 FROM ({CIO})
 UNION ALL SELECT 'committee_vs_ranking', cio_avg, ranking_avg, lift, n_picks, {_NONE} FROM ({RANKING})
 UNION ALL SELECT 'predictor', up_avg, all_avg, lift, n_up, precision, recall, f1 FROM ({PREDICTOR})

@@ -156,7 +156,7 @@ _ECE = r("sum(CASE WHEN used THEN abs(hit_rate - expected) * n END) / sum(CASE W
 
 
 @query("calibration_summary", f"""SELECT *, CASE WHEN overall_ece IS NULL THEN 'unknown' WHEN overall_ece < 0.05e0 THEN 'good' WHEN overall_ece < 0.1e0 THEN 'acceptable' ELSE 'poor' END AS calibration_quality FROM (
- SELECT coalesce(sum(CASE WHEN used THEN n END), 0) AS n_total, count(CASE WHEN used THEN 1 END) AS n_bins, count(CASE WHEN NOT used THEN 1 END) AS n_dropped, {_ECE} AS overall_ece FROM {BINS})""")
+ SELECT CAST(coalesce(sum(CASE WHEN used THEN n END), 0) AS BIGINT) AS n_total, count(CASE WHEN used THEN 1 END) AS n_bins, count(CASE WHEN NOT used THEN 1 END) AS n_dropped, {_ECE} AS overall_ece FROM {BINS})""")
 def _(t):
     return P.calibration_summary(P.calibration_bins(t.predictor_outcomes, ASOF, min_bin=15))
 

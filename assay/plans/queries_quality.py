@@ -34,8 +34,8 @@ def slice_sql() -> str:
         ]
     out += [
         f"{r('avg(beat_spy_10d)', 4)} AS precision_10d",
-        "coalesce(sum(beat_spy_10d), 0) AS tp_10d",
-        "count(beat_spy_10d) - coalesce(sum(beat_spy_10d), 0) AS fp_10d",
+        "CAST(coalesce(sum(beat_spy_10d), 0) AS BIGINT) AS tp_10d",
+        "CAST(count(beat_spy_10d) - coalesce(sum(beat_spy_10d), 0) AS BIGINT) AS fp_10d",
     ]
     return ", ".join(out)
 
@@ -104,7 +104,7 @@ def _(t):
 
 
 @query("signals_with_sector", """
-SELECT s.symbol, d.sector, count(*) AS n, sum(CASE WHEN d.sector IS NULL THEN 1 ELSE 0 END) AS unmapped
+SELECT s.symbol, d.sector, count(*) AS n, count(CASE WHEN d.sector IS NULL THEN 1 END) AS unmapped
 FROM {scored_signals} s LEFT JOIN (SELECT DISTINCT ticker, sector FROM {universe_returns}
   WHERE sector IS NOT NULL AND sector <> '' AND sector <> 'ASIA') d ON s.symbol = d.ticker GROUP BY 1, 2""")
 def _(t):
