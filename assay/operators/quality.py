@@ -253,15 +253,22 @@ def score_calibration(signals: DataFrame, macro: DataFrame, horizon: str = "10d"
         rnd(F.avg(F.when(F.col("alpha") > 0, 1.0).otherwise(0.0)), 4).alias("beat_spy_pct"),
         F.min("score_date").alias("first_date"), F.max("score_date").alias("last_date"),
     )
-    distinct = _distinct_per_bin(binned, "score_date", "n_unique_dates").join(
-        _distinct_per_bin(binned, "symbol", "n_unique_tickers"), "bin")
-    top = top_categories(binned, ["bin"], "sector", 3).groupBy("bin").agg(
-        F.concat_ws(", ", F.array_sort(F.collect_list("label"))).alias("top_sectors"))
-    regimes = top_categories(binned, ["bin"], "market_regime", 10).groupBy("bin").agg(
-        F.concat_ws(", ", F.array_sort(F.collect_list("label"))).alias("regime_breakdown"))
+    # one pass counts every (bin, dimension, value); distinct and top values come from these counts
+    dims = {"date": F.col("score_date").cast("string"), "symbol": F.col("symbol"), "sector": F.col("sector"),
+            "regime": F.col("market_regime")}
+    pairs = F.explode(F.array(*[F.struct(F.lit(d).alias("dim"), c.alias("value")) for d, c in dims.items()])).alias("x")
+    counts = binned.select("bin", pairs).select("bin", "x.dim", "x.value").filter(F.col("value").isNotNull()).groupBy(
+        "bin", "dim", "value").agg(F.count("*").alias("cnt"))
+    distinct = counts.groupBy("bin").agg(
+        F.count_if(F.col("dim") == "date").alias("n_unique_dates"), F.count_if(F.col("dim") == "symbol").alias("n_unique_tickers"))
+    ranked = top_counts(counts.filter(F.col("dim").isin("sector", "regime")), ["bin", "dim"], "value", 10)
+    label = lambda d, n: F.when((F.col("dim") == d) & (F.col("rank") <= n), F.col("label"))
+    top = ranked.groupBy("bin").agg(
+        F.nullif(F.concat_ws(", ", F.array_sort(F.collect_list(label("sector", 3)))), F.lit("")).alias("top_sectors"),
+        F.nullif(F.concat_ws(", ", F.array_sort(F.collect_list(label("regime", 10)))), F.lit("")).alias("regime_breakdown"))
     rows = (
         stats.filter(F.col("n") >= min_per_bucket)
-        .join(distinct, "bin").join(top, "bin", "left").join(regimes, "bin", "left")
+        .join(distinct, "bin").join(top, "bin", "left")
     )
     everything = Window.partitionBy(F.lit(0))  # n_buckets rows
     falls = F.col("avg_alpha") < F.lag("avg_alpha").over(everything.orderBy("bin"))
@@ -275,14 +282,8 @@ def score_calibration(signals: DataFrame, macro: DataFrame, horizon: str = "10d"
     )
 
 
-def _distinct_per_bin(binned: DataFrame, col: str, out: str) -> DataFrame:
-    """Distinct values per bin: duplicates vanish map-side before any bin is gathered."""
-    return binned.select("bin", col).distinct().groupBy("bin").agg(F.count(col).alias(out))
-
-
-def top_categories(df: DataFrame, groups: list[str], col: str, limit: int) -> DataFrame:
+def top_counts(counts: DataFrame, groups: list[str], col: str, limit: int) -> DataFrame:
     """Most frequent values per group as ``rank:value=count``; ties by name."""
-    counts = df.filter(F.col(col).isNotNull()).groupBy(*groups, col).agg(F.count("*").alias("cnt"))
     order = Window.partitionBy(*groups).orderBy(F.col("cnt").desc(), col)
     return (
         counts.withColumn("rank", F.row_number().over(order))

@@ -416,6 +416,7 @@ SHARED = {
     "event_bars", "features", "event_outcomes", "order_log", "market_state",
 }
 _written: set[str] = set()
+_plans: dict[tuple[str, int, str], tuple[SparkSession, dict[str, DataFrame]]] = {}
 
 # Tables whose rows are worked on before their first shuffle.
 SPREAD = {"lineitem", "orders", "events"}
@@ -425,7 +426,10 @@ class Tables:
     """Lazy access to base tables and domain views of one data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir, self._cache = spark, sf_dir, {}
+        self.spark, self.sf_dir = spark, sf_dir
+        # plans are immutable: queries of one session share the resolved ones
+        key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+        self._cache: dict[str, DataFrame] = _plans.setdefault(key, (spark, {}))[1]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or (name not in VIEWS and name not in BASE):
