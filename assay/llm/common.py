@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,7 +78,7 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> I
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
         part = (np.cumsum(sizes, dtype=np.int64) - sizes) // limit
         cuts = np.flatnonzero(np.diff(part)) + 1
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
@@ -86,7 +87,7 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> I
 
 def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts after each other, and the offset of each text (one more than texts). Nulls are empty."""
-    texts = pa.compute.fill_null(texts, "") if texts.null_count else texts
+    texts = pc.fill_null(texts, "") if texts.null_count else texts
     texts = texts.cast(pa.large_binary())
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = texts.buffers()[2]
