@@ -188,3 +188,71 @@ def runs(values: np.ndarray) -> np.ndarray:
     out = np.ones(len(values), bool)
     out[1:] = values[1:] != values[:-1]
     return out
+
+
+# ---------------------------------------------------------------- packed postings
+
+KEY_BYTES = 16
+
+
+def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.Table]:
+    """Batches put together, or cut, so that the texts of each table hold about `limit` bytes."""
+    rest, have = [], 0
+    for part in byte_slices(batches, column, limit):
+        rest.append(part)
+        have += part.column(column).nbytes
+        if have >= limit:
+            yield pa.Table.from_batches(rest)
+            rest, have = [], 0
+    if rest:
+        yield pa.Table.from_batches(rest)
+
+
+def row_keys(table: pa.Table) -> np.ndarray:
+    """(doc_key, text_key) of every row as 16 bytes."""
+    both = [table.column(c).to_numpy() for c in ("doc_key", "text_key")]
+    return np.stack(both, axis=1).astype(np.int64).view(np.uint8).reshape(-1, KEY_BYTES)
+
+
+def postings(shard: np.ndarray, owner: np.ndarray, keys: np.ndarray, **values: np.ndarray) -> pa.Table:
+    """One row per shard: the keys of the owners in it, the number of each value's owner among them, and the values.
+
+    `owner` indexes `keys` and must not decrease. Thousands of values travel as one row of packed arrays.
+    """
+    order = np.argsort(shard, kind="stable")
+    shard, owner = shard[order], owner[order]
+    cuts = np.append(np.flatnonzero(runs(shard)), len(shard))
+    out: dict[str, list] = {"shard": [], "keys": [], "owner": [], **{k: [] for k in values}}
+    for a, b in zip(cuts, cuts[1:]):
+        new = runs(owner[a:b])
+        out["shard"].append(int(shard[a]))
+        out["keys"].append(keys[owner[a:b][new]].tobytes())
+        out["owner"].append(planes((np.cumsum(new) - 1).astype(np.uint32)))
+        for k, v in values.items():
+            part = v[order[a:b]]
+            out[k].append(planes(part) if k != "prints" else part.tobytes())
+    return pa.table({k: pa.array(v, pa.int64() if k == "shard" else pa.binary()) for k, v in out.items()})
+
+
+def unpack(group: pa.Table, **types) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+    """The keys of all rows of a group (16 bytes each), each value's index among them, and the values."""
+    keys, owner, base = [], [], 0
+    for k, o in zip(group.column("keys").to_pylist(), group.column("owner").to_pylist()):
+        keys.append(k)
+        owner.append(from_planes(o, np.uint32).astype(np.int64) + base)
+        base += len(k) // KEY_BYTES
+    values = {
+        name: np.concatenate([np.frombuffer(x, t) if name == "prints" else from_planes(x, t) for x in group.column(name).to_pylist()])
+        for name, t in types.items()
+    }
+    return np.frombuffer(b"".join(keys), np.uint8).reshape(-1, KEY_BYTES), np.concatenate(owner), values
+
+
+def index_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in byte order, and the index of each key among them."""
+    halves = np.ascontiguousarray(keys).view(">u8").astype(np.uint64)
+    order = np.lexsort((halves[:, 1], halves[:, 0]))
+    new = runs(halves[order, 0]) | runs(halves[order, 1])
+    index = np.empty(len(keys), np.int64)
+    index[order] = np.cumsum(new) - 1
+    return keys[order[new]], index

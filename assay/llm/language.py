@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -180,6 +181,19 @@ def identify(docs: DataFrame, names: list[str], prototypes: np.ndarray, id_col:
     return rows.mapInArrow(lambda it: _predict(names, prototypes, it), "doc_id long, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, names: list[str], prototypes: np.ndarray) -> DataFrame:
+    """The rows of `docs`, with all their columns, whose `text` has a language (is not `und`); their texts never move."""
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows), pa.int64()), batch.column("text")], names=["doc_id", "text"])
+            known = [p.column("lang_pred") for p in _predict(names, prototypes, iter([own]))]
+            if known:
+                yield batch.filter(pc.not_equal(pa.chunked_array(known), "und").combine_chunks())
+
+    return docs.mapInArrow(chosen, docs.schema)
+
+
 def fold(id_col: str, folds: int):
     """crc32 of the id as text, modulo `folds`; null ids are in fold 0."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds, F.lit(0))

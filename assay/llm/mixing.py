@@ -17,7 +17,7 @@ import functools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, keep, power_of_two
+from .common import NO_ID, WORD, keep, power_of_two, words_of
 
 #: Weights of the sources by order of name, repeating; share of all words that the mix has; most repeats of a source.
 WEIGHTS, SHARE, REPEATS = (3, 1, 2), 1.5, 2
@@ -71,16 +71,16 @@ def _before(df: DataFrame, value: str, bucket: list[str], inside: list[str], gro
 
 
 def stream(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7) -> DataFrame:
-    """(doc_id, source, size, ordering, position): every document's place, in words, in the hashed order of its source."""
+    """(doc_id, source, size, text_key, position): every document's place, in words, in the hashed order of its source."""
     ordering = F.md5(F.concat_ws("-", F.lit(str(seed)), F.col("doc_id").cast("string"), F.col("size").cast("string")))
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-        n_words(F.col(text_col)).alias("size"),
+        n_words(F.col(text_col)).alias("size"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key"),
     ).withColumn("ordering", ordering)
     rows = keep(rows)
     buckets = power_of_two(rows.count() / BUCKET_DOCS)
     rows = rows.withColumn("bucket", F.conv(F.substring("ordering", 1, 8), 16, 10).cast("long") % buckets)
-    return _before(rows, "size", ["bucket"], ["ordering", "doc_id"], ["source"], "position").drop("bucket", "ordering")
+    return _before(rows, "size", ["bucket"], ["ordering", "doc_id", "text_key"], ["source"], "position").drop("bucket", "ordering")
 
 
 def schedule(sources: DataFrame, block_words: int) -> DataFrame:
@@ -119,7 +119,7 @@ def mix(
 ) -> tuple[DataFrame, DataFrame]:
     """The mix as (places, pieces).
 
-    places: (doc_id, source, size, position, source_size, target), one row per document.
+    places: (doc_id, source, size, text_key, position, source_size, target), one row per document.
     pieces: (slot, pass, source, position, doc_id, first_word, last_word), the words [first_word, last_word) of a
     document that a slot takes; `source` and `position` name the document's place.
     A null source is a source of its own, the last; a null or empty text has no words and is never taken. Rows that
@@ -149,3 +149,31 @@ def mix_report(places: DataFrame, pieces: DataFrame) -> DataFrame:
     own = F.col("source").eqNullSafe(F.col("of_source")) & (F.col("position") == F.col("at")) & (F.col("size") > 0)
     return places.join(taken, own, "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, places: DataFrame, pieces: DataFrame) -> DataFrame:
+    """The rows of `docs` as often as the mix takes them, with all their columns; text holds the words that it takes.
+
+    A document taken whole keeps its text; one cut at the end of its source's target keeps its first words, joined by
+    one space. n_chars, where there is such a column, follows the text. `docs` has columns doc_id, text and source.
+    """
+    taken = pieces.groupBy(F.col("source").alias("of_source"), F.col("position").alias("at"), "pass").agg(
+        F.min("first_word").alias("from_word"), F.max("last_word").alias("to_word"))
+    on_place = F.col("source").eqNullSafe(F.col("of_source")) & (F.col("position") == F.col("at")) & (F.col("size") > 0)
+    key = {
+        "mix_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
+        "mix_source": F.struct(F.col("source").cast("string").alias("s")),
+    }
+    taken = places.join(taken, on_place).withColumns(key).select(
+        *key, F.col("text_key").alias("mix_text"), F.col("position").alias("mix_at"), F.col("pass").alias("mix_pass"),
+        "from_word", "to_word", F.col("size").alias("mix_size"))
+    rows = docs.withColumns(key | {"mix_text": F.xxhash64(F.coalesce(F.col("text"), F.lit("")))})
+    on = [*key, "mix_text"]
+    # A row that `docs` has twice has two places; each place yields one row.
+    rows = rows.join(taken, on).dropDuplicates([*on, "mix_at", "mix_pass"])
+    whole = (F.col("from_word") == 0) & (F.col("to_word") == F.col("mix_size"))
+    part = F.array_join(F.slice(words_of(F.col("text")), (F.col("from_word") + 1).cast("int"), (F.col("to_word") - F.col("from_word")).cast("int")), " ")
+    rows = rows.withColumn("text", F.when(whole, F.col("text")).otherwise(part))
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.char_length("text")).cast(docs.schema["n_chars"].dataType))
+    return rows.select(docs.columns)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language, mixing, packing, quality_model, quality_rules
+from . import exact_dedup, language, mixing, ngram_join, packing, quality_model, quality_rules
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +131,29 @@ FROM f
 @query("op10_quality_rules", OP10_SQL)
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir))
+
+
+OP7_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS g FROM w
+), u AS (
+  SELECT doc_id, len(g)::BIGINT AS n, unnest(g) AS x FROM s
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.x = b.x AND a.doc_id <> b.doc_id AND 10 * a.n >= 9 * b.n AND 10 * b.n >= 9 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reach AS (
+  WITH RECURSIVE r AS (SELECT a AS doc_id, a AS other FROM p UNION SELECT r.doc_id, p.b FROM r JOIN p ON r.other = p.a) SELECT * FROM r
+)
+SELECT doc_id, len(g)::BIGINT AS n_shingles, least(doc_id, (SELECT min(other) FROM reach WHERE reach.doc_id = s.doc_id))::BIGINT AS component_id
+FROM s
+"""
+
+
+@query("op7_ngram_join", OP7_SQL)
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.near_duplicates(documents(spark, sf_dir), width=3, similarity=Fraction(90, 100))
+    return found.select("doc_id", "n_shingles", "component_id")
