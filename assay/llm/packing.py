@@ -11,6 +11,7 @@ window exceeds its capacity.
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -26,7 +27,7 @@ SEPARATOR = 1
 #: The tokenizer file is shipped to the tasks as text; a larger one is refused.
 MOST_TOKENIZER_BYTES = 64 << 20
 #: Words whose ids a Python worker remembers; the memory is emptied when full.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 500_000
 PIECES = pa.schema([
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
     ("doc_tokens", pa.int64()), ("ids", pa.binary()),
@@ -35,22 +36,57 @@ PIECES = pa.schema([
 _tokenizers: dict[int, tuple] = {}
 
 
+#: A word of letters that normalisation keeps and that the tokenizer never splits before merging.
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: Closing punctuation is a unit of its own for the tokenizer, so it is cut off to have fewer different words.
+#: (Characters of the special tokens' strings are left alone.)
+_CLOSING = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([!-/:;=?-`{}~]+)(?=[\x09-\x0d ]|$)")
+TOGETHER = 1000
+
+
+def split_words(text: bytes) -> list[bytes]:
+    """Parts of a text that the tokenizer treats alone: it lowers case, and no unit of it spans white space."""
+    return _CLOSING.sub(rb" \1", text.lower()).split()
+
+
 class WordIds(dict):
-    """Bytes of a word to its ids as little-endian 32-bit integers, filled batch by batch."""
+    """Bytes of a word to its ids as little-endian 32-bit integers, filled batch by batch.
+
+    Plain words are encoded many at a time and told apart by the tokens that end a word; any other word is encoded alone.
+    """
 
     def __init__(self, model: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_str(model)
+        words = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(words.values()) + 1, bool)
+        self.ends[[i for w, i in words.items() if w.endswith("</w>")]] = True
+
+    def _encode(self, words: list[bytes]) -> list[np.ndarray]:
+        texts = [w.decode("utf-8", "replace") for w in words]
+        return [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: set[bytes]) -> None:
         new = [w for w in words if w not in self]
         if len(self) + len(new) > CACHED_WORDS:
             self.clear()
             new = list(words)
-        coded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        self.update((w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(new, coded))
+        plain = [w for w in new if _PLAIN.fullmatch(w)]
+        other = set(new).difference(plain)
+        for at in range(0, len(plain), TOGETHER):
+            some = plain[at : at + TOGETHER]
+            ids = self._encode([b" ".join(some)])[0]
+            cut = np.flatnonzero(self.ends[ids]) + 1
+            if len(cut) != len(some):  # a tokenizer without such word ends
+                other.update(some)
+                continue
+            data, cut = ids.tobytes(), (4 * cut).tolist()
+            self.update((w, data[a:b]) for w, a, b in zip(some, [0, *cut], cut))
+        for at in range(0, len(rest := list(other)), TOGETHER):
+            some = rest[at : at + TOGETHER]
+            self.update((w, x.tobytes()) for w, x in zip(some, self._encode(some)))
 
 
 def _word_ids(model: str) -> WordIds:
@@ -71,8 +107,8 @@ def cuts(length: int, window: int, largest_piece: int) -> list[int]:
 def _cut(model: str, window: int, largest_piece: int, with_ids: bool, batches: Iterator[pa.RecordBatch]):
     ids_of = _word_ids(model)
     end = np.array([SEPARATOR], "<u4").tobytes()
-    for part in byte_slices(batches, "text", 4 << 20):
-        texts = [t.split() if t else [] for t in part.column("text").cast(pa.binary()).to_pylist()]
+    for part in byte_slices(batches, "text", 2 << 20):
+        texts = [split_words(t) if t else [] for t in part.column("text").cast(pa.binary()).to_pylist()]
         ids_of.learn(set().union(*texts))
         get = ids_of.__getitem__
         out: dict[str, list] = {name: [] for name in PIECES.names}
