@@ -27,7 +27,7 @@ SEPARATOR = 1
 #: The tokenizer file is shipped to the tasks as text; a larger one is refused.
 MOST_TOKENIZER_BYTES = 64 << 20
 #: Words whose ids a Python worker remembers; the memory is emptied when full.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 1_200_000
 PIECES = pa.schema([
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
     ("doc_tokens", pa.int64()), ("ids", pa.binary()),
@@ -36,21 +36,16 @@ PIECES = pa.schema([
 _tokenizers: dict[int, tuple] = {}
 
 
-#: A word of letters that normalisation keeps and that the tokenizer never splits before merging.
-_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
-#: Closing punctuation is a unit of its own for the tokenizer, so it is cut off to have fewer different words.
-#: (Characters of the special tokens' strings are left alone.)
-_CLOSING = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([!-/:;=?-`{}~]+)(?=[\x09-\x0d ]|$)")
+#: A plain word, of letters that normalisation keeps, which the tokenizer never splits before merging; then closing
+#: punctuation, a unit of its own for the tokenizer. (Characters of the special tokens' strings are left out.)
+_PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:;=?-`{}~]*)")
 TOGETHER = 1000
 
 
-def split_words(text: bytes) -> list[bytes]:
-    """Parts of a text that the tokenizer treats alone: it lowers case, and no unit of it spans white space."""
-    return _CLOSING.sub(rb" \1", text.lower()).split()
-
-
 class WordIds(dict):
-    """Bytes of a word to its ids as little-endian 32-bit integers, filled batch by batch.
+    """Bytes of a word (ASCII lower case) to its ids as little-endian 32-bit integers, filled batch by batch.
+
+    No unit of the tokenizer spans white space and it lowers case, so a text's ids are those of its words in turn.
 
     Plain words are encoded many at a time and told apart by the tokens that end a word; any other word is encoded alone.
     """
@@ -69,12 +64,21 @@ class WordIds(dict):
         return [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
+        new = words.difference(self)
         if len(self) + len(new) > CACHED_WORDS:
             self.clear()
-            new = list(words)
-        plain = [w for w in new if _PLAIN.fullmatch(w)]
-        other = set(new).difference(plain)
+            new = words
+        plain, other, closed = set(), set(), []
+        for word in new:
+            if not (m := _PLAIN.fullmatch(word)):
+                other.add(word)
+                continue
+            core, closing = m.groups()
+            plain.add(core)
+            if closing:
+                other.add(closing)
+                closed.append((word, core, closing))
+        plain, other = list(plain.difference(self)), other.difference(self)
         for at in range(0, len(plain), TOGETHER):
             some = plain[at : at + TOGETHER]
             ids = self._encode([b" ".join(some)])[0]
@@ -87,6 +91,7 @@ class WordIds(dict):
         for at in range(0, len(rest := list(other)), TOGETHER):
             some = rest[at : at + TOGETHER]
             self.update((w, x.tobytes()) for w, x in zip(some, self._encode(some)))
+        self.update((w, self[core] + self[closing]) for w, core, closing in closed)
 
 
 def _word_ids(model: str) -> WordIds:
@@ -108,7 +113,7 @@ def _cut(model: str, window: int, largest_piece: int, with_ids: bool, batches: I
     ids_of = _word_ids(model)
     end = np.array([SEPARATOR], "<u4").tobytes()
     for part in byte_slices(batches, "text", 2 << 20):
-        texts = [split_words(t) if t else [] for t in part.column("text").cast(pa.binary()).to_pylist()]
+        texts = [t.lower().split() if t else [] for t in part.column("text").cast(pa.binary()).to_pylist()]
         ids_of.learn(set().union(*texts))
         get = ids_of.__getitem__
         out: dict[str, list] = {name: [] for name in PIECES.names}
@@ -194,7 +199,7 @@ def _pack(window: int, key: tuple, group: pa.Table) -> pa.Table:
 
 def pack(
     docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-    group_pieces: int = 2048, largest_piece: int = 512, with_ids: bool = False,
+    group_pieces: int = 1024, largest_piece: int = 512, with_ids: bool = False,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ids where asked for.
 
