@@ -10,6 +10,7 @@ window exceeds its capacity.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import re
 import zlib
@@ -27,7 +28,7 @@ SEPARATOR = 1
 #: The tokenizer file is shipped to the tasks as text; a larger one is refused.
 MOST_TOKENIZER_BYTES = 64 << 20
 #: Words whose ids a Python worker remembers; the memory is emptied when full.
-CACHED_WORDS = 1_200_000
+CACHED_WORDS = 2_000_000
 PIECES = pa.schema([
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
     ("doc_tokens", pa.int64()), ("ids", pa.binary()),
@@ -36,62 +37,68 @@ PIECES = pa.schema([
 _tokenizers: dict[int, tuple] = {}
 
 
-#: A plain word, of letters that normalisation keeps, which the tokenizer never splits before merging; then closing
-#: punctuation, a unit of its own for the tokenizer. (Characters of the special tokens' strings are left out.)
-_PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:;=?-`{}~]*)")
+#: A plain word: letters that normalisation keeps, which the tokenizer never splits before merging, then perhaps closing
+#: punctuation, which is a unit of its own. (Characters of the special tokens' strings are left out.)
+_CLOSING = rb"[!-/:;=?-`{}~]+"
+_PLAIN = re.compile(rb"^(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+(?:%s)?$" % _CLOSING, re.M)
+_CLOSES = re.compile(rb"(%s)$" % _CLOSING, re.M)
 TOGETHER = 1000
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary; spaces and line breaks stay."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + n) for n, b in enumerate(rest) if b not in (10, 32)}
+
+
 class WordIds(dict):
     """Bytes of a word (ASCII lower case) to its ids as little-endian 32-bit integers, filled batch by batch.
 
-    No unit of the tokenizer spans white space and it lowers case, so a text's ids are those of its words in turn.
-
-    Plain words are encoded many at a time and told apart by the tokens that end a word; any other word is encoded alone.
+    No unit of the tokenizer spans white space and it lowers case, so a text's ids are those of its words in turn. Plain
+    words skip the normaliser, which would not change them, and are encoded many at a time; the tokens that end a unit
+    tell them apart. Any other word is encoded alone.
     """
 
     def __init__(self, model: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         super().__init__()
-        self.tokenizer = Tokenizer.from_str(model)
+        self.tokenizer, self.plain = Tokenizer.from_str(model), Tokenizer.from_str(model)
+        self.plain.normalizer, self.plain.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+        self.letters = _byte_letters()
         words = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(words.values()) + 1, bool)
         self.ends[[i for w, i in words.items() if w.endswith("</w>")]] = True
 
-    def _encode(self, words: list[bytes]) -> list[np.ndarray]:
-        texts = [w.decode("utf-8", "replace") for w in words]
-        return [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _learn_plain(self, words: list[bytes]) -> bool:
+        units = _CLOSES.sub(rb" \1", b"\n".join(words))
+        text = units.decode().lower().encode().decode("latin-1").translate(self.letters)
+        ids = np.array(self.plain.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        gaps = np.frombuffer(units, np.uint8)
+        gaps = gaps[(gaps == 10) | (gaps == 32)]
+        cut = np.flatnonzero(self.ends[ids]) + 1
+        if len(cut) != len(gaps) + 1:  # a tokenizer without such word ends
+            return False
+        data, cut = ids.tobytes(), (4 * cut[np.append(np.flatnonzero(gaps == 10), -1)]).tolist()
+        self.update((w, data[a:b]) for w, a, b in zip(words, [0, *cut], cut))
+        return True
 
     def learn(self, words: set[bytes]) -> None:
         new = words.difference(self)
         if len(self) + len(new) > CACHED_WORDS:
             self.clear()
             new = words
-        plain, other, closed = set(), set(), []
-        for word in new:
-            if not (m := _PLAIN.fullmatch(word)):
-                other.add(word)
-                continue
-            core, closing = m.groups()
-            plain.add(core)
-            if closing:
-                other.add(closing)
-                closed.append((word, core, closing))
-        plain, other = list(plain.difference(self)), other.difference(self)
+        plain = _PLAIN.findall(b"\n".join(new))
+        other = list(new.difference(plain)) if len(plain) < len(new) else []
         for at in range(0, len(plain), TOGETHER):
-            some = plain[at : at + TOGETHER]
-            ids = self._encode([b" ".join(some)])[0]
-            cut = np.flatnonzero(self.ends[ids]) + 1
-            if len(cut) != len(some):  # a tokenizer without such word ends
-                other.update(some)
-                continue
-            data, cut = ids.tobytes(), (4 * cut).tolist()
-            self.update((w, data[a:b]) for w, a, b in zip(some, [0, *cut], cut))
-        for at in range(0, len(rest := list(other)), TOGETHER):
-            some = rest[at : at + TOGETHER]
-            self.update((w, x.tobytes()) for w, x in zip(some, self._encode(some)))
-        self.update((w, self[core] + self[closing]) for w, core, closing in closed)
+            if not self._learn_plain(some := plain[at : at + TOGETHER]):
+                other += some
+        for at in range(0, len(other), TOGETHER):
+            some = other[at : at + TOGETHER]
+            texts = [w.decode("utf-8", "replace") for w in some]
+            coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            self.update((w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(some, coded))
 
 
 def _word_ids(model: str) -> WordIds:
@@ -111,6 +118,7 @@ def cuts(length: int, window: int, largest_piece: int) -> list[int]:
 
 def _cut(model: str, window: int, largest_piece: int, with_ids: bool, batches: Iterator[pa.RecordBatch]):
     ids_of = _word_ids(model)
+    gc.disable()  # nothing here makes cycles, and the collector would walk all words again and again
     end = np.array([SEPARATOR], "<u4").tobytes()
     for part in byte_slices(batches, "text", 2 << 20):
         texts = [t.lower().split() if t else [] for t in part.column("text").cast(pa.binary()).to_pylist()]
@@ -199,7 +207,7 @@ def _pack(window: int, key: tuple, group: pa.Table) -> pa.Table:
 
 def pack(
     docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-    group_pieces: int = 1024, largest_piece: int = 512, with_ids: bool = False,
+    group_pieces: int = 512, largest_piece: int = 512, with_ids: bool = False,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ids where asked for.
 
