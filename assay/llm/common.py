@@ -256,3 +256,54 @@ def index_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     index = np.empty(len(keys), np.int64)
     index[order] = np.cumsum(new) - 1
     return keys[order[new]], index
+
+
+def repeated(values: np.ndarray) -> np.ndarray:
+    """True for each value that occurs more than once (values alone sort several times faster than with their places)."""
+    ordered = np.sort(values)
+    many = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    if not len(many):
+        return np.zeros(len(values), bool)
+    at = np.searchsorted(many, values)
+    return many[np.minimum(at, len(many) - 1)] == values
+
+
+def doc_keys(keys: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(keys[:, :8]).view(np.int64).ravel()
+
+
+def text_shard(keys: np.ndarray, shards: int) -> np.ndarray:
+    """A shard for each row key, by its text and id."""
+    halves = np.ascontiguousarray(keys).view(np.uint64).reshape(-1, 2)
+    return (mix(halves[:, 0] ^ mix(halves[:, 1])) % np.uint64(shards)).astype(np.int64)
+
+
+def merge_spans(owner: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal spans of each owner: overlapping and touching ones become one."""
+    by = np.lexsort((starts, owner))
+    owner, starts, ends = owner[by], starts[by].astype(np.int64), ends[by].astype(np.int64)
+    if not len(owner):
+        return owner, starts, ends
+    # Running largest end inside each owner: owners are moved apart by more than any end.
+    apart = int(ends.max()) + 2
+    group = np.cumsum(runs(owner)) - 1
+    reach = np.maximum.accumulate(ends + group * apart) - group * apart
+    first = np.ones(len(owner), bool)
+    first[1:] = (group[1:] != group[:-1]) | (starts[1:] > reach[:-1])
+    at = np.flatnonzero(first)
+    return owner[at], starts[at], reach[np.append(at[1:], len(owner)) - 1]
+
+
+SPANS = "doc_key long, text_key long, starts binary, ends binary"
+
+
+def span_rows(keys: np.ndarray, owner: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Table:
+    """One row per owner: its key and its merged spans."""
+    owner, starts, ends = merge_spans(owner, starts, ends)
+    cuts = np.append(np.flatnonzero(runs(owner)), len(owner)) if len(owner) else np.zeros(1, np.int64)
+    named = np.ascontiguousarray(keys[owner[cuts[:-1]]]).view(np.int64).reshape(-1, 2)
+    return pa.table({
+        "doc_key": pa.array(named[:, 0]), "text_key": pa.array(named[:, 1]),
+        "starts": pa.array([starts[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+        "ends": pa.array([ends[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+    })

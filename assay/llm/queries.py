@@ -6,8 +6,9 @@ from collections.abc import Callable
 from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, language, mixing, ngram_join, packing, quality_model, quality_rules
+from . import exact_dedup, language, mixing, ngram_join, packing, quality_model, quality_rules, substring_dedup, suffix_dedup
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +158,36 @@ FROM s
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.near_duplicates(documents(spark, sf_dir), width=3, similarity=Fraction(90, 100))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+OP3_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), g AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w WHERE len(ws) >= 20)
+), l AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1 AS later FROM g
+), c AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS j FROM l WHERE later
+), k AS (
+  SELECT u.doc_id, count(*) AS n, string_agg(u.x, ' ' ORDER BY u.j) AS kept
+  FROM (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) AS j FROM w) u
+  WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.doc_id = u.doc_id AND c.j = u.j) GROUP BY u.doc_id
+)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k ON w.doc_id = k.doc_id
+"""
+
+
+@query("op3_substring_dedup", OP3_SQL)
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op6_suffix_dedup")
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
