@@ -8,7 +8,10 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language, mixing, ngram_join, packing, quality_model, quality_rules, substring_dedup, suffix_dedup
+from . import (
+    exact_dedup, language, license_scan, mixing, ngram_join, packing, quality_model, quality_rules, substring_dedup,
+    suffix_dedup,
+)
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +194,8 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(documents(spark, sf_dir))
     return found.select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+@query("op5_license_scan")
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir)).drop("detections")
