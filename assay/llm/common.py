@@ -37,11 +37,24 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder[0]
 
 
+#: Whether Spark drops the shuffle files of a query when the query has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def keep(df: DataFrame) -> DataFrame:
-    """Write the table to the shared folder and read it back: lineage ends here, and a lost executor costs no rerun."""
-    path = f"{shared_folder(df.sparkSession)}/assay-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write the table to the shared folder and read it back: lineage ends here, and a lost executor costs no rerun.
+
+    The shuffle files behind it are of no use once it is written, so they go then and not when the session ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/assay-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
