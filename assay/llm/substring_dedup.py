@@ -24,7 +24,7 @@ from .common import (
     span_hashes, span_rows, text_bytes, text_shard, unpack,
 )
 
-SLICE, CHUNK, SHARD_WINDOWS = 1 << 20, 8 << 20, 1 << 21
+SLICE, CHUNK, SHARD_WINDOWS = 1 << 20, 4 << 20, 1 << 21
 BASES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 PLACES = "shard long, keys binary, owner binary, pos binary"
 
@@ -50,7 +50,8 @@ def _windows(width: int, shards: int, batches: Iterator[pa.RecordBatch]) -> Iter
             starts, owner = words.windows(width)
             hashes = words.hashes()
             one, two = (span_hashes(hashes, starts, starts + width, b) for b in BASES)
-            parts.append((one, (two >> np.uint64(24)).astype(np.int64) % shards, owner + base, (starts - words.first[owner]).astype(np.uint32)))
+            shard = ((two >> np.uint64(24)).astype(np.int64) % shards).astype(np.int32)
+            parts.append((one, shard, (owner + base).astype(np.int32), (starts - words.first[owner]).astype(np.uint32)))
             base += part.num_rows
         prints, shard, owner, pos = (np.concatenate(x) for x in zip(*parts))
         if not len(prints):
