@@ -24,7 +24,7 @@ from .common import (
     span_hashes, span_rows, text_bytes, text_shard, unpack,
 )
 
-SLICE, CHUNK, SHARD_WINDOWS = 1 << 20, 4 << 20, 1 << 21
+SLICE, CHUNK, SHARD_WINDOWS = 1 << 20, 4 << 20, 1 << 20
 BASES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 PLACES = "shard long, keys binary, owner binary, pos binary"
 
