@@ -154,8 +154,8 @@ def text_vectors(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _predict(names: list[str], prototypes: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in byte_slices(batches, "text", SLICE):
-        for at in range(0, batch.num_rows, 2048):
-            part = batch.slice(at, 2048)
+        for at in range(0, batch.num_rows, 512):
+            part = batch.slice(at, 512)
             vectors, has_letter = text_vectors(part.column("text"))
             length = np.linalg.norm(vectors, axis=1)
             known = has_letter & (len(names) > 0)

@@ -27,8 +27,8 @@ WINDOW = 2048
 SEPARATOR = 1
 #: The tokenizer file is shipped to the tasks as text; a larger one is refused.
 MOST_TOKENIZER_BYTES = 64 << 20
-#: Words whose ids a Python worker remembers; the memory is emptied when full.
-CACHED_WORDS = 2_000_000
+#: Words whose ids a task remembers; the memory is emptied when full and at the task's end.
+CACHED_WORDS = 1_000_000
 PIECES = pa.schema([
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
     ("doc_tokens", pa.int64()), ("ids", pa.binary()),
@@ -137,6 +137,8 @@ def _cut(model: str, window: int, largest_piece: int, with_ids: bool, batches: I
                 out["doc_tokens"].append(at[-1])
                 out["ids"].append(piece if with_ids else None)
         yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in PIECES], schema=PIECES)
+    ids_of.clear()
+    gc.enable()
 
 
 def differencing(lengths: np.ndarray, bins: int) -> np.ndarray:
