@@ -78,10 +78,10 @@ def trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         symbols[far] = [60 + c * 40503 % 65521 % (SYMBOLS - 60) if chr(c).isalpha() else 0 for c in codes[far].tolist()]
     else:
         symbols = symbol_table()[codes]
-    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    owner = np.repeat(np.arange(len(bounds) - 1, dtype=np.int32), np.diff(bounds))
     # A boundary before each text and after the last, then no two boundaries in a row.
     symbols = np.insert(symbols, bounds, 0)
-    owner = np.insert(owner, bounds, np.arange(len(bounds)))
+    owner = np.insert(owner, bounds, np.arange(len(bounds), dtype=np.int32))
     keep = np.ones(len(symbols), bool)
     keep[1:] = (symbols[1:] != 0) | (symbols[:-1] != 0)
     symbols, owner = symbols[keep].astype(np.int32), owner[keep]
@@ -103,7 +103,7 @@ def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, code, n): trigram counts of each slice by language."""
-    for part in byte_slices(batches, "text", 4 * SLICE):
+    for part in byte_slices(batches, "text", SLICE):
         code, owner, _ = trigrams(part.column("text"))
         names = part.column("lang").dictionary_encode()
         found, index = _distinct(code)
@@ -147,7 +147,7 @@ def text_vectors(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     for at in range(0, len(found), 4096):  # bounded memory: some distinct trigrams at a time
         part = (index >= at) & (index < at + 4096)
         width = min(4096, len(found) - at)
-        counts = np.bincount(owner[part] * width + (index[part] - at), minlength=len(texts) * width)
+        counts = np.bincount(owner[part].astype(np.int64) * width + (index[part] - at), minlength=len(texts) * width)
         out += counts.astype(np.float32).reshape(len(texts), width) @ trigram_vectors(found[at : at + width])
     return out, has_letter
 
