@@ -8,8 +8,11 @@ a print are candidates. Sizes fall into classes in which one number of fragments
 its own class and of the next one, since a partner is at most one class away. Agreement on an empty fragment proves
 nothing: a set with so many empty fragments that its agreements could all be empty also sends those of another order.
 
-Overlaps. Candidates form families (components of shared prints). Inside a family, the distinct n-grams are cut into
-fragments again, the overlaps of all pairs are counted per fragment as a product of two 0/1 matrices, and the partial
+Filter. Candidates form families (components of shared prints). Each set has a parity sketch: one bit per bucket of
+n-grams, true where the bucket holds an odd number. Sketches differ in no more bits than the sets differ in n-grams, so
+pairs whose sketches differ in more than D bits are no links; families are split to what is left.
+
+Overlaps. Inside a family, the distinct n-grams are cut into fragments again, the overlaps of all pairs are counted per fragment as a product of two 0/1 matrices, and the partial
 counts are summed per pair. Families above a bound are cut by size class and hash into blocks and compared block by
 block in many tasks. Only a spanning star of the links found leaves a task, never the pairs.
 
@@ -33,8 +36,9 @@ from .common import (
 from .components import components
 
 SLICE, CHUNK = 2 << 20, 8 << 20
-#: N-grams of a family, or of a block of one, that a task compares; columns of one fragment of the overlap count.
-BLOCK_GRAMS, FRAGMENT = 1 << 18, 2048
+#: N-grams of a family, or of a block of one, that a task compares, a set counting as NODE_GRAMS more; columns of one
+#: fragment of the overlap count.
+BLOCK_GRAMS, NODE_GRAMS, FRAGMENT = 1 << 18, 256, 2048
 #: Prints in one shard, about.
 SHARD_PRINTS = 1 << 19
 
@@ -113,14 +117,30 @@ def prints(grams: np.ndarray, bounds: np.ndarray, similarity: Fraction) -> tuple
     return owner[by], found[by]
 
 
-def _sets(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_key, text_key, doc_id, n, node): the size and the name of each row's set."""
+def most_apart(similarity: Fraction, sizes: np.ndarray) -> np.ndarray:
+    """In how many n-grams two linked sets differ at most, by the sum of their sizes."""
+    return (similarity.denominator - similarity.numerator) * sizes // (similarity.denominator + similarity.numerator)
+
+
+def sketches(grams: np.ndarray, bounds: np.ndarray, similarity: Fraction) -> list[bytes]:
+    """Parity sketch of each set; its length, a power of two, is four times the largest difference or more."""
+    out = []
+    for a, b in zip(bounds, bounds[1:]):
+        bits = max(64, power_of_two(4 * most_apart(similarity, 2 * (b - a))))
+        odd = np.bincount(((grams[a:b] >> np.uint64(20)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+        out.append(np.packbits(odd.astype(np.uint8), bitorder="little").tobytes())
+    return out
+
+
+def _sets(width: int, similarity: Fraction, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_key, text_key, doc_id, n, node, sketch): the size, the name and the sketch of each row's set."""
     for part in byte_slices(batches, "text", SLICE):
         grams, bounds = gram_sets(part.column("text"), width)
         names = [k.tobytes() if n else None for k, n in zip(set_keys(grams, bounds), np.diff(bounds))]
         yield pa.RecordBatch.from_arrays(
-            [*(part.column(c) for c in ("doc_key", "text_key", "doc_id")), pa.array(np.diff(bounds)), pa.array(names, pa.binary())],
-            names=["doc_key", "text_key", "doc_id", "n", "node"])
+            [*(part.column(c) for c in ("doc_key", "text_key", "doc_id")), pa.array(np.diff(bounds)),
+             pa.array(names, pa.binary()), pa.array(sketches(grams, bounds, similarity), pa.binary())],
+            names=["doc_key", "text_key", "doc_id", "n", "node", "sketch"])
 
 
 def _postings(width: int, similarity: Fraction, shards: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,30 +210,54 @@ def _spanning(links: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _compare(similarity: Fraction, group: pa.Table) -> pa.Table:
+def _sets_linked(similarity: Fraction, payload: list[bytes], sizes: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Is each set of `left` linked with each of `right`? Exact."""
+    sets = [np.frombuffer(x, np.uint64) for x in payload]
+    both = overlaps(np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets), left, right)
+    union = (sizes[left][:, None] + sizes[right][None, :]).astype(np.float32) - both
+    return similarity.denominator * both >= similarity.numerator * union
+
+
+def _sketches_near(similarity: Fraction, payload: list[bytes], sizes: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Can each set of `left` be linked with each of `right`, by their sketches? Never false for a link."""
+    out = np.zeros((len(left), len(right)), bool)
+    length = np.array([len(x) for x in payload])
+
+    def shortened(rows: np.ndarray, size: int) -> np.ndarray:
+        """Sketches folded to `size` bytes: halves of a parity sketch add up by exclusive or."""
+        folded = []
+        for i in rows:
+            x = np.frombuffer(payload[i], np.uint64)
+            folded.append(np.bitwise_xor.reduce(x.reshape(-1, size // 8), axis=0))
+        return np.array(folded).reshape(len(rows), size // 8)
+
+    for one in np.unique(length[left]):
+        for two in np.unique(length[right]):
+            size = min(one, two)
+            a, b = np.flatnonzero(length[left] == one), np.flatnonzero(length[right] == two)
+            x, y = shortened(left[a], size), shortened(right[b], size)
+            apart = np.zeros((len(a), len(b)), np.int32)
+            for word in range(size // 8):
+                apart += np.bitwise_count(x[:, word, None] ^ y[None, :, word])
+            out[np.ix_(a, b)] = apart <= most_apart(similarity, sizes[left[a]][:, None] + sizes[right[b]][None, :])
+    return out
+
+
+def _compare(similarity: Fraction, linked, group: pa.Table) -> pa.Table:
     """Stars (a, b) of the links inside one task: families, or two blocks of one family (side 0 and side 1)."""
     out: tuple[list, list] = ([], [])
     group = group.sort_by([("family", "ascending"), ("node", "ascending"), ("side", "ascending")])
     family, nodes = group.column("family").combine_chunks(), group.column("node").to_pylist()
-    side = group.column("side").to_numpy()
-    sets = [np.frombuffer(x, np.uint64) for x in group.column("grams").to_pylist()]
+    side, n, payload = group.column("side").to_numpy(), group.column("n").to_numpy(), group.column("payload").to_pylist()
     cuts = np.append(np.flatnonzero(runs(family.dictionary_encode().indices.to_numpy())), len(nodes))
     for a, b in zip(cuts, cuts[1:]):
         here = [i for i in range(a, b) if i == a or nodes[i] != nodes[i - 1]]  # a set may come more than once
-        if len(here) < 2:
+        left = np.flatnonzero(side[here] == 0)
+        right = np.flatnonzero(side[here] == 1) if side[here].max() > 0 else left
+        if len(here) < 2 or not len(left) or not len(right):
             continue
-        sizes = np.array([len(sets[i]) for i in here])
-        rows, grams = np.repeat(np.arange(len(here)), sizes), np.concatenate([sets[i] for i in here])
-        two = side[here].max() > 0
-        left = np.flatnonzero(side[here] == 0) if two else np.arange(len(here))
-        right = np.flatnonzero(side[here] == 1) if two else left
-        if not len(left) or not len(right):
-            continue
-        both = overlaps(rows, grams, left, right)
-        least = similarity.numerator * (sizes[left][:, None] + sizes[right][None, :] - both)
-        linked = similarity.denominator * both >= least - 1e-3
         full = np.zeros((len(here), len(here)), bool)
-        full[np.ix_(left, right)] = linked
+        full[np.ix_(left, right)] = linked(similarity, [payload[i] for i in here], n[here], left, right)
         full |= full.T
         for i, root in enumerate(_spanning(full)):
             if root != i:
@@ -228,12 +272,13 @@ def _with_sets(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
         sets = [grams[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
         yield pa.RecordBatch.from_arrays(
             [*(part.column(c) for c in ("family", "node", "level", "n")), pa.array(sets, pa.binary())],
-            names=["family", "node", "level", "n", "grams"])
+            names=["family", "node", "level", "n", "payload"])
 
 
 def _tasks(members: DataFrame) -> DataFrame:
-    """(task, side, family, node, grams): members (family, node, level, n, grams) dealt to the tasks that compare them."""
-    sizes = members.groupBy("family", "level").agg(F.sum(F.col("n") + 64).alias("grams_here"))
+    """(task, side, family, node, n, payload): members, with a level, dealt to the tasks that compare them."""
+    weight = (F.octet_length("payload") / 8).cast("long") + NODE_GRAMS
+    sizes = members.groupBy("family", "level").agg(F.sum(weight).alias("grams_here"))
     blocks = F.greatest(F.lit(1), F.ceil(F.col("grams_here") / BLOCK_GRAMS)).cast("long")
     sizes = sizes.withColumn("blocks", blocks).withColumn("whole", F.sum("grams_here").over(Window.partitionBy("family")))
     by_level = Window.partitionBy("family").orderBy("level")
@@ -246,7 +291,7 @@ def _tasks(members: DataFrame) -> DataFrame:
     groups = power_of_two((sizes.where(F.col("whole") <= BLOCK_GRAMS).agg(F.sum(F.col("whole") / F.col("blocks"))).first()[0] or 0) / BLOCK_GRAMS)
     small = m.where(F.col("whole") <= BLOCK_GRAMS).select(
         F.concat(F.lit("g"), F.pmod(F.xxhash64("family"), F.lit(groups)).cast("string")).alias("task"),
-        F.lit(0).alias("side"), "family", "node", "grams")
+        F.lit(0).alias("side"), "family", "node", "n", "payload")
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
     task = lambda la, a, lb, b: F.concat_ws("-", F.hex("family"), la, a, lb, b)
     level, up, down = F.col("level"), F.col("level") + 1, F.col("level") - 1
@@ -258,7 +303,7 @@ def _tasks(members: DataFrame) -> DataFrame:
     above = some("above", lambda j: pair(task(level, F.col("own"), up, j), F.lit(0)))
     below = some("below", lambda j: pair(task(down, j, level, F.col("own")), F.lit(1)))
     large = m.where(F.col("whole") > BLOCK_GRAMS).withColumn("own", own)
-    large = large.withColumn("t", F.explode(F.concat(inside, above, below))).select("t.task", "t.side", "family", "node", "grams")
+    large = large.withColumn("t", F.explode(F.concat(inside, above, below))).select("t.task", "t.side", "family", "node", "n", "payload")
     return small.union(large)
 
 
@@ -275,19 +320,24 @@ def near_duplicates(
     rows = keyed(docs, id_col, text_col)
     shards = power_of_two(text_bytes(docs, text_col) / 6 * 2.2 * float(1 - similarity) / SHARD_PRINTS)
     shards = max(64, shards)
-    table = keep(rows.mapInArrow(lambda it: _sets(width, it), "doc_key long, text_key long, doc_id long, n long, node binary"))
+    table = keep(rows.mapInArrow(lambda it: _sets(width, similarity, it), "doc_key long, text_key long, doc_id long, n long, node binary, sketch binary"))
     packed = rows.select("text").mapInArrow(
         lambda it: _postings(width, similarity, shards, it), "shard long, keys binary, owner binary, prints binary")
     stars = packed.groupBy("shard").applyInArrow(_candidates, "a binary, b binary")
-    families = components(stars).withColumnRenamed("root", "family")
     nodes = table.where("node is not null").groupBy("node").agg(
-        F.min(F.struct("doc_key", "text_key")).alias("best"), F.first("n").alias("n"))
+        F.min(F.struct("doc_key", "text_key")).alias("best"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     size_class = F.floor(F.log(F.col("n").cast("double")) / levels(similarity, np.ones(1))[1]).cast("long")
-    wanted = families.join(nodes, "node").select("family", "node", "n", size_class.alias("level"), "best.doc_key", "best.text_key")
+    named = nodes.select("node", "n", size_class.alias("level"), "best.doc_key", "best.text_key", F.col("sketch").alias("payload"))
+
+    def links(members: DataFrame, linked) -> DataFrame:
+        return _tasks(members).groupBy("task").applyInArrow(lambda g: _compare(similarity, linked, g), "a binary, b binary")
+
+    families = components(stars).withColumnRenamed("root", "family")
+    near = components(links(keep(families.join(named, "node")), _sketches_near)).withColumnRenamed("root", "family")
+    wanted = near.join(named.drop("payload"), "node")
     members = rows.select("doc_key", "text_key", "text").join(wanted, ["doc_key", "text_key"]).select("family", "node", "level", "n", "text")
-    members = keep(members.mapInArrow(lambda it: _with_sets(width, it), "family binary, node binary, level long, n long, grams binary"))
-    links = _tasks(members).groupBy("task").applyInArrow(lambda g: _compare(similarity, g), "a binary, b binary")
-    roots = keep(components(links))
+    members = keep(members.mapInArrow(lambda it: _with_sets(width, it), "family binary, node binary, level long, n long, payload binary"))
+    roots = keep(components(links(members, _sets_linked)))
     named = nodes.join(roots, "node", "left").select("node", "best", F.coalesce("root", "node").alias("root"))
     best = named.groupBy("root").agg(F.min("best").alias("least"))
     final = named.join(best, "root").select("node", "least")
