@@ -78,7 +78,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     norm = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), WHITE, " ")
     print_ = F.xxhash64("norm")
     if print_bits < 64:
-        print_ = F.shiftrightunsigned(print_, 64 - print_bits) * F.lit(1 << (64 - print_bits))
+        print_ = print_.bitwiseAND(F.lit(-(1 << (64 - print_bits))))
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), norm.alias("norm"))
     rows = keep(base.select(
         "doc_id", F.monotonically_increasing_id().alias("row"), print_.alias("print"),

@@ -34,21 +34,21 @@ apache|3|apache|(?:licensed|released|distributed|available) under (?:the )?(?:te
 apache|2|apache|apache (?:software )?licen[cs]e
 apache|2|apache|asl licen[cs]e from apache
 gpl-1.0|4|gpl|gpl (?:version |v )1(?: 0)?
-gpl-1.0|4|general public|general public licen[cs]e (?:version |v )1(?: 0)?
+gpl-1.0|4|general public|(?:gnu )?general public licen[cs]e (?:version |v )1(?: 0)?
 gpl-2.0|4|general public|(?:licensed|released|distributed) under (?:the )?(?:terms of (?:the )?)?(?:gnu )?general public licen[cs]e (?:version |v )2(?: 0)?
-gpl-2.0|4|general public|general public licen[cs]e (?:version |v )2(?: 0)?
+gpl-2.0|4|general public|(?:gnu )?general public licen[cs]e (?:version |v )2(?: 0)?
 gpl-2.0|4|gpl|gpl ?(?:version |v ?)?2(?: 0)?
 gpl-2.0|4|gpl|spdx licen[cs]e identifier gpl 2 0
 gpl-2.0-only|4|gpl|gpl 2 0 only
 gpl-2.0-or-later|4|gpl|gpl 2 0 or later
-gpl-2.0-or-later|4|general public|general public licen[cs]e(?: \S+){0,8} version 2(?: \S+){0,4} (?:or )?(?:\S+ ){0,4}any later version
+gpl-2.0-or-later|4|general public|(?:gnu )?general public licen[cs]e(?: \S+){0,8} version 2(?: \S+){0,4} (?:or )?(?:\S+ ){0,4}any later version
 gpl-3.0|4|general public|(?:licensed|released|distributed) under (?:the )?(?:terms of (?:the )?)?(?:gnu )?general public licen[cs]e (?:version |v )3(?: 0)?
-gpl-3.0|4|general public|general public licen[cs]e (?:version |v )3(?: 0)?
+gpl-3.0|4|general public|(?:gnu )?general public licen[cs]e (?:version |v )3(?: 0)?
 gpl-3.0|4|gpl|gpl ?(?:version |v ?)?3(?: 0)?
 gpl-3.0|4|gpl|spdx licen[cs]e identifier gpl 3 0
 gpl-3.0-only|4|gpl|gpl 3 0 only
 gpl-3.0-or-later|4|gpl|gpl 3 0 or later
-gpl-3.0-or-later|4|general public|general public licen[cs]e(?: \S+){0,8} version 3(?: \S+){0,4} (?:or )?(?:\S+ ){0,4}any later version
+gpl-3.0-or-later|4|general public|(?:gnu )?general public licen[cs]e(?: \S+){0,8} version 3(?: \S+){0,4} (?:or )?(?:\S+ ){0,4}any later version
 gpl|3|general public|(?:licensed|released|distributed|available) under (?:the )?(?:terms of (?:the )?)?(?:gnu )?general public licen[cs]e
 gpl|3|redistribute|redistribute it and or modify it under the terms of the gnu general public licen[cs]e
 gpl|3|gpl|(?:licensed|released|distributed|available) under (?:the )?(?:gnu )?gpl
@@ -56,12 +56,12 @@ gpl|3|warranty|without even the implied warranty of merchantability or fitness f
 gpl|2|general public|(?:gnu )?general public licen[cs]e
 gpl|2|gpl|gnu gpl
 gpl|2|gpl|gpl licen[cs]e
-lgpl-2.0|4|general public|library general public licen[cs]e(?: version 2(?: 0)?)?
+lgpl-2.0|4|general public|(?:gnu )?library general public licen[cs]e(?: version 2(?: 0)?)?
 lgpl-2.0|4|lgpl|lgpl ?(?:version |v ?)?2 0
-lgpl-2.1|4|general public|lesser general public licen[cs]e (?:version |v )2 1
+lgpl-2.1|4|general public|(?:gnu )?lesser general public licen[cs]e (?:version |v )2 1
 lgpl-2.1|4|lgpl|lgpl ?(?:version |v ?)?2 1
 lgpl-2.1|4|lgpl|spdx licen[cs]e identifier lgpl 2 1
-lgpl-3.0|4|general public|lesser general public licen[cs]e (?:version |v )3(?: 0)?
+lgpl-3.0|4|general public|(?:gnu )?lesser general public licen[cs]e (?:version |v )3(?: 0)?
 lgpl-3.0|4|lgpl|lgpl ?(?:version |v ?)?3(?: 0)?
 lgpl-3.0|4|lgpl|spdx licen[cs]e identifier lgpl 3 0
 lgpl|3|lgpl|(?:licensed|released|distributed|available) under (?:the )?(?:gnu )?lgpl
@@ -73,9 +73,9 @@ agpl-3.0|4|agpl|agpl ?(?:version |v ?)?3(?: 0)?
 agpl-3.0|4|agpl|spdx licen[cs]e identifier agpl 3 0
 agpl|3|agpl|(?:licensed|released|distributed|available) under (?:the )?(?:gnu )?agpl
 agpl|2|general public|(?:gnu )?affero general public licen[cs]e
-gfdl-1.1|4|free documentation|free documentation licen[cs]e (?:version |v )1 1
-gfdl-1.2|4|free documentation|free documentation licen[cs]e (?:version |v )1 2
-gfdl-1.3|4|free documentation|free documentation licen[cs]e (?:version |v )1 3
+gfdl-1.1|4|free documentation|(?:gnu )?free documentation licen[cs]e (?:version |v )1 1
+gfdl-1.2|4|free documentation|(?:gnu )?free documentation licen[cs]e (?:version |v )1 2
+gfdl-1.3|4|free documentation|(?:gnu )?free documentation licen[cs]e (?:version |v )1 3
 gfdl|2|free documentation|(?:gnu )?free documentation licen[cs]e
 bsd-2-clause|4|bsd|(?:simplified bsd|2 clause bsd|bsd 2 clause) licen[cs]e
 bsd-2-clause|4|freebsd|freebsd licen[cs]e

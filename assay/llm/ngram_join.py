@@ -6,7 +6,8 @@ Candidates. Two sets of similarity t differ in at most D n-grams, D following fr
 fragments, linked sets agree wholly in at least one, so every set sends the print of each fragment, and sets that share
 a print are candidates. Sizes fall into classes in which one number of fragments serves; a set sends the fragments of
 its own class and of the next one, since a partner is at most one class away. Agreement on an empty fragment proves
-nothing: a set with so many empty fragments that its agreements could all be empty also sends those of another order.
+nothing: a set with so many empty fragments that its agreements could all be empty also sends those of another order
+(and after some orders, as happens at low similarities, its single n-grams).
 
 Filter. Candidates form families (components of shared prints). Each set has a parity sketch: one bit per bucket of
 n-grams, true where the bucket holds an odd number. Sketches differ in no more bits than the sets differ in n-grams, so
@@ -39,6 +40,8 @@ SLICE, CHUNK = 2 << 20, 8 << 20
 #: N-grams of a family, or of a block of one, that a task compares, a set counting as NODE_GRAMS more; columns of one
 #: fragment of the overlap count.
 BLOCK_GRAMS, NODE_GRAMS, FRAGMENT = 1 << 18, 256, 2048
+#: Orders of the n-grams that are tried before a set sends its n-grams one by one.
+ORDERS = 6
 #: Prints in one shard, about.
 SHARD_PRINTS = 1 << 19
 
@@ -94,6 +97,11 @@ def prints(grams: np.ndarray, bounds: np.ndarray, similarity: Fraction) -> tuple
         alive = np.flatnonzero((sizes > 0) & (most > 0))  # without a difference, the sets are equal and one node
         order = 0
         while len(alive):
+            if order == ORDERS:  # sets of few n-grams for their fragments: links share at least one n-gram
+                at = np.concatenate([np.arange(bounds[i], bounds[i + 1]) for i in alive])
+                owners.append(np.repeat(alive, sizes[alive]))
+                found.append(mix(grams[at] + np.uint64(0x5851F42D4C957F2D)))
+                break
             value = grams if not order else mix(grams + np.uint64(order))
             at = np.concatenate([np.arange(bounds[i], bounds[i + 1]) for i in alive]) if order else np.flatnonzero(np.repeat((sizes > 0) & (most > 0), sizes))
             owner = np.repeat(alive, sizes[alive])
