@@ -20,7 +20,9 @@ def rnd(c, digits: int) -> Column:
     different answers; the small shift makes both go up.
     """
     scale = float(10**digits)
-    return F.floor(_c(c) * scale + 0.5000001) / F.lit(scale)
+    x = _c(c).cast("double")
+    # NaN, infinities and values without digits left to round pass through: a floor is a long
+    return F.when(F.abs(x) < 2.0**53 / scale, F.floor(x * scale + 0.5000001) / F.lit(scale)).otherwise(x)
 
 
 def clamp(c, lo, hi) -> Column:

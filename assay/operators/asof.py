@@ -22,11 +22,12 @@ def asof_backward(left: DataFrame, right: DataFrame, by: list[str], left_date: s
     """Attach to every left row the values of the latest right row on or before its date.
 
     ``by`` names are the same on both sides.  Several right rows of one (by,
-    date) are reduced to the one with the largest ``tie`` first.
+    date) are reduced to the one with the largest ``tie`` first, or with the
+    largest values where no tie column is named.
     """
     payload = F.struct(F.col(right_date).alias(matched_date), *values)
     points = right.filter(F.col(right_date).isNotNull()).groupBy(*by, F.col(right_date).alias("__d")).agg(
-        (F.max_by(payload, tie) if tie else F.first(payload)).alias("__v"))
+        (F.max_by(payload, tie) if tie else F.max(payload)).alias("__v"))
     asked = left.select(*by, F.col(left_date).alias("__d")).distinct()
     both = points.withColumn("__ask", F.lit(False)).unionByName(
         asked.withColumns({"__v": F.lit(None).cast(points.schema["__v"].dataType), "__ask": F.lit(True)}))

@@ -2,9 +2,7 @@
 
 Bars are unique per (ticker, date), so a window over one ticker never holds
 more rows than there are trading days.  Everything shares one shuffle by
-ticker: the window columns are computed first, and the recursive averages
-(which no window function can express) run in Arrow batches over the same
-partitioning and sort order.
+ticker; the recursive averages are window sums per block of bars, chained.
 """
 
 from __future__ import annotations
@@ -36,42 +34,68 @@ def lookback_return(bars: DataFrame, n: int = 20, out: str = "lookback_return")
     return bars.withColumn(out, F.when(prior > 0, F.col("close") / prior - 1))
 
 
-def _recursive_averages(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("date")
-    close = pdf["close"]
-    move = close.diff()
-    up = move.clip(lower=0).ewm(com=13, adjust=False).mean()
-    down = (-move.clip(upper=0)).ewm(com=13, adjust=False).mean()
-    macd = close.ewm(span=12, adjust=False).mean() - close.ewm(span=26, adjust=False).mean()
-    gap = macd - macd.ewm(span=9, adjust=False).mean()
-    before = gap.shift(1)
-    cross = pd.Series(float("nan"), index=close.index)
-    cross[(gap >= 0) & (before < 0)] = 1.0
-    cross[(gap < 0) & (before >= 0)] = -1.0
-    return pdf.assign(
-        rsi_14=100 - 100 / (1 + up / down.where(down != 0)),
-        macd_cross=cross.ffill(limit=2).fillna(0.0),  # a cross is held for three bars
-        macd_above_zero=macd > 0,
-    )
+#: Bars of a ticker whose partial averages are summed in one frame, before the blocks are chained.
+BLOCK_BARS = 64
+
+
+def _chain(whole: F.Column):
+    """Carry over one more block: what was carried shrinks by a whole block, and its end is added."""
+    return lambda so_far, end: so_far * whole + end
+
+
+def smoothed(df: DataFrame, means: dict[str, tuple[F.Column, float, int]]) -> DataFrame:
+    """Add exponential means; ``means`` maps a name to (value, weight, first bar).
+
+    A mean starts as the value of its first bar, and every later bar takes it
+    the given weight of the way to its own value.  That is linear: inside a
+    block of bars the weighted sum is a window sum of rescaled values, and the
+    ends of the blocks before it, folded in order, give the carry.  Frames are
+    per ticker, so the table needs one shuffle and no group leaves the JVM.
+    """
+    d = df.withColumns({"__i": F.col("bar_no") - 1, "__b": F.floor((F.col("bar_no") - 1) / BLOCK_BARS)})
+    inside = Window.partitionBy("ticker", "__b").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("ticker").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
+    place = F.col("__i") % BLOCK_BARS
+    sums, carried, out = {}, {}, {}
+    for name, (value, weight, first) in means.items():
+        keep = 1 - weight
+        own = F.when(F.col("__i") < first, 0.0).when(F.col("__i") == first, value).otherwise(value * weight)
+        sums[f"__s_{name}"] = F.sum(own * F.pow(F.lit(keep), -place)).over(inside) * F.pow(F.lit(keep), place)
+        ends = F.collect_list(F.when(place == BLOCK_BARS - 1, F.col(f"__s_{name}"))).over(before)
+        whole = F.lit(keep**BLOCK_BARS)
+        carried[f"__c_{name}"] = F.aggregate(ends, F.lit(0.0), _chain(whole))
+        out[name] = F.when(
+            F.col("__i") >= first, F.col(f"__c_{name}") * F.pow(F.lit(keep), place + 1) + F.col(f"__s_{name}"))
+    return d.withColumns(sums).withColumns(carried).withColumns(out).drop("__i", "__b", *sums, *carried)
 
 
 def indicator_series(bars: DataFrame) -> DataFrame:
-    """RSI(14), MACD cross and sign, distance from MA50 / MA200, 20-bar momentum, bar number."""
+    """RSI(14), MACD cross and sign, distance from MA50 / MA200, 20-bar momentum, bar number.
+
+    A bar without a close is not a bar: it is left out before bars are numbered.
+    """
     w = Window.partitionBy("ticker").orderBy("date")
-    base = bars.select(
-        "ticker", "date", F.col("close").cast("double").alias("close"),
-    ).select(
+    move = F.coalesce(F.col("close") - F.lag("close").over(w), F.lit(0.0))
+    base = bars.select("ticker", "date", F.col("close").cast("double").alias("close")).filter("close IS NOT NULL").select(
         "ticker", "date", "close", F.row_number().over(w).alias("bar_no"),
         moving_average_distance("close", 50, w).alias("price_vs_ma50"),
         moving_average_distance("close", 200, w).alias("price_vs_ma200"),
-        momentum("close", 20, w).alias("momentum_20d"),
+        momentum("close", 20, w).alias("momentum_20d"), move.alias("__move"),
     )
-    schema = ("ticker string, date date, close double, bar_no int, price_vs_ma50 double, price_vs_ma200 double, "
-              "momentum_20d double, rsi_14 double, macd_cross double, macd_above_zero boolean")
-    out = base.groupBy("ticker").applyInPandas(_recursive_averages, schema)
-    nan = lambda c: F.when(~F.isnan(c), F.col(c)).alias(c)
-    return out.select("ticker", "date", "close", "bar_no", nan("rsi_14"), "macd_cross", "macd_above_zero",
-                      nan("price_vs_ma50"), nan("price_vs_ma200"), nan("momentum_20d"))
+    d = smoothed(base, {
+        "__up": (F.greatest("__move", F.lit(0.0)), 1 / 14, 1), "__down": (F.greatest(-F.col("__move"), F.lit(0.0)), 1 / 14, 1),
+        "__fast": (F.col("close"), 2 / 13, 0), "__slow": (F.col("close"), 2 / 27, 0),
+    }).withColumn("__macd", F.col("__fast") - F.col("__slow"))
+    d = smoothed(d, {"__signal": (F.col("__macd"), 2 / 10, 0)}).withColumn("__gap", F.col("__macd") - F.col("__signal"))
+    above = F.col("__gap") >= 0
+    was_above = F.lag(above).over(w)
+    d = d.withColumn("__cross", F.when(above & ~was_above, 1.0).when(~above & was_above, -1.0))
+    held = F.last("__cross", ignorenulls=True).over(w.rowsBetween(-2, 0))  # a cross shows for three bars
+    strength = F.try_divide(F.col("__up"), F.col("__down"))
+    return d.select(
+        "ticker", "date", "close", "bar_no", (100 - 100 / (1 + strength)).alias("rsi_14"),
+        F.coalesce(held, F.lit(0.0)).alias("macd_cross"), (F.col("__macd") > 0).alias("macd_above_zero"),
+        "price_vs_ma50", "price_vs_ma200", "momentum_20d")
 
 
 def usable_indicators(series: DataFrame, min_bars: int = MIN_BARS) -> DataFrame:

@@ -261,11 +261,16 @@ def score_calibration(signals: DataFrame, macro: DataFrame, horizon: str = "10d"
         "bin", "dim", "value").agg(F.count("*").alias("cnt"))
     distinct = counts.groupBy("bin").agg(
         F.count_if(F.col("dim") == "date").alias("n_unique_dates"), F.count_if(F.col("dim") == "symbol").alias("n_unique_tickers"))
-    ranked = top_counts(counts.filter(F.col("dim").isin("sector", "regime")), ["bin", "dim"], "value", 10)
-    label = lambda d, n: F.when((F.col("dim") == d) & (F.col("rank") <= n), F.col("label"))
+    ranked = top_counts(counts.filter(F.col("dim").isin("sector", "regime")), ["bin", "dim"], "value")
+
+    def listed(chosen: Column) -> Column:
+        """The labels of the chosen rows in order of rank; NULL without any."""
+        both = F.array_sort(F.collect_list(F.when(chosen, F.struct("rank", "label"))))
+        return F.nullif(F.concat_ws(", ", F.transform(both, lambda x: x["label"])), F.lit(""))
+
     top = ranked.groupBy("bin").agg(
-        F.nullif(F.concat_ws(", ", F.array_sort(F.collect_list(label("sector", 3)))), F.lit("")).alias("top_sectors"),
-        F.nullif(F.concat_ws(", ", F.array_sort(F.collect_list(label("regime", 10)))), F.lit("")).alias("regime_breakdown"))
+        listed((F.col("dim") == "sector") & (F.col("rank") <= 3)).alias("top_sectors"),
+        listed(F.col("dim") == "regime").alias("regime_breakdown"))
     rows = (
         stats.filter(F.col("n") >= min_per_bucket)
         .join(distinct, "bin").join(top, "bin", "left")
@@ -282,12 +287,11 @@ def score_calibration(signals: DataFrame, macro: DataFrame, horizon: str = "10d"
     )
 
 
-def top_counts(counts: DataFrame, groups: list[str], col: str, limit: int) -> DataFrame:
-    """Most frequent values per group as ``rank:value=count``; ties by name."""
+def top_counts(counts: DataFrame, groups: list[str], col: str) -> DataFrame:
+    """Values per group by frequency as ``rank:value=count``; ties by name."""
     order = Window.partitionBy(*groups).orderBy(F.col("cnt").desc(), col)
     return (
         counts.withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= limit)
         .withColumn("label", F.concat(F.col("rank").cast("string"), F.lit(":"), F.col(col), F.lit("="),
                                       F.col("cnt").cast("string")))
     )

@@ -147,7 +147,8 @@ def holdout_check(nav: DataFrame, choice: DataFrame, share: float = 0.7, least_d
     return d.select(
         "combo_id", F.col("n_dates").alias("holdout_dates"), rnd("sharpe_ratio", 4).alias("holdout_sharpe"),
         rnd(F.when(~few, r), 4).alias("holdout_ratio"), passed.alias("holdout_passed"),
-        F.when(passed, F.col("status")).otherwise("holdout_failed").alias("status"))
+        # a choice that was not ok before stays what it was
+        F.when(passed | (F.col("status") != "ok"), F.col("status")).otherwise("holdout_failed").alias("status"))
 
 
 # --- time-ordered split -------------------------------------------------------------

@@ -112,10 +112,10 @@ def _(t):
 _HH = "greatest(entry_price, max(high) OVER (PARTITION BY combo_id, ticker, episode ORDER BY pos ROWS UNBOUNDED PRECEDING))"
 
 
-@query("highest_since_entry", f"WITH {NAV} SELECT combo_id, ticker, CAST(date AS VARCHAR) AS date, shares, entry_price, {_HH} AS highest_high FROM mk WHERE combo_id < 6")
+@query("highest_since_entry", f"WITH {NAV} SELECT combo_id, ticker, CAST(date AS VARCHAR) AS date, shares, entry_price, {_HH} AS highest_high FROM mk")
 def _(t):
     cal, _, marked, _ = portfolio(t)
-    return PF.highest_since_entry(marked).join(cal.select("pos", "date"), "pos").filter("combo_id < 6").select(
+    return PF.highest_since_entry(marked).join(cal.select("pos", "date"), "pos").select(
         "combo_id", "ticker", "date", "shares", "entry_price", "highest_high")
 
 

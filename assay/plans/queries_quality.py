@@ -183,10 +183,10 @@ s AS (SELECT bin, max(e[bin]) AS score_low, max(e[bin + 1]) AS score_high, count
         {r('avg(alpha)', 2)} AS avg_alpha, {r('avg(CASE WHEN alpha > 0 THEN 1e0 ELSE 0e0 END)', 4)} AS beat_spy_pct,
         CAST(min(score_date) AS VARCHAR) AS first_date, CAST(max(score_date) AS VARCHAR) AS last_date,
         count(DISTINCT score_date) AS n_unique_dates, count(DISTINCT symbol) AS n_unique_tickers FROM b GROUP BY bin HAVING count(*) >= 3),
-tops AS (SELECT bin, string_agg(lbl, ', ' ORDER BY lbl) AS top_sectors FROM (
+tops AS (SELECT bin, string_agg(lbl, ', ' ORDER BY rk) AS top_sectors FROM (
    SELECT bin, concat(rk, ':', sector, '=', c) AS lbl, rk FROM (SELECT bin, sector, count(*) AS c, row_number() OVER (PARTITION BY bin ORDER BY count(*) DESC, sector) AS rk FROM b WHERE sector IS NOT NULL GROUP BY bin, sector)) WHERE rk <= 3 GROUP BY bin),
-reg AS (SELECT bin, string_agg(lbl, ', ' ORDER BY lbl) AS regime_breakdown FROM (
-   SELECT bin, concat(rk, ':', market_regime, '=', c) AS lbl FROM (SELECT bin, market_regime, count(*) AS c, row_number() OVER (PARTITION BY bin ORDER BY count(*) DESC, market_regime) AS rk FROM b WHERE market_regime IS NOT NULL GROUP BY bin, market_regime)) GROUP BY bin)
+reg AS (SELECT bin, string_agg(lbl, ', ' ORDER BY rk) AS regime_breakdown FROM (
+   SELECT bin, concat(rk, ':', market_regime, '=', c) AS lbl, rk FROM (SELECT bin, market_regime, count(*) AS c, row_number() OVER (PARTITION BY bin ORDER BY count(*) DESC, market_regime) AS rk FROM b WHERE market_regime IS NOT NULL GROUP BY bin, market_regime)) GROUP BY bin)
 SELECT s.*, top_sectors, regime_breakdown, NOT max(falls) OVER () AS monotonic
 FROM (SELECT s.*, coalesce(avg_alpha < lag(avg_alpha) OVER (ORDER BY bin), false) AS falls FROM s) s LEFT JOIN tops USING (bin) LEFT JOIN reg USING (bin)
 """.replace("SELECT s.*, top_sectors", "SELECT s.* EXCLUDE (falls), top_sectors"))

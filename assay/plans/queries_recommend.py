@@ -82,11 +82,11 @@ def _(t):
 # --- sweep --------------------------------------------------------------------------
 
 STAT = ["combo_id", "status", "total_orders", "total_trades", "win_rate", "total_return", "sharpe_ratio", "max_drawdown", "calmar_ratio", "spy_return", "total_alpha"]
-_SW = f"{STATS}, sw AS (SELECT c.*, {', '.join('s.' + c for c in STAT[1:])}, CASE WHEN s.sharpe_ratio IS NULL THEN 'no result' END AS error FROM {{combos}} c LEFT JOIN (SELECT * FROM cs WHERE combo_id <> 7) s USING (combo_id))"
+_SW = f"{STATS}, sw AS (SELECT c.*, {', '.join('s.' + c for c in STAT[1:])}, CASE WHEN s.sharpe_ratio IS NULL THEN 'no result' END AS error FROM {{combos}} c LEFT JOIN cs s USING (combo_id))"
 
 
 def sweep(t):
-    return R.sweep_results(t.combos, combo_stats(t).filter("combo_id <> 7").select(*STAT))
+    return R.sweep_results(t.combos, combo_stats(t).select(*STAT))
 
 
 @query("sweep_results", f"WITH {_SW} SELECT * FROM sw")
@@ -142,9 +142,9 @@ def _(t):
 
 
 @query("holdout_check", f"""WITH {_REC}, hp AS (SELECT nv.*, lag(nv.nav) OVER (ORDER BY nv.pos) AS prev2 FROM nv JOIN re ON nv.combo_id = re.best_combo WHERE nv.pos >= floor(((SELECT max(pos) FROM cal) + 1) * 0.7e0)),
- hs AS (SELECT count(*) AS n, avg(x) / stddev_samp(x) * sqrt(252e0) AS s FROM (SELECT CASE WHEN prev2 > 0 THEN nav / prev2 - 1 WHEN prev2 IS NOT NULL THEN 0e0 END AS x FROM hp))
+ hs AS (SELECT count(*) AS n, CASE WHEN count(x) >= 2 AND stddev_samp(x) > 1e-15 THEN avg(x) / stddev_samp(x) * sqrt(252e0) ELSE 0e0 END AS s FROM (SELECT CASE WHEN prev2 > 0 THEN nav / prev2 - 1 WHEN prev2 IS NOT NULL THEN 0e0 END AS x FROM hp))
  SELECT best_combo AS combo_id, n AS holdout_dates, {r('s', 4)} AS holdout_sharpe, {r('CASE WHEN best_sharpe < 0 THEN 0e0 ELSE s / best_sharpe END', 4)} AS holdout_ratio, best_sharpe >= 0 AND s / best_sharpe >= 0.5e0 AND s > 0 AS holdout_passed,
-  CASE WHEN best_sharpe >= 0 AND s / best_sharpe >= 0.5e0 AND s > 0 THEN status ELSE 'holdout_failed' END AS status FROM hs, re""")
+  CASE WHEN status <> 'ok' OR (best_sharpe >= 0 AND s / best_sharpe >= 0.5e0 AND s > 0) THEN status ELSE 'holdout_failed' END AS status FROM hs, re""")
 def _(t):
     nav = portfolio(t)[3]
     return R.holdout_check(nav.select("combo_id", "date", "pos", "nav"), R.recommend_combo(ranked(t)))
@@ -227,14 +227,14 @@ def _(t):
     return R.threshold_decision(sel, 0.6)
 
 
-_HIST = " UNION ALL ".join(f"SELECT '{s}' AS sub_score, score_date AS run_date, {r(f'avg({s}_score) / 100', 4)} AS weight FROM {{scored_signals}} WHERE score_date IN (DATE '2001-06-29', DATE '2001-06-22', DATE '2001-06-15', DATE '2001-06-08') GROUP BY score_date" for s in R.SUB_SCORES)
+_HIST = " UNION ALL ".join(f"SELECT '{s}' AS sub_score, score_date AS run_date, {r(f'avg({s}_score) / 100', 4)} AS weight FROM {{scored_signals}} WHERE date_diff('day', DATE '2001-06-29', score_date) % 7 = 0 GROUP BY score_date" for s in R.SUB_SCORES)
 
 
 @query("weight_reversals", f"""WITH h AS ({_HIST}), s AS (SELECT *, {r('weight - lag(weight) OVER (PARTITION BY sub_score ORDER BY run_date)', 8)} AS step FROM h), b AS (SELECT *, lag(step) OVER (PARTITION BY sub_score ORDER BY run_date) AS prev FROM s)
  SELECT sub_score, count(*) AS n_runs, count(CASE WHEN step * prev < 0 THEN 1 END) AS n_reversals, count(CASE WHEN step * prev < 0 THEN 1 END) = 0 AS stable FROM b GROUP BY 1""")
 def _(t):
-    """Weights of four weekly runs: this one and those 7, 14 and 21 days before."""
-    days = t.scored_signals.filter("score_date IN (DATE '2001-06-29', DATE '2001-06-22', DATE '2001-06-15', DATE '2001-06-08')")
+    """Weights of all weekly runs."""
+    days = t.scored_signals.filter("datediff(score_date, DATE '2001-06-29') % 7 = 0")
     h = days.groupBy(F.col("score_date").alias("run_date")).agg(*[rnd(F.avg(f"{s}_score") / 100, 4).alias(s) for s in R.SUB_SCORES])
     return R.weight_reversals(h.unpivot("run_date", list(R.SUB_SCORES), "sub_score", "weight"))
 
@@ -326,14 +326,14 @@ def _(t):
 
 # --- variants and comparisons -------------------------------------------------------------------
 
-_VAR = "(SELECT concat('v', CAST(combo_id AS VARCHAR)) AS variant, sharpe_ratio FROM cs WHERE combo_id < 5)"
+_VAR = "(SELECT concat('v', CAST(combo_id AS VARCHAR)) AS variant, sharpe_ratio FROM cs)"
 
 
 @query("variant_choice", f"""WITH {STATS}, v AS {_VAR}, b AS (SELECT max(CASE WHEN variant = 'v2' THEN sharpe_ratio END) AS bs FROM v), o AS (SELECT * FROM v WHERE variant <> 'v2' ORDER BY sharpe_ratio DESC, variant DESC LIMIT 1),
  z AS (SELECT *, sharpe_ratio > bs AS better, coalesce((sharpe_ratio - bs) / nullif(abs(bs), 0), 0e0) AS g FROM b, o), s AS (SELECT *, CASE WHEN NOT better THEN 'baseline_best' WHEN g < 0.1e0 THEN 'below_threshold' WHEN 6.8e0 < 5 THEN 'insufficient_history' ELSE 'ok' END AS status FROM z)
  SELECT CASE WHEN better THEN variant ELSE 'v2' END AS best_variant, CASE WHEN better THEN sharpe_ratio ELSE bs END AS best_sharpe, bs AS baseline_sharpe, {r('CASE WHEN better THEN g END', 4)} AS improvement, status, CASE WHEN status = 'ok' THEN variant END AS recommended_variant FROM s""")
 def _(t):
-    v = combo_stats(t).filter("combo_id < 5").select(F.concat(F.lit("v"), F.col("combo_id").cast("string")).alias("variant"), "sharpe_ratio")
+    v = combo_stats(t).select(F.concat(F.lit("v"), F.col("combo_id").cast("string")).alias("variant"), "sharpe_ratio")
     return R.best_variant(v, "v2", n_years=6.8)
 
 

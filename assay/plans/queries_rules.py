@@ -89,15 +89,15 @@ def _(t):
     return D.candidate_rows(t.bars.select("ticker", "date", "close"), P.latest_features(f), preds)
 
 
-_DAYS = "(SELECT date, row_number() OVER (ORDER BY date) - 1 AS pos FROM (SELECT DISTINCT eval_date AS date FROM {cio_evaluations} WHERE eval_date >= DATE '2001-07-01'))"
-_TK = "(SELECT DISTINCT ticker FROM {cio_evaluations} WHERE cio_decision = 'ADVANCE' AND eval_date >= DATE '2001-07-01')"
+_DAYS = "(SELECT date, row_number() OVER (ORDER BY date) - 1 AS pos FROM (SELECT DISTINCT eval_date AS date FROM {cio_evaluations}))"
+_TK = "(SELECT DISTINCT ticker FROM {cio_evaluations} WHERE cio_decision = 'ADVANCE')"
 
 
 @query("signal_price_matrix", f"""WITH g AS (SELECT s.ticker, c.date, c.pos, b.close FROM {_TK} s CROSS JOIN {_DAYS} c LEFT JOIN {{bars}} b ON b.ticker = s.ticker AND b.date = c.date), f AS (SELECT *, {_FFILL} AS f FROM g)
  SELECT ticker, CAST(date AS VARCHAR) AS date, price FROM (SELECT *, {_BF} AS price FROM f) WHERE price IS NOT NULL""")
 def _(t):
     """Filled closes of the tickers the signals name, on the signals' dates."""
-    late = t.cio_evaluations.filter("eval_date >= DATE '2001-07-01'")
+    late = t.cio_evaluations
     wanted = late.filter("cio_decision = 'ADVANCE'").select("ticker").distinct()
     bars = t.bars.join(wanted, "ticker", "left_semi")
     return P.price_matrix(bars, calendar(late, "eval_date")).drop("filled")

@@ -358,7 +358,7 @@ VIEWS["order_log"] = f"""
 SELECT c.combo_id, t.trade_id AS seq, t.date, t.ticker, t.action,
        CAST(CASE WHEN t.action = 'REDUCE' THEN floor(t.shares * c.max_position_pct * 10 / 2e0) ELSE floor(t.shares * c.max_position_pct * 20) END AS DOUBLE) AS shares,
        t.fill_price AS price, t.position_pct, t.exit_reason
-FROM {{trades}} t JOIN {{combos}} c ON t.research_score >= c.min_score + 30
+FROM {{trades}} t JOIN {{combos}} c ON t.research_score >= c.min_score
 """
 
 
@@ -418,9 +418,6 @@ SHARED = {
 _written: set[str] = set()
 _plans: dict[tuple[str, int, str], tuple[SparkSession, dict[str, DataFrame]]] = {}
 
-# Tables whose rows are worked on before their first shuffle.
-SPREAD = {"lineitem", "orders", "events"}
-
 
 class Tables:
     """Lazy access to base tables and domain views of one data folder."""
@@ -443,13 +440,7 @@ class Tables:
         return self._cache[name]
 
     def _base(self, name: str) -> DataFrame:
-        """A base table; one with fewer input splits than cores is spread over them,
-        because a file with a single row group is read by a single task."""
-        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        cores = self.spark.sparkContext.defaultParallelism
-        if name in SPREAD and df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-        return df
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def _shared(self, name: str) -> DataFrame:
         return self.kept(name, lambda: self._view(name))
