@@ -274,6 +274,11 @@ def _veto_sums(unit: float):
     ]
 
 
+def _net() -> F.Column:
+    """Saved less forgone; the sums lose the noise of their order before the difference is rounded."""
+    return rnd(rnd("__avoided", 4) - rnd("__forgone", 4), 2)
+
+
 def veto_value(predictions: DataFrame, blocked: DataFrame, unit: float = 100.0,
                default_size: float = DEFAULT_POSITION, min_rows: int = 3) -> DataFrame:
     """Dollars saved and forgone by vetoes; ``unit`` 100 for percent points, 1 for fractions."""
@@ -283,7 +288,7 @@ def veto_value(predictions: DataFrame, blocked: DataFrame, unit: float = 100.0,
         "n_vetoes", "n_correct", "n_incorrect",
         rnd(ratio(F.col("n_correct"), F.col("n_vetoes")), 4).alias("precision"),
         rnd("__avoided", 2).alias("total_losses_avoided"), rnd("__forgone", 2).alias("total_alpha_foregone"),
-        rnd(F.col("__avoided") - F.col("__forgone"), 2).alias("net_veto_value"),
+        _net().alias("net_veto_value"),
         per("__avoided", "n_correct").alias("avg_loss_avoided"),
         per("__forgone", "n_incorrect").alias("avg_alpha_foregone"),
         rnd("__mean", 4).alias("avg_veto_alpha_pct"),
@@ -302,4 +307,4 @@ def veto_value_by_confidence(predictions: DataFrame, blocked: DataFrame, unit: f
     return rows.select(
         "confidence_range", "n_vetoes", rnd(ratio(F.col("n_correct"), F.col("n_vetoes")), 4).alias("precision"),
         rnd("__avoided", 2).alias("losses_avoided"), rnd("__forgone", 2).alias("alpha_foregone"),
-        rnd(F.col("__avoided") - F.col("__forgone"), 2).alias("net_value"))
+        _net().alias("net_value"))

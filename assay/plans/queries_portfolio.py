@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assay.functions import scalars as S
-from assay.functions.frames import with_scalars
 from assay.functions.scalars import rnd
 from assay.operators import decisions as D
 from assay.operators import portfolio as PF
@@ -269,12 +268,12 @@ def _(t):
     return d.join(t.fund_returns, ["sector_etf", "date"], "left").select("ticker", "date", "sector", "fund_return")
 
 
-@query("combo_parameters", """SELECT combo_id, CASE WHEN combo_id % 3 = 0 THEN 0.33e0 ELSE profit_take_pct END AS profit_take_pct, atr_multiplier, 0.1e0 AS fallback_stop_pct, time_decay_reduce_days, time_decay_exit_days, 0.5e0 AS reduce_fraction,
-  floor(min_score * n % 97) AS probe FROM {combos}, (SELECT count(*) AS n FROM {orders})""")
+@query("combo_parameters", """SELECT combo_id, CASE WHEN combo_id % 3 = 0 THEN 0.33e0 ELSE 0.2e0 END AS profit_take_pct, 2.5e0 + combo_id % 3 AS atr_multiplier, 0.1e0 AS fallback_stop_pct, CAST(7 AS INT) AS time_decay_reduce_days,
+  CAST(CASE WHEN combo_id % 3 = 0 THEN 21 ELSE 14 END AS INT) AS time_decay_exit_days, 0.5e0 AS reduce_fraction FROM {strategy_docs}""")
 def _(t):
-    """Nested parameters win over flat ones, defaults fill the rest."""
-    nested = t.combos.withColumn("strategy", F.struct(F.when(F.col("combo_id") % 3 == 0, 0.33).alias("profit_take_pct")))
-    conf = D.with_defaults(nested, D.EXIT_DEFAULTS, "strategy").join(t.combos.select("combo_id", "min_score"), "combo_id")
-    n = t.orders.agg(F.count("*").alias("n"))
-    return with_scalars(conf, n).select("combo_id", "profit_take_pct", "atr_multiplier", "fallback_stop_pct", "time_decay_reduce_days",
-                                            "time_decay_exit_days", "reduce_fraction", F.floor(F.col("min_score") * F.col("n") % 97).cast("double").alias("probe"))
+    """Nested parameters of a parsed document win over flat ones, defaults fill the rest."""
+    flat = "atr_multiplier double, profit_take_pct double"
+    doc = F.from_json("body", f"{flat}, strategy struct<profit_take_pct:double,time_decay_exit_days:int>")
+    conf = D.with_defaults(t.strategy_docs.select("combo_id", doc.alias("d")).select("combo_id", "d.*"), D.EXIT_DEFAULTS, "strategy")
+    return conf.select("combo_id", "profit_take_pct", "atr_multiplier", "fallback_stop_pct", "time_decay_reduce_days",
+                       "time_decay_exit_days", "reduce_fraction")

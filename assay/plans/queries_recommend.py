@@ -241,12 +241,14 @@ def _(t):
 
 # --- parameter moves ----------------------------------------------------------------------
 
-_BP = "(SELECT k AS key, v + s_nationkey_max * 0 AS value FROM (VALUES ('short_interest_buy_boost', 2e0), ('short_interest_high_boost', 4e0), ('institutional_boost', 3e0), ('institutional_min_funds', 3e0)) p(k, v), (SELECT max(s_nationkey) AS s_nationkey_max FROM {supplier}))"
+_BP = """(SELECT key, CASE key WHEN 'short_interest_buy_boost' THEN 1.5e0 + d % 3 WHEN 'institutional_boost' THEN CASE WHEN d % 4 <> 1 THEN 2e0 + d % 5 ELSE v END ELSE v END AS value FROM
+ (VALUES ('short_interest_buy_boost', 2e0), ('short_interest_high_boost', 4e0), ('institutional_boost', 3e0), ('institutional_min_funds', 3e0)) p(key, v), (SELECT max(c_custkey) AS d FROM {customer}))"""
 
 
 def boost_params(t):
+    """The boosts of the last parameter document, defaults for those it lacks."""
     base = {"short_interest_buy_boost": 2.0, "short_interest_high_boost": 4.0, "institutional_boost": 3.0, "institutional_min_funds": 3.0}
-    docs = t.supplier.agg(F.max("s_suppkey").alias("doc_id")).withColumn("body", F.lit("{}"))
+    docs = t.boost_docs.agg(F.max_by(F.struct("doc_id", "body"), "doc_id").alias("d")).select("d.*")
     return DOC.parameters(docs, base).select("key", "value")
 
 

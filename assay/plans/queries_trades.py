@@ -171,14 +171,14 @@ _NC = "count(CASE WHEN actual_5d_return < 0 THEN 1 END)"
 
 
 @query("veto_value", f"""SELECT count(*) AS n_vetoes, {_NC} AS n_correct, count(*) - {_NC} AS n_incorrect, {r(f'{_NC} * 1e0 / count(*)', 4)} AS precision,
-  {r(_AV, 2)} AS total_losses_avoided, {r(_FG, 2)} AS total_alpha_foregone, {r(f'{_AV} - {_FG}', 2)} AS net_veto_value, {r(f'{_AV} / nullif({_NC}, 0)', 2)} AS avg_loss_avoided,
+  {r(_AV, 2)} AS total_losses_avoided, {r(_FG, 2)} AS total_alpha_foregone, {r(f'{r(_AV, 4)} - {r(_FG, 4)}', 2)} AS net_veto_value, {r(f'{_AV} / nullif({_NC}, 0)', 2)} AS avg_loss_avoided,
   {r(f'{_FG} / nullif(count(*) - {_NC}, 0)', 2)} AS avg_alpha_foregone, {mean('actual_5d_return')} AS avg_veto_alpha_pct FROM {_VETO}""")
 def _(t):
     return TR.veto_value(t.predictor_outcomes, t.shadow_book)
 
 
 @query("veto_value_by_confidence", f"""SELECT CASE WHEN c <= 0.55e0 THEN '50-55%' WHEN c <= 0.65e0 THEN '55-65%' WHEN c <= 0.75e0 THEN '65-75%' ELSE '75%+' END AS confidence_range,
-  count(*) AS n_vetoes, {r(f'{_NC} * 1e0 / count(*)', 4)} AS precision, {r(_AV, 2)} AS losses_avoided, {r(_FG, 2)} AS alpha_foregone, {r(f'{_AV} - {_FG}', 2)} AS net_value
+  count(*) AS n_vetoes, {r(f'{_NC} * 1e0 / count(*)', 4)} AS precision, {r(_AV, 2)} AS losses_avoided, {r(_FG, 2)} AS alpha_foregone, {r(f'{r(_AV, 4)} - {r(_FG, 4)}', 2)} AS net_value
   FROM (SELECT *, coalesce(prediction_confidence, 0.5e0) AS c FROM {_VETO}) GROUP BY 1""")
 def _(t):
     return TR.veto_value_by_confidence(t.predictor_outcomes, t.shadow_book)

@@ -323,6 +323,19 @@ SELECT c_custkey AS doc_id, concat('{', CASE WHEN c_custkey % 2 = 0 THEN concat(
 FROM {customer}
 """
 
+VIEWS["boost_docs"] = """
+SELECT c_custkey AS doc_id, concat('{"short_interest_buy_boost": ', CAST(1 + c_custkey % 3 AS VARCHAR(20)), '.5, ',
+       CASE WHEN c_custkey % 4 <> 1 THEN concat('"institutional_boost": ', CAST(2 + c_custkey % 5 AS VARCHAR(20)), '.0, ') ELSE '' END,
+       '"retired_key": 1, "updated": ', CAST(c_custkey AS VARCHAR(20)), '}') AS body
+FROM {customer}
+"""
+
+VIEWS["strategy_docs"] = """
+SELECT c_custkey AS combo_id, concat('{"atr_multiplier": ', CAST(2 + c_custkey % 3 AS VARCHAR(20)), '.5, "profit_take_pct": 0.2',
+       CASE WHEN c_custkey % 3 = 0 THEN ', "strategy": {"profit_take_pct": 0.33, "time_decay_exit_days": 21}' WHEN c_custkey % 3 = 1 THEN ', "strategy": {}' ELSE '' END, '}') AS body
+FROM {customer}
+"""
+
 VIEWS["grade_docs"] = """
 SELECT o_orderkey AS doc_id, CAST(o_orderdate AS DATE) AS run_date,
        concat('{"overall": {"grade": ', CAST(30 + o_orderkey % 60 AS VARCHAR(20)), '}, "research": {"grade": ', CASE WHEN o_orderkey % 7 = 0 THEN 'null' ELSE CAST(20 + o_orderkey % 70 AS VARCHAR(20)) END,
