@@ -101,10 +101,12 @@ def ranked_combos(stats: DataFrame, params: list[str], current: dict[str, float]
     })
 
 
-def recommend_combo(ranked: DataFrame, min_combos: int = 5, min_trades: int = 50,
+def recommend_combo(ranked: DataFrame, completion: DataFrame | None = None, min_combos: int = 5, min_trades: int = 50,
                     min_improvement: float = 0.10) -> DataFrame:
     """Best against baseline (the combination nearest to the current parameters).
-    Ranked by combined score, judged by the Sharpe ratio of the chosen row.  One row."""
+    Ranked by combined score, judged by the Sharpe ratio of the chosen row.  One row.
+    ``completion`` is the sweep's row of ``sweep_completion``; a sweep that mostly
+    failed is not judged."""
     best, base = F.col("rank") == 1, F.col("nearness") == 1
     at = lambda cond, c: F.max(F.when(cond, F.col(c)))
     row = ranked.agg(
@@ -116,13 +118,15 @@ def recommend_combo(ranked: DataFrame, min_combos: int = 5, min_trades: int = 50
     )
     gain = F.when(F.col("baseline_sharpe") == 0, F.when(F.col("best_sharpe") > 0, float("inf")).otherwise(0.0)).otherwise(
         F.try_divide(F.col("best_sharpe") - F.col("baseline_sharpe"), F.abs("baseline_sharpe")))
+    row = row.withColumn("low_completion", F.lit(False)) if completion is None else with_scalars(
+        row, completion.select("low_completion"))
     status = (
-        F.when(F.col("n_combos") < min_combos, "insufficient_data")
+        F.when(F.col("low_completion") | (F.col("n_combos") < min_combos), "insufficient_data")
         .when(F.col("most_trades") < min_trades, "insufficient_trades")
         .when(F.col("best_sharpe") < 0, "negative_sharpe")
         .when(gain < min_improvement, "no_improvement").otherwise("ok")
     )
-    return row.withColumn("improvement", rnd(gain, 4)).withColumn("status", status)
+    return row.withColumn("improvement", rnd(gain, 4)).withColumn("status", status).drop("low_completion")
 
 
 def closer_combos(ranked: DataFrame) -> DataFrame:
@@ -314,7 +318,15 @@ def trigger_actions(scorecard: DataFrame, min_trades: int = 50, worst_alpha: flo
     return d.select("trigger", "n_trades", judged.alias("evaluated"), F.when(off, "disable").otherwise("keep").alias("action"))
 
 
-def team_slots(lift: DataFrame, slots: DataFrame, threshold: float = 0.005, least: int = 1, most: int = 5) -> DataFrame:
+def _enough_dates(df: DataFrame, dates: DataFrame, min_dates: int, verdicts: list[str]) -> DataFrame:
+    """Add ``status``; without enough run dates (one row, ``n_dates``) the verdicts are NULL."""
+    enough = F.col("n_dates") >= min_dates
+    d = with_scalars(df, dates.select("n_dates")).withColumns({v: F.when(enough, F.col(v)) for v in verdicts})
+    return d.withColumn("status", F.when(enough, "ok").otherwise("insufficient_data")).drop("n_dates")
+
+
+def team_slots(lift: DataFrame, slots: DataFrame, dates: DataFrame, threshold: float = 0.005, least: int = 1,
+               most: int = 5, min_dates: int = 8) -> DataFrame:
     """Assessment of each team by its lift over its sector, and the slots it should get."""
     x = F.col("lift")
     change = F.when(x < -threshold, -1).when(x > threshold, 1).otherwise(0)
@@ -322,16 +334,19 @@ def team_slots(lift: DataFrame, slots: DataFrame, threshold: float = 0.005, leas
         x > threshold, "outperforming").otherwise("neutral")
     new = F.greatest(F.lit(least), F.least(F.col("slots") + F.col("slot_change"), F.lit(most)))
     d = lift.select("team_id", "lift", "lift_vs_quant", "n_picks", label.alias("assessment"), change.alias("slot_change"))
-    return d.join(slots, "team_id", "left").withColumn("recommended_slots", F.when(
+    d = d.join(slots, "team_id", "left").withColumn("recommended_slots", F.when(
         F.col("slots").isNotNull(), F.when(F.col("slot_change") != 0, new).otherwise(F.col("slots"))))
+    return _enough_dates(d, dates, min_dates, ["assessment", "slot_change", "recommended_slots"])
 
 
-def committee_mode(committee: DataFrame, ranking: DataFrame, least_lift: float = 0.0, worst_lift: float = -0.005) -> DataFrame:
+def committee_mode(committee: DataFrame, ranking: DataFrame, dates: DataFrame, least_lift: float = 0.0,
+                   worst_lift: float = -0.005, min_dates: int = 8) -> DataFrame:
     row = with_scalars(committee.select(F.col("lift").alias("cio_lift")),
                        ranking.select(F.col("lift").alias("cio_vs_ranking_lift")))
     weak = F.coalesce(F.col("cio_vs_ranking_lift") < least_lift, F.lit(False)) | F.coalesce(
         F.col("cio_lift") < worst_lift, F.lit(False))
-    return row.withColumn("recommendation", F.when(weak, "deterministic").otherwise("keep"))
+    row = row.withColumn("recommendation", F.when(weak, "deterministic").otherwise("keep"))
+    return _enough_dates(row, dates, min_dates, ["recommendation"])
 
 
 # --- variants, cut-offs, comparisons -----------------------------------------------------

@@ -128,12 +128,12 @@ def _(t):
 
 _REC = f"""{_RK}, rc AS (SELECT *, (best_sharpe - baseline_sharpe) / abs(nullif(baseline_sharpe, 0)) AS gain FROM (SELECT count(*) AS n_combos, max(total_trades) AS most_trades, {', '.join(f'max(CASE WHEN "rank" = 1 THEN {c} END) AS best_{n}, max(CASE WHEN nearness = 1 THEN {c} END) AS baseline_{n}' for c, n in (('combo_id', 'combo'), ('sharpe_ratio', 'sharpe'), ('total_alpha', 'alpha')))},
    max(CASE WHEN nearness = 1 THEN "rank" END) AS baseline_rank, max(CASE WHEN nearness = 1 THEN distance END) AS baseline_distance FROM rk)),
- re AS (SELECT * EXCLUDE (gain), {r('gain', 4)} AS improvement, CASE WHEN n_combos < 5 THEN 'insufficient_data' WHEN most_trades < 50 THEN 'insufficient_trades' WHEN best_sharpe < 0 THEN 'negative_sharpe' WHEN gain < 0.1e0 THEN 'no_improvement' ELSE 'ok' END AS status FROM rc)"""
+ re AS (SELECT * EXCLUDE (gain), {r('gain', 4)} AS improvement, CASE WHEN n_combos < 5 OR (SELECT count(sharpe_ratio) * 1e0 / count(*) < 0.5e0 FROM cs) THEN 'insufficient_data' WHEN most_trades < 50 THEN 'insufficient_trades' WHEN best_sharpe < 0 THEN 'negative_sharpe' WHEN gain < 0.1e0 THEN 'no_improvement' ELSE 'ok' END AS status FROM rc)"""
 
 
 @query("combo_recommendation", f"WITH {_REC} SELECT * FROM re")
 def _(t):
-    return R.recommend_combo(ranked(t))
+    return R.recommend_combo(ranked(t), R.sweep_completion(sweep(t)))
 
 
 @query("closer_combos", f"WITH {_RK} SELECT count(CASE WHEN distance < (SELECT distance FROM rk WHERE nearness = 1) THEN 1 END) AS n_closer_combos FROM rk")
@@ -147,7 +147,7 @@ def _(t):
   CASE WHEN status <> 'ok' OR (best_sharpe >= 0 AND s / best_sharpe >= 0.5e0 AND s > 0) THEN status ELSE 'holdout_failed' END AS status FROM hs, re""")
 def _(t):
     nav = portfolio(t)[3]
-    return R.holdout_check(nav.select("combo_id", "date", "pos", "nav"), R.recommend_combo(ranked(t)))
+    return R.holdout_check(nav.select("combo_id", "date", "pos", "nav"), R.recommend_combo(ranked(t), R.sweep_completion(sweep(t))))
 
 
 # --- weights --------------------------------------------------------------------------
@@ -312,18 +312,25 @@ _SLOT = "(SELECT concat('team_', CAST(s_suppkey % 6 AS VARCHAR)) AS team_id, CAS
 _CHG = "CASE WHEN lift < -0.005e0 THEN -1 WHEN lift > 0.005e0 THEN 1 ELSE 0 END"
 
 
+_ND = "(SELECT count(DISTINCT eval_date) FROM {universe_returns})"
+
+
+def lift_dates(t):
+    return t.universe_returns.agg(F.countDistinct("eval_date").alias("n_dates"))
+
+
 @query("team_slot_recommendation", f"""SELECT team_id, lift, lift_vs_quant, n_picks, CASE WHEN lift IS NULL THEN 'no_data' WHEN lift < -0.005e0 THEN 'underperforming' WHEN lift > 0.005e0 THEN 'outperforming' ELSE 'neutral' END AS assessment, {_CHG} AS slot_change, slots,
-  CASE WHEN slots IS NOT NULL THEN greatest(1, least(slots + {_CHG}, 5)) END AS recommended_slots FROM ({TEAM}) LEFT JOIN {_SLOT} USING (team_id)""")
+  CASE WHEN slots IS NOT NULL THEN greatest(1, least(slots + {_CHG}, 5)) END AS recommended_slots, CASE WHEN {_ND} >= 8 THEN 'ok' ELSE 'insufficient_data' END AS status FROM ({TEAM}) LEFT JOIN {_SLOT} USING (team_id)""")
 def _(t):
     slots = t.supplier.filter("s_suppkey % 6 <> 5").groupBy(F.concat(F.lit("team_"), (F.col("s_suppkey") % 6).cast("string")).alias("team_id")).agg(
         (1 + F.max("s_suppkey") % 5).alias("slots"))
-    return R.team_slots(L.team_lift(t.universe_returns, t.team_candidates), slots)
+    return R.team_slots(L.team_lift(t.universe_returns, t.team_candidates), slots, lift_dates(t))
 
 
-@query("committee_recommendation", f"SELECT *, CASE WHEN coalesce(cio_vs_ranking_lift < 0, false) OR coalesce(cio_lift < -0.005e0, false) THEN 'deterministic' ELSE 'keep' END AS recommendation FROM (SELECT (SELECT lift FROM ({CIO})) AS cio_lift, (SELECT lift FROM ({RANKING})) AS cio_vs_ranking_lift)")
+@query("committee_recommendation", f"SELECT *, CASE WHEN coalesce(cio_vs_ranking_lift < 0, false) OR coalesce(cio_lift < -0.005e0, false) THEN 'deterministic' ELSE 'keep' END AS recommendation, CASE WHEN {_ND} >= 8 THEN 'ok' ELSE 'insufficient_data' END AS status FROM (SELECT (SELECT lift FROM ({CIO})) AS cio_lift, (SELECT lift FROM ({RANKING})) AS cio_vs_ranking_lift)")
 def _(t):
     return R.committee_mode(L.committee_lift(t.universe_returns, t.cio_evaluations),
-                            L.committee_vs_ranking(t.universe_returns, t.cio_evaluations))
+                            L.committee_vs_ranking(t.universe_returns, t.cio_evaluations), lift_dates(t))
 
 
 # --- variants and comparisons -------------------------------------------------------------------

@@ -247,3 +247,31 @@ def test_grades_fall_back_without_precision(table):
     card = {r["name"]: r for r in G.scorecard(G.component_means(G.component_grades(full))).collect()}
     assert card["overall"]["status"] == "partial" and card["predictor"]["grade"] is None
     assert card["overall"]["grade"] == card["research"]["grade"]
+
+
+def test_recommendation_gates(spark):
+    dates = lambda n: spark.createDataFrame([(n,)], "n_dates long")
+    lift = spark.createDataFrame([("t1", -0.02, 0.0, 9), ("t2", 0.02, 0.0, 9)], "team_id string, lift double, lift_vs_quant double, n_picks long")
+    slots = spark.createDataFrame([("t1", 3), ("t2", 3)], "team_id string, slots int")
+    few, enough = (R.team_slots(lift, slots, dates(n)).orderBy("team_id").collect() for n in (7, 8))
+    assert [(r["status"], r["recommended_slots"]) for r in few] == [("insufficient_data", None)] * 2
+    assert [(r["status"], r["recommended_slots"]) for r in enough] == [("ok", 2), ("ok", 4)]
+    one = spark.createDataFrame([(-0.01,)], "lift double")
+    assert R.committee_mode(one, one, dates(7)).first()["recommendation"] is None
+    assert R.committee_mode(one, one, dates(8)).first()["recommendation"] == "deterministic"
+
+
+def test_sweep_that_mostly_failed_is_not_judged(spark, table):
+    low = spark.createDataFrame([(True,)], "low_completion boolean")
+    cols = "combo_id int, p double, sharpe_ratio double, max_drawdown double, total_trades int, total_alpha double"
+    rows_ = table(cols, [(i, float(i), 1.0 + i, -0.1, 90, 0.2) for i in range(6)])
+    ranked = R.ranked_combos(rows_, ["p"], {"p": 0.0})
+    assert R.recommend_combo(ranked).first()["status"] == "ok"
+    assert R.recommend_combo(ranked, low).first()["status"] == "insufficient_data"
+
+
+def test_holdout_leaves_a_refused_choice_as_it_was(spark, table):
+    nav = table("combo_id int, date date, pos int, nav double", [(1, f"2024-01-{d + 1:02d}", d, 100.0 - d) for d in range(20)])
+    for before, after in (("no_improvement", "no_improvement"), ("ok", "holdout_failed")):
+        choice = spark.createDataFrame([(1, 2.0, before)], "best_combo int, best_sharpe double, status string")
+        assert R.holdout_check(nav, choice).first()["status"] == after

@@ -155,3 +155,13 @@ def test_pearson_p_value(spark):
     got = [r[0] for r in df.select(pearson_p_value("r", "n")).collect()]
     assert got[0] == pytest.approx(0.0247694, abs=1e-6) and got[1] == pytest.approx(1.0)
     assert got[2] == 0.0 and got[3] is None and got[4] is None
+
+
+def test_rounding_passes_through_what_has_no_digits_left(spark):
+    import math
+
+    values = [float("nan"), float("inf"), float("-inf"), 1e16, -3.5e15, 2.00005, -1.23456, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    got = [r["x"] for r in df.orderBy("i").select(S.rnd("v", 4).alias("x")).collect()]
+    assert math.isnan(got[0]) and got[1:3] == [float("inf"), float("-inf")]
+    assert got[3:] == [1e16, -3.5e15, 2.0001, -1.2346, None]

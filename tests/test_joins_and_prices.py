@@ -181,3 +181,25 @@ def test_zeroed_feature_readmits_a_row(table):
     assert rows(I.scoreable_rows(f, ["x", "y"]).select("ticker")) == [("c",)]
     got = I.linear_scores(I.scoreable_rows(f, ["x", "y"], zero=["y"]), {"x": 2.0, "y": 5.0}, 1.0)
     assert rows(got.select("ticker", "alpha")) == [("a", 3.0), ("b", 3.0), ("c", 3.0)]
+
+
+def test_smoothed_means_over_many_blocks(spark):
+    """Several tickers, blocks that end at and beside the last bar, and a mean that starts at the second bar."""
+    rng = np.random.default_rng(4)
+    frames = []
+    for ticker, n in (("a", 1), ("b", 63), ("c", 64), ("d", 65), ("e", 700)):
+        frames.append(pd.DataFrame({"ticker": ticker, "date": pd.bdate_range("2020-01-01", periods=n), "bar_no": range(1, n + 1), "x": rng.normal(size=n)}))
+    pdf = pd.concat(frames)
+    df = spark.createDataFrame(pdf).withColumn("date", F.to_date("date"))
+    got = I.smoothed(df, {"m": (F.col("x"), 0.2, 0), "late": (F.col("x"), 1 / 14, 1)}).orderBy("ticker", "date").toPandas()
+    for ticker, own in got.groupby("ticker"):
+        x = own["x"].reset_index(drop=True)
+        np.testing.assert_allclose(own["m"], x.ewm(alpha=0.2, adjust=False).mean(), rtol=1e-9, atol=1e-12)
+        late = x.where(x.index > 0).ewm(alpha=1 / 14, adjust=False).mean()
+        np.testing.assert_allclose(own["late"].astype(float), late, rtol=1e-9, atol=1e-12)
+
+
+def test_asof_without_tie_takes_the_largest_values(spark):
+    left = spark.createDataFrame([("a", 5)], "k string, d int")
+    right = spark.createDataFrame([("a", 3, 1), ("a", 3, 7), ("a", 3, 4)], "k string, d int, v int").repartition(3)
+    assert A.asof_backward(left, right, ["k"], "d", "d", ["v"]).first()["v"] == 7
