@@ -1,10 +1,10 @@
 """Permutation test of the alpha of the top-scored signals.
 
 Shuffling scores over all rows and taking the N best per date picks N rows of
-each date at random.  So a permutation needs no global sort: each row gets a
-pseudo-random key from (seed, permutation, row key), and the N smallest keys of
-each (permutation, date) are the pick.  ``row_number() <= N`` is limited
-map-side, so a crowded date never reaches one task as a whole.
+each date at random.  So a permutation draws N different places of each date
+from hashes of (seed, permutation, date, draw), and the rows, numbered once per
+date, are joined on (date, place): dates x permutations x N rows, however many
+signals there are.
 """
 
 from __future__ import annotations
@@ -38,11 +38,27 @@ def eligible(signals: DataFrame, min_score: float) -> DataFrame:
 
 
 def null_alphas(signals: DataFrame, n_permutations: int, top_n: int, seed: int) -> DataFrame:
-    """(perm, alpha): the statistic under shuffled scores."""
-    perms = signals.withColumn("perm", F.explode(F.sequence(F.lit(0), F.lit(n_permutations - 1))))
-    key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("perm").cast("string"), F.col("date").cast("string"), "ticker"))
-    slim = perms.select("perm", "date", "ticker", "stock_return", "spy_return", key.alias("__k"))
-    return top_n_alpha(slim, top_n, ["perm"], [F.col("__k"), F.col("ticker")]).select("perm", "alpha")
+    """(perm, alpha): the statistic under shuffled scores.
+
+    Places are drawn without repeats: draw k is uniform over the first
+    n - N + k + 1 places, and one that was taken before becomes the last of them.
+    """
+    in_date = Window.partitionBy("date").orderBy("ticker", "stock_return", "spy_return", "score")
+    numbered = signals.select("date", "stock_return", "spy_return", (F.row_number().over(in_date) - 1).cast("long").alias("place"))
+    d = signals.groupBy("date").agg(F.count("*").alias("n")).withColumn(
+        "perm", F.explode(F.sequence(F.lit(0), F.lit(n_permutations - 1))))
+    drawn: list[str] = []
+    for k in range(top_n):
+        key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("perm").cast("string"), F.col("date").cast("string"), F.lit(str(k))))
+        last = F.col("n") - (top_n - k)
+        d = d.withColumn("__t", F.conv(F.substring(key, 1, 12), 16, 10).cast("long") % F.greatest(last + 1, F.lit(1)))
+        taken = F.col("__t").isin(*[F.col(c) for c in drawn]) if drawn else F.lit(False)
+        d = d.withColumn(f"__p{k}", F.when(taken, last).otherwise(F.col("__t")))
+        drawn.append(f"__p{k}")
+    places = F.when(F.col("n") <= top_n, F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).otherwise(F.array(*drawn))
+    picks = d.select("perm", "date", F.explode(places).alias("place")).join(numbered, ["date", "place"])
+    per_date = picks.groupBy("perm", "date").agg((F.avg("stock_return") - F.avg("spy_return")).alias("a"))
+    return per_date.groupBy("perm").agg(F.avg("a").alias("alpha"))
 
 
 def permutation_test(signals: DataFrame, n_permutations: int = 1000, top_n: int = 5, min_score: float = 70.0,

@@ -25,16 +25,31 @@ def _(t):
     return MC.top_n_alpha(signals(t), 2).withColumn("alpha", rnd("alpha", 6))
 
 
-_NULL = """nl AS (SELECT perm, avg(a) AS alpha FROM (SELECT perm, date, avg(stock_return) - avg(spy_return) AS a FROM (
-   SELECT * FROM (SELECT b.*, p.perm FROM b, (SELECT unnest(range(100)) AS perm) p) QUALIFY row_number() OVER (PARTITION BY perm, date ORDER BY md5(concat('42|', CAST(perm AS VARCHAR), '|', CAST(date AS VARCHAR), '|', ticker)), ticker) <= 2) GROUP BY 1, 2) GROUP BY 1)"""
+_TOP5 = _TOP.replace("<= 2", "<= 5")
 
 
-@query("permutation_test", f"""WITH k AS {_SIG}, b AS (SELECT * FROM k WHERE score >= 80), {_NULL}, ac AS ({_TOP}),
+def _draws(n: int) -> str:
+    """CTEs q1 to qn: draw k of every (permutation, date), a place that was drawn before replaced by the last one."""
+    out = []
+    for k in range(n):
+        t = f"CAST(concat('0x', substr(md5(concat('42|', CAST(perm AS VARCHAR), '|', CAST(date AS VARCHAR), '|{k}')), 1, 12)) AS BIGINT) % (n - {n - k - 1})"
+        seen = f"t IN ({', '.join(f'p{i}' for i in range(k))})" if k else "false"
+        out.append(f"q{k + 1} AS (SELECT * EXCLUDE (t), CASE WHEN {seen} THEN n - {n - k} ELSE t END AS p{k} FROM (SELECT *, {t} AS t FROM q{k} WHERE n > {n}))")
+    return ", ".join(out)
+
+
+_NULL = f"""q0 AS (SELECT date, n, perm FROM (SELECT date, count(*) AS n FROM b GROUP BY date), (SELECT unnest(range(1000)) AS perm)), {_draws(5)},
+ pk AS (SELECT perm, date, unnest([p0, p1, p2, p3, p4]) AS place FROM q5 UNION ALL SELECT perm, date, unnest(range(n)) AS place FROM q0 WHERE n <= 5),
+ nb AS (SELECT *, row_number() OVER (PARTITION BY date ORDER BY ticker, stock_return, spy_return, score) - 1 AS place FROM b),
+ nl AS (SELECT perm, avg(a) AS alpha FROM (SELECT perm, date, avg(stock_return) - avg(spy_return) AS a FROM pk JOIN nb USING (date, place) GROUP BY 1, 2) GROUP BY 1)"""
+
+
+@query("permutation_test", f"""WITH k AS {_SIG}, b AS (SELECT * FROM k WHERE score >= 70), {_NULL}, ac AS ({_TOP5}),
  z AS (SELECT count(*) AS m, count(CASE WHEN nl.alpha >= ac.alpha THEN 1 END) AS ge, max(ac.alpha) AS act, max(ac.n) AS nd, avg(nl.alpha) AS mu, stddev_pop(nl.alpha) AS sd, min(nl.alpha) AS lo, max(nl.alpha) AS hi FROM nl, ac)
  SELECT 'ok' AS status, {r('act', 4)} AS actual_alpha, {r('ge * 1e0 / m', 4)} AS p_value, {r('(1 - ge * 1e0 / m) * 100', 1)} AS percentile, {r('mu', 4)} AS null_mean, {r('sd', 4)} AS null_std, {r('lo', 4)} AS null_min, {r('hi', 4)} AS null_max,
   m AS n_permutations, (SELECT count(*) FROM b) AS n_signals, nd AS n_signal_dates, CASE WHEN ge * 1e0 / m < 0.05e0 THEN 'significant' ELSE 'not_significant' END AS conclusion FROM z""")
 def _(t):
-    return MC.permutation_test(signals(t), n_permutations=100, top_n=2, min_score=80.0)
+    return MC.permutation_test(signals(t))
 
 
 LIVE = "(SELECT * FROM {trades} WHERE action = 'ENTER')"
