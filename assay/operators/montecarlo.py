@@ -37,6 +37,10 @@ def eligible(signals: DataFrame, min_score: float) -> DataFrame:
     return known.filter(F.col("score") >= min_score)
 
 
+#: Draws that one hash serves, 24 bits each.
+DRAWS = 5
+
+
 def null_alphas(signals: DataFrame, n_permutations: int, top_n: int, seed: int) -> DataFrame:
     """(perm, alpha): the statistic under shuffled scores.
 
@@ -49,9 +53,11 @@ def null_alphas(signals: DataFrame, n_permutations: int, top_n: int, seed: int)
         "perm", F.explode(F.sequence(F.lit(0), F.lit(n_permutations - 1))))
     drawn: list[str] = []
     for k in range(top_n):
-        key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("perm").cast("string"), F.col("date").cast("string"), F.lit(str(k))))
+        if k % DRAWS == 0:
+            d = d.withColumn("__k", F.md5(F.concat_ws(
+                "|", F.lit(str(seed)), F.col("perm").cast("string"), F.col("date").cast("string"), F.lit(str(k // DRAWS)))))
         last = F.col("n") - (top_n - k)
-        d = d.withColumn("__t", F.conv(F.substring(key, 1, 12), 16, 10).cast("long") % F.greatest(last + 1, F.lit(1)))
+        d = d.withColumn("__t", F.conv(F.substring("__k", 1 + 6 * (k % DRAWS), 6), 16, 10).cast("long") % F.greatest(last + 1, F.lit(1)))
         taken = F.col("__t").isin(*[F.col(c) for c in drawn]) if drawn else F.lit(False)
         d = d.withColumn(f"__p{k}", F.when(taken, last).otherwise(F.col("__t")))
         drawn.append(f"__p{k}")

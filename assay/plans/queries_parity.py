@@ -32,7 +32,7 @@ def _draws(n: int) -> str:
     """CTEs q1 to qn: draw k of every (permutation, date), a place that was drawn before replaced by the last one."""
     out = []
     for k in range(n):
-        t = f"CAST(concat('0x', substr(md5(concat('42|', CAST(perm AS VARCHAR), '|', CAST(date AS VARCHAR), '|{k}')), 1, 12)) AS BIGINT) % (n - {n - k - 1})"
+        t = f"CAST(concat('0x', substr(md5(concat('42|', CAST(perm AS VARCHAR), '|', CAST(date AS VARCHAR), '|{k // 5}')), {1 + 6 * (k % 5)}, 6)) AS BIGINT) % (n - {n - k - 1})"
         seen = f"t IN ({', '.join(f'p{i}' for i in range(k))})" if k else "false"
         out.append(f"q{k + 1} AS (SELECT * EXCLUDE (t), CASE WHEN {seen} THEN n - {n - k} ELSE t END AS p{k} FROM (SELECT *, {t} AS t FROM q{k} WHERE n > {n}))")
     return ", ".join(out)
