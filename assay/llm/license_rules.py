@@ -1,18 +1,21 @@
 """Signature rules for licenses, one per line: label, rank, keyword, pattern.
 
 Patterns are read on a text's words: lower case, one space between words, no punctuation ("apache license version 2 0").
-The keyword must be in those words before the pattern is tried at all. Every pattern needs one of STEMS.
+The keyword must be in those words before the pattern is tried at all, so it is text that each match contains. Every
+match needs one of STEMS or NAMES in the text.
 """
 
 from __future__ import annotations
 
 #: A text without any of these has no license statement; they are looked for before anything else is done.
 STEMS = ("licen", "copyright", "reserved", "domain", "spdx", "warrant", "redistribut", "gpl", "commons", "copyleft")
+#: Names of licenses that are statements by themselves, as regexes on the text before its words are lined up.
+NAMES = (r"cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by", "wtfpl")
 
 #: Ranks: 4 a version or clause is named, 3 a grant or notice, 2 the name of a license, 1 a general statement.
 _RULES = r"""
 mit|4|permission is hereby granted|permission is hereby granted free of charge to any person obtaining a copy(?: \S+){0,12} licen\S*
-mit|3|mit|(?:released|licensed|distributed|available|provided|published) under (?:the )?(?:terms of (?:the )?)?(?:mit|expat) licen[cs]e
+mit|3|under|(?:released|licensed|distributed|available|provided|published) under (?:the )?(?:terms of (?:the )?)?(?:mit|expat) licen[cs]e
 mit|3|mit|(?:this|the) (?:software|code|project|library|work|program|file) is (?:licensed )?under (?:the )?mit licen[cs]e
 mit|3|mit|licen[cs]ed? mit
 mit|3|mit|spdx licen[cs]e identifier mit
@@ -94,15 +97,15 @@ mpl-1.0|4|mozilla|mozilla public licen[cs]e (?:version |v )?1 0
 mpl-1.1|4|mozilla|mozilla public licen[cs]e (?:version |v )?1 1
 mpl-2.0|4|mozilla|mozilla public licen[cs]e (?:version |v )?2(?: 0)?
 mpl-2.0|4|mpl|spdx licen[cs]e identifier mpl 2 0
-mpl-2.0|3|mpl|subject to the terms of the mozilla public licen[cs]e
+mpl-2.0|3|mozilla|subject to the terms of the mozilla public licen[cs]e
 mpl|2|mozilla|mozilla public licen[cs]e
 epl-1.0|4|eclipse|eclipse public licen[cs]e (?:version |v )?1(?: 0)?
 epl-2.0|4|eclipse|eclipse public licen[cs]e (?:version |v )?2(?: 0)?
 epl-2.0|4|epl|spdx licen[cs]e identifier epl 2 0
 epl|2|eclipse|eclipse public licen[cs]e
 edl-1.0|2|eclipse|eclipse distribution licen[cs]e
-cddl-1.0|4|cddl|common development and distribution licen[cs]e(?: cddl)? (?:version |v )?1 0
-cddl-1.1|4|cddl|common development and distribution licen[cs]e(?: cddl)? (?:version |v )?1 1
+cddl-1.0|4|common development|common development and distribution licen[cs]e(?: cddl)? (?:version |v )?1 0
+cddl-1.1|4|common development|common development and distribution licen[cs]e(?: cddl)? (?:version |v )?1 1
 cddl|2|common development|common development and distribution licen[cs]e
 cddl|3|cddl|spdx licen[cs]e identifier cddl 1 [01]
 cpl-1.0|2|common public|common public licen[cs]e
@@ -128,7 +131,7 @@ artistic-1.0|4|artistic|artistic licen[cs]e (?:version |v )?1(?: 0)?
 artistic-2.0|4|artistic|artistic licen[cs]e (?:version |v )?2(?: 0)?
 artistic|2|artistic|(?:perl )?artistic licen[cs]e
 perl|3|perl|under the same terms as perl(?: \S+){0,20} licen\S*
-psf-2.0|3|psf|spdx licen[cs]e identifier (?:psf|python) 2 0
+psf-2.0|3|identifier|spdx licen[cs]e identifier (?:psf|python) 2 0
 psf-2.0|2|python|python software foundation licen[cs]e
 python|2|python|python licen[cs]e
 ruby|2|ruby|ruby(?: s)? licen[cs]e
@@ -222,8 +225,8 @@ copyright|1|copyright|copyright (?:c )?(?:19|20)\d\d
 copyright|1|copyright|copyright c
 spdx|1|spdx|spdx licen[cs]e identifier \S+
 unknown-license|1|licen|(?:released|licensed|distributed|published) under (?:the |a )?(?:\S+ ){1,4}licen[cs]e
-unknown-license|1|license|see the licen[cs]e file
-unknown-license|1|license|subject to the (?:following )?licen[cs]e(?: terms)?
+unknown-license|1|see the|see the licen[cs]e file
+unknown-license|1|subject to the|subject to the (?:following )?licen[cs]e(?: terms)?
 unknown-license|1|licensed|this (?:work|content|file|software|document) is licensed
 """
 

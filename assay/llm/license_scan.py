@@ -1,6 +1,6 @@
 """License detection by ordered signature rules, in DataFrame functions alone.
 
-A text that has none of a few stems is done at once. The words of the others are lined up, one space between them, and
+A text that has none of a few stems and names is done at once. The words of the others are lined up, one space between them, and
 each rule whose keyword is among them is tried. Detections overlap: one whose words lie within those of a stronger one
 (higher rank, or longer at the same rank, or earlier in the rules) is suppressed. Everything happens in the row of the
 document, so nothing is shuffled and no document meets another.
@@ -13,7 +13,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .license_rules import STEMS, rules
+from .license_rules import NAMES, STEMS, rules
 
 #: Words: runs of ASCII letters and digits and of anything beyond ASCII. (The second is for text before lower-casing.)
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -73,7 +73,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     so repeated rows and null ids are like others; an empty table gives none; other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    gate = F.col("text").rlike("(?i)" + "|".join(STEMS))
+    gate = F.col("text").rlike("(?i)" + "|".join(STEMS + NAMES))
     line = F.trim(F.regexp_replace(F.translate(F.col("text"), _UPPER, _LOWER), BREAKS, " "))
     rows = rows.select(
         "doc_id", F.regexp_count("text", F.lit(ANY_WORD)).cast("long").alias("n_words"),

@@ -408,6 +408,50 @@ def test_license_rules_need_a_stem():
         re.compile(pattern)
 
 
+def examples(pattern: str) -> list[str]:
+    """Texts that match a rule's pattern: the shortest one, and others that differ from it in one choice each."""
+    def of(items) -> list[str]:
+        parts = [each(*item) for item in items]
+        first = [p[0] for p in parts]
+        return ["".join(first), *("".join([*first[:i], x, *first[i + 1 :]]) for i, p in enumerate(parts) for x in p[1:])]
+
+    def each(kind, value) -> list[str]:
+        kind = str(kind)
+        if kind == "LITERAL":
+            return [chr(value)]
+        if kind == "IN":
+            kinds = [(str(k), v) for k, v in value]
+            return [chr(v) for k, v in kinds if k == "LITERAL"] or ["7" if str(kinds[0][1]) == "CATEGORY_DIGIT" else "w"]
+        if kind == "BRANCH":
+            return [x for b in value[1] for x in of(b)]
+        if kind == "SUBPATTERN":
+            return of(value[3])
+        low, high, inner = value
+        assert kind == "MAX_REPEAT", kind
+        some = of(inner)
+        return [some[0] * low, *(x * max(1, low) for x in some)] if high > low else [x * low for x in some]
+
+    return list(dict.fromkeys(of(re._parser.parse(pattern))))
+
+
+def test_license_gates_lose_no_match(spark):
+    """Scans with and without the gate and the keywords give equal detections on examples of every rule."""
+    texts = [x for *_, pattern in rules() for x in examples(pattern)]
+    assert all(any(re.fullmatch(p, x) for x in texts) for *_, p in rules())
+    texts = list(dict.fromkeys(texts))
+    texts += ["Photo by A. Smith, CC BY 4.0", "Figure 2 (CC BY-NC-SA 3.0)", "see cc--by\t2.5!", "Released under the WTFPL", "acc by 4 0"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r for r in license_scan.scan(table.repartition(16)).collect()}
+    tried = [(n, label, rank, re.compile(f"(?<![^ ])(?:{p})(?![^ ])")) for n, (label, rank, _, p) in enumerate(rules())]
+    for i, text in enumerate(texts):
+        line = re.sub(license_scan.BREAKS, " ", text.lower()).strip()
+        found = [(line.count(" ", 0, m.start()), line.count(" ", 0, m.end()), rank, n, label) for n, label, rank, p in tried for m in p.finditer(line)]
+        stronger = lambda e, d: (e[2], e[1] - e[0], -e[3]) > (d[2], d[1] - d[0], -d[3])
+        want = Counter(d[4:] + d[2:3] + d[:2] for d in found if not any(e[0] <= d[0] and e[1] >= d[1] and stronger(e, d) for e in found))
+        assert Counter((d["label"], d["rank"], d["first"], d["last"]) for d in out[i]["detections"]) == want, text
+    assert [out[i]["labels"] for i in range(len(texts) - 5, len(texts))] == ["cc-by-4.0", "cc-by-nc-sa-3.0", "cc-by-2.5", "wtfpl", ""]
+
+
 @pytest.mark.parametrize("run", [
     lambda d: exact_dedup.exact_groups(d), lambda d: mixing.mix_report(*mixing.mix(d)), lambda d: substring_dedup.remove_repeats(d),
     lambda d: suffix_dedup.remove_repeats(d), lambda d: ngram_join.near_duplicates(d), lambda d: packing.pack(d, tokenizer_path()),
