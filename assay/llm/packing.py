@@ -43,6 +43,8 @@ _CLOSING = rb"[!-/:;=?-`{}~]+"
 _PLAIN = re.compile(rb"^(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+(?:%s)?$" % _CLOSING, re.M)
 _CLOSES = re.compile(rb"(%s)$" % _CLOSING, re.M)
 TOGETHER = 1000
+#: The tokenizer finds its special tokens before it lowers case: words with their opening keep their case.
+_OPENING = b"<|"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -53,7 +55,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 class WordIds(dict):
-    """Bytes of a word (ASCII lower case) to its ids as little-endian 32-bit integers, filled batch by batch.
+    """Bytes of a word (see `words_of`) to its ids as little-endian 32-bit integers, filled batch by batch.
 
     No unit of the tokenizer spans white space and it lowers case, so a text's ids are those of its words in turn. Plain
     words skip the normaliser, which would not change them, and are encoded many at a time; the tokens that end a unit
@@ -108,6 +110,14 @@ def _word_ids(model: str) -> WordIds:
     return _tokenizers[key]
 
 
+def words_of(text: bytes) -> list[bytes]:
+    """The words of a text in ASCII lower case, but for those that may hold a special token."""
+    words = text.lower().split()
+    if _OPENING in text:
+        return [own if _OPENING in own else low for own, low in zip(text.split(), words)]
+    return words
+
+
 def cuts(length: int, window: int, largest_piece: int) -> list[int]:
     """Starts of a document's pieces, and its length: whole windows first, then equal parts of the rest."""
     full = length // window * window
@@ -121,7 +131,7 @@ def _cut(model: str, window: int, largest_piece: int, with_ids: bool, batches: I
     gc.disable()  # nothing here makes cycles, and the collector would walk all words again and again
     end = np.array([SEPARATOR], "<u4").tobytes()
     for part in byte_slices(batches, "text", 2 << 20):
-        texts = [t.lower().split() if t else [] for t in part.column("text").cast(pa.binary()).to_pylist()]
+        texts = [words_of(t) if t else [] for t in part.column("text").cast(pa.binary()).to_pylist()]
         ids_of.learn(set().union(*texts))
         get = ids_of.__getitem__
         out: dict[str, list] = {name: [] for name in PIECES.names}

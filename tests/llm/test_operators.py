@@ -304,6 +304,21 @@ def test_word_ids_are_the_tokenizers():
     assert np.frombuffer(b"".join(ids[w] for w in words), "<u4").tolist() == coder.encode(text, add_special_tokens=False).ids
 
 
+def test_special_tokens_keep_their_case(spark):
+    from tokenizers import Tokenizer
+
+    coder = Tokenizer.from_file(tokenizer_path())
+    texts = [
+        "an <|ENDOFTEXT|> or <|StartOfText|>", "A<|EndOfText|>B <|endoftext|> X<|startoftext|>Y", "ONE <|TWO <|endoftext|>. É<|X",
+        "<|end OfText|> PLAIN Words <|\n|>"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {i: coder.encode(x, add_special_tokens=False).ids + [1] for i, x in enumerate(texts)}
+    out = packing.pack(table, tokenizer_path(), with_ids=True).collect()
+    assert {r["doc_id"]: np.frombuffer(bytes(r["ids"]), "<u4").tolist() for r in out} == want
+    assert {r["doc_id"]: r["ids_crc32"] for r in out} == {i: zlib.crc32(np.array(x, "<u4").tobytes()) for i, x in want.items()}
+    assert 49407 not in want[0] and want[1].count(49407) == 1
+
+
 def brute_rules(text):
     text = text or ""
     words = WORD.findall(text)
