@@ -17,7 +17,8 @@ Overlaps. Inside a family, the distinct n-grams are cut into fragments again, th
 counts are summed per pair. Families above a bound are cut by size class and hash into blocks and compared block by
 block in many tasks. Only a spanning star of the links found leaves a task, never the pairs.
 
-Equal sets are one node from the start, so copies cost nothing here.
+Equal sets are one node from the start. Of the copies in one chunk of rows only the first sends its prints; a text that
+is in many chunks is one entry per chunk in each of its shards.
 """
 
 from __future__ import annotations
@@ -162,6 +163,9 @@ def _postings(width: int, similarity: Fraction, shards: int, batches: Iterator[p
             keys.append(set_keys(grams, bounds))
             base += part.num_rows
         owner, found, keys = np.concatenate(owners), np.concatenate(found), np.concatenate(keys)
+        once = np.zeros(len(keys), bool)  # equal sets have equal prints
+        once[np.unique(index_keys(keys)[1], return_index=True)[1]] = True
+        owner, found = owner[once[owner]], found[once[owner]]
         if len(found):
             yield from postings((found >> np.uint64(32)).astype(np.int64) % shards, owner, keys, prints=found).to_batches()
 

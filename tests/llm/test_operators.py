@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ from assay.llm import (
     exact_dedup, language, license_scan, mixing, ngram_join, packing, quality_model, quality_rules, substring_dedup,
     suffix_dedup,
 )
+from assay.llm.common import unpack
 from assay.llm.components import components
 from assay.llm.license_rules import STEMS, rules
 from assay.llm.queries import tokenizer_path
@@ -253,6 +255,23 @@ def test_components(spark):
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 103: 100}
 
 
+def test_copies_in_a_chunk_send_their_prints_once():
+    one, two = " ".join(f"w{i}" for i in range(80)), " ".join(f"w{i}" for i in range(1, 81))
+
+    def sent(texts):
+        batches = [pa.record_batch({"text": pa.array(texts[i : i + 7])}) for i in range(0, len(texts), 7)]
+        groups = list(ngram_join._postings(5, Fraction(8, 10), 4, iter(batches)))
+        out = Counter()
+        for g in groups:
+            keys, owner, values = unpack(pa.Table.from_batches([g]), prints=np.uint64)
+            out.update((keys[o].tobytes(), int(p)) for o, p in zip(owner, values["prints"]))
+        return out
+
+    want = sent([one, two, "", None])
+    assert len({k for k, _ in want}) == 2 and set(want.values()) == {1}
+    assert sent([one, None, *[two, one.upper(), one] * 20, ""]) == want
+
+
 def test_packing(docs, rows):
     from tokenizers import Tokenizer
 
