@@ -182,14 +182,20 @@ def identify(docs: DataFrame, names: list[str], prototypes: np.ndarray, id_col:
 
 
 def keep_identified(docs: DataFrame, names: list[str], prototypes: np.ndarray) -> DataFrame:
-    """The rows of `docs`, with all their columns, whose `text` has a language (is not `und`); their texts never move."""
+    """The rows of `docs`, with all their columns, whose `text` has a letter; their texts never move.
+
+    Where a language was learned, these are the texts that have one (are not `und`); the cosine never rejects.
+    """
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows), pa.int64()), batch.column("text")], names=["doc_id", "text"])
-            known = [p.column("lang_pred") for p in _predict(names, prototypes, iter([own]))]
+            if names:
+                known = [pc.not_equal(p.column("lang_pred"), "und") for p in _predict(names, prototypes, iter([own]))]
+            else:
+                known = [pa.array(trigrams(p.column("text"))[2]) for p in byte_slices(iter([own]), "text", SLICE)]
             if known:
-                yield batch.filter(pc.not_equal(pa.chunked_array(known), "und").combine_chunks())
+                yield batch.filter(pa.chunked_array(known).combine_chunks())
 
     return docs.mapInArrow(chosen, docs.schema)
 

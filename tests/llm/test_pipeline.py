@@ -41,6 +41,12 @@ def test_language_rejects_texts_without_letters(steps):
         (i, t) for i, t in listed(steps[0], "doc_id", "text") if t and any(c.isalpha() for c in t))
 
 
+@pytest.mark.parametrize("lang", ["null", "if(pmod(crc32(cast(cast(doc_id as string) as binary)), 4) = 2, 'en', null)"])
+def test_language_keeps_texts_of_an_unlabelled_input(spark, steps, lang):
+    out = corpus_pipeline.identify_language(spark, steps[0].withColumn("lang", F.expr(lang).cast("string")), "")
+    assert Counter(listed(out, "doc_id", "text")) == Counter(listed(steps[1], "doc_id", "text"))
+
+
 def test_exact_copies_go(steps):
     first = {}
     for i, t in listed(steps[1], "doc_id", "text"):
