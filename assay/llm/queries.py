@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    exact_dedup, language, license_scan, mixing, ngram_join, packing, quality_model, quality_rules, substring_dedup,
-    suffix_dedup,
+    exact_dedup, language, license_scan, mixing, ngram_join, packing, quality_model, quality_rules, spelling,
+    substring_dedup, suffix_dedup, target_sampling, topk_search,
 )
 from .common import documents
 
@@ -199,3 +199,106 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_license_scan")
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir)).drop("detections")
+
+
+#: CRC-32 of a text as an integer: eight steps per byte of its UTF-8 form.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(strlen({0})), lambda i: ('0x' || substr(hex(encode({0})), 2 * i + 1, 2))::BIGINT)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda c, k: xor(c // 2, 3988292384 * (c % 2)))), 4294967295)"""
+
+OP11_SQL = r"""
+WITH x AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), y AS (
+  SELECT regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), r AS (
+  SELECT rid, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]),
+    list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))) AS f FROM x
+), e AS (
+  SELECT unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]),
+    list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))) AS f FROM y
+), b AS MATERIALIZED (
+  SELECT f, """ + _CRC.format("f") + r""" % 10000 AS bucket FROM (SELECT f FROM r UNION SELECT f FROM e)
+), n AS (
+  SELECT bucket, sum(s) AS s, sum(t) AS t FROM (
+    SELECT bucket, 1 AS s, 0 AS t FROM r JOIN b USING (f) UNION ALL SELECT bucket, 0, 1 FROM e JOIN b USING (f)) GROUP BY bucket
+), g AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM n) + 10000)::DOUBLE
+                                 / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM n) + 10000)::DOUBLE)))::BIGINT AS gain FROM n
+), w AS (
+  SELECT rid, sum(gain)::BIGINT AS weight FROM r JOIN b USING (f) JOIN g USING (bucket) GROUP BY rid
+), d AS (
+  SELECT doc_id, len(ws) AS n_words, (len(ws) + greatest(len(ws) - 1, 0) + greatest(len(ws) - 2, 0))::BIGINT AS n_features,
+         coalesce(weight, 0) AS weight, (coalesce(weight, 0) + floor(-1000 * ln(-ln(
+           (('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5)::DOUBLE / 4294967296::DOUBLE))))::BIGINT AS score
+  FROM x LEFT JOIN w USING (rid)
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS place,
+         count(*) OVER (PARTITION BY n_words >= 20) AS n FROM d
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 5 * n // 100 THEN place END AS rank FROM o
+"""
+
+
+@query("op11_importance_resampling", OP11_SQL)
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = target_sampling.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.drop("n_words")
+
+
+OP12_SQL = r"""
+WITH RECURSIVE x AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]{7,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+), p AS (
+  SELECT doc_id, run, count(*) AS n, coalesce(doc_id::VARCHAR, '') || ':' || run AS s FROM x GROUP BY doc_id, run
+), h AS MATERIALIZED (
+  SELECT run, n, """ + _CRC.format("s") + r""" AS h FROM p
+), w AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM h)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), d AS MATERIALIZED (
+  SELECT word, n, i, left(word, (i - 1)::INT) || substr(word, (i + 1)::INT) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)
+), near AS (
+  SELECT a.word, b.word AS other, b.n FROM d a JOIN d b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT d.word, w.word, w.n FROM d JOIN w ON d.rest = w.word
+  UNION SELECT w.word, d.word, d.n FROM d JOIN w ON d.rest = w.word
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(struct_pack(other := other, n := n), (-n, encode(other))) AS top FROM near GROUP BY word
+), f AS MATERIALIZED (
+  SELECT word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN top.n >= 10 * w.n THEN top.other END AS form,
+         CASE WHEN top.n >= 10 * w.n THEN top.n END AS form_n FROM w LEFT JOIN best USING (word)
+), r AS (
+  SELECT word, word AS root, 0 AS depth FROM f
+  UNION ALL SELECT r.word, f.form, depth + 1 FROM r JOIN f ON r.root = f.word WHERE f.form IS NOT NULL
+)
+SELECT f.word, form, root, f.n, n_near, form_n FROM f JOIN (SELECT word, arg_max(root, depth) AS root FROM r GROUP BY word) USING (word)
+"""
+
+
+@query("op12_spelling_variants", OP12_SQL)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
+OP13_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)
+), s AS (
+  SELECT q.vec_id AS query_id, q.rid AS qrid, c.vec_id,
+         list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+  FROM v q JOIN v c ON q.rid <> c.rid WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT query_id, (row_number() OVER (PARTITION BY qrid ORDER BY score DESC, vec_id NULLS LAST))::INTEGER AS rank, vec_id, score FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query("op13_exact_topk", OP13_SQL)
+def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return topk_search.top_k(rows, rows.where(F.col("vec_id") % 50 == 0))
