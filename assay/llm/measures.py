@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from .common import _BYTE_CODES, Words, mix, raw, runs, span_hashes
+from .common import Words, block_hashes, mix, raw, runs, span_hashes
 
 _IS = {
     "continuation": [*range(0x80, 0xC0)], "symbol": [*b"#*$%&|<>"], "upper": [*range(65, 91)], "lower": [*range(97, 123)],
@@ -84,7 +84,7 @@ class Measures:
     def n_dup_lines(self) -> np.ndarray:
         """Lines with a word that equal an earlier line of the text."""
         starts, ends, owner = self._lines()
-        later = repeats(span_hashes(_BYTE_CODES[self.data], starts, ends, 0x9E3779B97F4A7C15), owner)[1]
+        later = repeats(block_hashes(self.data, starts, ends), owner)[1]
         return np.bincount(owner[later], minlength=len(self.offsets) - 1)
 
     def n_repeat_words(self, width: int = 3) -> np.ndarray:

@@ -6,8 +6,9 @@ id, then smallest start) stays and all others go. A chunk of documents sends onl
 others are decided already, so a passage that is everywhere costs a shard one entry per chunk. The windows that go are
 gathered per document and merge into maximal intervals of words.
 
-The shard comes from a second hash, so windows are told apart by 64 bits and those of the shard number. Expected false
-matches: squared windows / 2 ** (65 + bits of the shard number), below 0.000001 for 10 ** 8 windows.
+Words are hashed by mixed 8-byte blocks, which no pattern inside a word cancels; only windows are polynomials, of these
+hashes. The shard comes from a second polynomial, so windows are told apart by 64 bits and those of the shard number.
+Expected false matches: squared windows / 2 ** (65 + bits of the shard number), below 0.000001 for 10 ** 8 windows.
 """
 
 from __future__ import annotations

@@ -494,3 +494,17 @@ def test_license_gates_lose_no_match(spark):
 ])
 def test_empty_table(nothing, run):
     assert run(nothing).collect() == []
+
+
+def test_structured_words_are_told_apart(spark):
+    """A Thue-Morse word and its complement, alone and before one common passage: a polynomial modulo 2**64 confuses them."""
+    signs = [bin(i).count("1") & 1 for i in range(2048)]
+    one, two = ("".join(letters[s] for s in signs) for letters in ("ab", "ba"))
+    tail = " ".join(f"w{i}" for i in range(19))
+    passages = spark.createDataFrame([(1, f"{one} {tail}"), (2, f"{two} {tail}")], "doc_id long, text string")
+    assert [r.n_removed for r in substring_dedup.remove_repeats(passages).collect()] == [0, 0]
+    alone = spark.createDataFrame([(1, one), (2, two)], "doc_id long, text string")
+    found = ngram_join.near_duplicates(alone, width=3, similarity=Fraction(90, 100))
+    assert sorted((r.doc_id, r.component_id) for r in found.collect()) == [(1, 1), (2, 2)]
+    lines = spark.createDataFrame([(1, f"{one}\n{two}\n{one}")], "doc_id long, text string")
+    assert quality_rules.judge(lines).first().n_dup_lines == 1
