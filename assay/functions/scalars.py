@@ -17,12 +17,13 @@ def rnd(c, digits: int) -> Column:
 
     ``F.round`` looks at the shortest decimal form, so 0.12345 and
     0.12344999999999999 (the same mean, added up in another order) would give
-    different answers; the small shift makes both go up.
+    different answers; the small shift makes both go up. NaN, infinities and
+    values without digits left to round pass through. The argument is named
+    once, so nested roundings do not multiply the generated code; adding 0.0
+    turns a negative zero into zero.
     """
     scale = float(10**digits)
-    x = _c(c).cast("double")
-    # NaN, infinities and values without digits left to round pass through: a floor is a long
-    return F.when(F.abs(x) < 2.0**53 / scale, F.floor(x * scale + 0.5000001) / F.lit(scale)).otherwise(x)
+    return (F.rint(_c(c).cast("double") * scale + 1e-7) + 0.0) / F.lit(scale)
 
 
 def clamp(c, lo, hi) -> Column:

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assay.functions import scalars as S
-from assay.operators.portfolio import pair_correlations
+from assay.functions.frames import with_scalars
+from assay.operators.portfolio import mean_correlations
 
 # Parameter defaults of the entry and exit rules.
 ENTRY_DEFAULTS: dict[str, object] = {
@@ -127,7 +128,10 @@ def entry_decisions(candidates: DataFrame, combos: DataFrame, state: DataFrame,
         "market_regime", F.coalesce("market_regime", F.lit("neutral")))
     st = state.join(conf, "combo_id").withColumn(
         "dd_multiplier", S.drawdown_multiplier("drawdown", "circuit_breaker"))
-    d = c.join(st, "date")
+    # every candidate meets each combination of the (small) parameter table; the join key is the pair of date and
+    # combination, so a crowded date is dealt out
+    ids = combos.agg(F.sort_array(F.collect_set("combo_id")).alias("__ids"))
+    d = with_scalars(c, ids).withColumn("combo_id", F.explode("__ids")).drop("__ids").join(st, ["combo_id", "date"])
     sect = held.join(sectors.select("ticker", "sector"), "ticker", "left").groupBy("combo_id", "pos", "sector").agg(
         F.sum("value").alias("sector_value"))
     mine = held.select("combo_id", "pos", "ticker", F.lit(True).alias("held")).distinct()
@@ -139,12 +143,9 @@ def entry_decisions(candidates: DataFrame, combos: DataFrame, state: DataFrame,
         judged = sized.withColumn("mean_correlation", F.lit(None).cast("double")).withColumn("block_reason", gate(sized))
     else:
         open_ = sized.filter(gate(sized).isNull()).select(*key, "sector")
-        names = held.join(sectors.select("ticker", "sector"), "ticker").select(
-            "combo_id", "pos", "sector", F.col("ticker").alias("b")).distinct()
-        pairs = open_.withColumnRenamed("ticker", "a").join(names, ["combo_id", "pos", "sector"]).filter("a <> b")
-        corr = pair_correlations(pairs, returns, lookback)
-        mean = pairs.join(corr, ["pos", "a", "b"]).groupBy("combo_id", "pos", F.col("a").alias("ticker")).agg(
-            S.rnd(F.avg(F.coalesce("corr", F.lit(0.0))), 8).alias("mean_correlation"))
+        names = held.join(sectors.select("ticker", "sector"), "ticker").select(*key, "sector").distinct()
+        mean = mean_correlations(open_, names, returns, ["combo_id", "sector"], lookback).select(
+            *key, S.rnd("mean", 8).alias("mean_correlation"))
         judged = sized.join(mean, key, "left")
         judged = judged.withColumn("block_reason", gate(judged, F.col("mean_correlation")))
     passed = F.col("block_reason").isNull()
@@ -215,8 +216,3 @@ def research_actions(signals: DataFrame) -> DataFrame:
         F.when(best == 3, "REDUCE").when(best == 2, "EXIT").when(best == 1, "ENTER").otherwise("HOLD")
         .alias("research_action"))
 
-
-def first_signal_of_day(signals: DataFrame) -> DataFrame:
-    """Candidates before universe, one row per (date, ticker), by list position."""
-    w = Window.partitionBy("date", "ticker").orderBy(F.when(F.col("bucket") == "buy", 0).otherwise(1), "position")
-    return signals.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r")

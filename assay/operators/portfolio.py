@@ -7,7 +7,7 @@ Orders of a day act on the NAV of the next day: a day is marked before it trades
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assay.functions.frames import with_scalars
@@ -15,9 +15,34 @@ from assay.functions.scalars import ratio, rnd
 
 YEAR = 252
 FLAT = 1e-15
+FLAT_RETURNS = 1e-9
 PAST = Window.unboundedPreceding
 
 
+def orders_of(trades: DataFrame, combos: DataFrame) -> DataFrame:
+    """(combo_id, seq, date, ticker, action, shares, price, position_pct, exit_reason): what each combination orders.
+
+    ``combos`` (combo_id, min_score, max_position_pct) is a parameter table of at most some hundred rows; it travels as
+    one array, and a trade becomes a row for each combination whose score threshold it reaches.
+    """
+    all_ = combos.agg(F.sort_array(F.collect_list(F.struct("min_score", "combo_id", "max_position_pct"))).alias("__all"))
+    passed = F.filter("__all", lambda c: F.col("research_score") >= c["min_score"])
+    d = with_scalars(trades, all_).withColumn("c", F.explode(passed))
+    whole = F.floor(F.col("shares") * F.col("c.max_position_pct") * 20)
+    part = F.floor(F.col("shares") * F.col("c.max_position_pct") * 10 / 2.0)
+    return d.select(
+        "c.combo_id", F.col("trade_id").alias("seq"), "date", "ticker", "action",
+        F.when(F.col("action") == "REDUCE", part).otherwise(whole).cast("double").alias("shares"),
+        F.col("fill_price").alias("price"), "position_pct", "exit_reason")
+
+
+def order_paths(combos: DataFrame) -> DataFrame:
+    """The distinct settings that decide what is ordered; all other parameters leave orders and NAV as they are."""
+    keys = ["min_score", "max_position_pct"]
+    no = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*keys)) - 1
+    return combos.select(*keys).distinct().select(no.cast("int").alias("combo_id"), *keys)
+
+
 def executed_orders(orders: DataFrame, fee: float = 0.001) -> DataFrame:
     """What each order did: held shares before and after, sold shares, cash flow.
 
@@ -64,11 +89,35 @@ def marked_positions(executed: DataFrame, cal: DataFrame, bars: DataFrame) -> Da
     return d.withColumn("value", F.col("shares") * F.coalesce("close", F.lit(0.0)))
 
 
+def bar_equity(executed: DataFrame, cal: DataFrame, bars: DataFrame) -> DataFrame:
+    """(combo_id, pos, equity): held shares at the day's close, from the bars alone.
+
+    A day without a bar is worth nothing, so only bars matter: every order learns how many bars its ticker has had by
+    then, and a position is the run of bar numbers up to the next order. Bars are counted once per (ticker, day), not
+    per combination, and no held day without a price is ever made.
+    """
+    days = cal.select("date", "pos")
+    priced = bars.filter(F.col("close").isNotNull()).join(days, "date").select("ticker", "pos", "close")
+    d = executed.join(days, "date")
+    w = Window.partitionBy("ticker").orderBy("pos", F.desc("bar"))
+    points = priced.select("ticker", "pos", F.lit(1).alias("bar"), "close").unionByName(
+        d.select("ticker", "pos").distinct().select("ticker", "pos", F.lit(0).alias("bar"), F.lit(None).cast("double").alias("close")))
+    points = points.withColumns({
+        "n": F.sum("bar").over(w.rowsBetween(PAST, 0)), "n_all": F.sum("bar").over(Window.partitionBy("ticker"))})
+    at = points.filter("bar = 0").select("ticker", "pos", "n", "n_all")
+    path = Window.partitionBy("combo_id", "ticker").orderBy("pos", "seq")
+    held = d.join(at, ["ticker", "pos"]).withColumn("until", F.coalesce(F.lead("n").over(path), F.col("n_all")))
+    held = held.filter((F.col("held_after") > 0) & (F.col("n") < F.col("until"))).select(
+        "combo_id", "ticker", F.col("held_after").alias("shares"), F.explode(F.sequence(F.col("n") + 1, F.col("until"))).alias("n"))
+    numbered = points.filter("bar = 1").select("ticker", "n", "pos", "close")
+    return held.join(numbered, ["ticker", "n"]).groupBy("combo_id", "pos").agg(
+        F.sum(F.col("shares") * F.col("close")).alias("equity"))
+
+
 def nav_history(executed: DataFrame, cal: DataFrame, bars: DataFrame, init_cash: float = 1_000_000.0,
                 marked: DataFrame | None = None) -> DataFrame:
-    """(combo_id, date, pos, cash, equity, nav) for every calendar day."""
-    marked = marked_positions(executed, cal, bars) if marked is None else marked
-    equity = marked.groupBy("combo_id", "pos").agg(F.sum("value").alias("equity"))
+    """(combo_id, date, pos, cash, equity, nav) for every calendar day; from ``marked`` positions where there are some."""
+    equity = bar_equity(executed, cal, bars) if marked is None else marked.groupBy("combo_id", "pos").agg(F.sum("value").alias("equity"))
     flows = executed.join(cal.select("date", "pos"), "date").groupBy("combo_id", "pos").agg(
         F.sum("cash_flow").alias("flow"))
     last = cal.agg(F.max("pos").alias("__last"))
@@ -152,6 +201,13 @@ def combo_statistics(combos: DataFrame, nav: DataFrame, orders: DataFrame, bench
         rnd(zero("total_return") - F.col("spy_return"), digits).alias("total_alpha"))
 
 
+def sweep_statistics(combos: DataFrame, path_statistics: DataFrame) -> DataFrame:
+    """The statistics of each combination: those of the path that it orders on (``combo_statistics`` of ``order_paths``)."""
+    keys = ["min_score", "max_position_pct"]
+    stats = [c for c in path_statistics.columns if c not in combos.columns]
+    return combos.join(path_statistics.select(*keys, *stats), keys).select(*combos.columns, *stats)
+
+
 def highest_since_entry(marked: DataFrame) -> DataFrame:
     """Highest high of an open position so far, never below its entry price."""
     w = Window.partitionBy("combo_id", "ticker", "episode").orderBy("pos").rowsBetween(PAST, 0)
@@ -170,21 +226,71 @@ def duplicate_buys(buys: DataFrame) -> DataFrame:
         F.sum("shares").alias("shares"), F.min("price").alias("price"), F.count("*").alias("n_orders"))
 
 
+def return_windows(keys: DataFrame, returns: DataFrame, lookback: int = 60) -> DataFrame:
+    """(ticker, pos, xs, n, total, sd) for each asked (ticker, pos): the returns of the ``lookback`` days before.
+
+    ``xs`` is an array of fixed length, a missing return being 0; ``n`` is the number of those days that exist. One
+    window per ticker over its returns and the asked days, with a frame of ``lookback`` days.
+    """
+    run = returns.filter(F.col("ret").isNotNull()).select("ticker", "pos", "ret", F.lit(False).alias("asked"))
+    ask = keys.filter("pos > 0").select("ticker", "pos").distinct().select(
+        "ticker", "pos", F.lit(None).cast("double").alias("ret"), F.lit(True).alias("asked"))
+    w = Window.partitionBy("ticker").orderBy("pos").rangeBetween(-lookback, -1)
+    at = F.when(F.col("ret").isNotNull(), F.struct((F.col("pos")).alias("pos"), "ret"))
+    d = run.unionByName(ask).withColumns({
+        "seen": F.collect_list(at).over(w), "total": F.coalesce(F.sum("ret").over(w), F.lit(0.0)),
+        "squares": F.coalesce(F.sum(F.col("ret") * F.col("ret")).over(w), F.lit(0.0))}).filter("asked")
+    days = F.sequence(F.col("pos") - lookback, F.col("pos") - 1)
+    by_day = F.map_from_entries("seen")
+    d = d.withColumns({"n": F.least(F.col("pos"), F.lit(lookback)), "by_day": by_day})
+    variance = (F.col("squares") - F.col("total") * F.col("total") / F.col("n")) / (F.col("n") - 1)
+    return d.select(
+        "ticker", "pos", F.transform(days, lambda k: F.coalesce(F.try_element_at("by_day", k), F.lit(0.0))).alias("xs"), "n", "total",
+        F.when(F.col("n") >= 2, F.sqrt(F.greatest(variance, F.lit(0.0)))).otherwise(0.0).alias("sd"))
+
+
+def _dot(x: Column, y: Column) -> Column:
+    return F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+
+
 def pair_correlations(pairs: DataFrame, returns: DataFrame, lookback: int = 60) -> DataFrame:
-    """(pos, a, b, corr) over the ``lookback`` days before ``pos``; a missing return is 0.
+    """(pos, a, b, n, corr) over the ``lookback`` days before ``pos``; a missing return is 0.
 
-    ``returns``: (ticker, pos, ret).  Only the asked pairs are looked at, each
-    over its own ``lookback`` days, with plain equi-joins on (ticker, day).
+    ``returns``: (ticker, pos, ret). Only the asked pairs are looked at: each side brings one array of its returns, by a
+    plain equi-join, and the arrays are folded in place. No pair is exploded into days.
+    """
+    asked = pairs.filter("pos > 0").select("pos", "a", "b").distinct()
+    sides = asked.select("pos", F.col("a").alias("ticker")).unionByName(asked.select("pos", F.col("b").alias("ticker")))
+    windows = return_windows(sides, returns, lookback)
+    side = lambda k: windows.select(F.col("ticker").alias(k), "pos", *[F.col(c).alias(f"{c}_{k}") for c in ("xs", "total", "sd")])
+    d = asked.join(side("a"), ["a", "pos"]).join(side("b"), ["b", "pos"]).withColumn("n", F.least(F.col("pos"), F.lit(lookback)))
+    cov = (_dot(F.col("xs_a"), F.col("xs_b")) - F.col("total_a") * F.col("total_b") / F.col("n")) / (F.col("n") - 1)
+    ok = (F.col("n") >= 2) & (F.col("sd_a") > FLAT_RETURNS) & (F.col("sd_b") > FLAT_RETURNS)
+    return d.select("pos", "a", "b", "n", F.when(ok, cov / (F.col("sd_a") * F.col("sd_b"))).alias("corr"))
+
+
+def mean_correlations(asked: DataFrame, names: DataFrame, returns: DataFrame, by: list[str], lookback: int = 60) -> DataFrame:
+    """Mean correlation of each ``asked`` ticker with the other ``names`` of its group: (*by, pos, ticker, mean).
+
+    ``asked`` and ``names``: (*by, pos, ticker), distinct; a correlation that does not exist counts as 0. Correlation is
+    linear in the standardised returns of the other side, so the names of a group are added up to one array first and
+    every asked ticker meets its group once: there are no pairs. A ticker's own part is taken out again where it is
+    itself among the names.
     """
-    run = returns.filter(F.col("ret").isNotNull())
-    days = pairs.select("pos", "a", "b").distinct().withColumn(
-        "at", F.explode(F.sequence(F.greatest(F.col("pos") - lookback, F.lit(0)), F.col("pos") - 1)))
-    days = days.filter(F.col("pos") > 0)
-    ra = run.select(F.col("ticker").alias("a"), F.col("pos").alias("at"), F.col("ret").alias("x"))
-    rb = run.select(F.col("ticker").alias("b"), F.col("pos").alias("at"), F.col("ret").alias("y"))
-    d = days.join(ra, ["a", "at"], "left").join(rb, ["b", "at"], "left")
-    x, y = F.coalesce("x", F.lit(0.0)), F.coalesce("y", F.lit(0.0))
-    row = d.groupBy("pos", "a", "b").agg(
-        F.count("*").alias("n"), F.covar_samp(x, y).alias("c"), F.stddev_samp(x).alias("sx"), F.stddev_samp(y).alias("sy"))
-    ok = (F.col("n") >= 2) & (F.col("sx") > 1e-9) & (F.col("sy") > 1e-9)
-    return row.select("pos", "a", "b", "n", F.when(ok, F.try_divide("c", F.col("sx") * F.col("sy"))).alias("corr"))
+    key = [*by, "pos"]
+    asked, names = asked.filter("pos > 0"), names.filter("pos > 0")
+    needed = names.join(asked.select(*key).distinct(), key, "left_semi")
+    windows = return_windows(asked.select("ticker", "pos").unionByName(needed.select("ticker", "pos")), returns, lookback)
+    lively = F.col("sd") > FLAT_RETURNS
+    scaled = needed.join(windows, ["ticker", "pos"])
+    groups = scaled.groupBy(*key).agg(
+        F.count("*").alias("n_names"), F.sum(F.when(lively, F.col("total") / F.col("sd")).otherwise(0.0)).alias("z_total"),
+        *[F.sum(F.when(lively, F.col("xs")[i] / F.col("sd")).otherwise(0.0)).alias(f"z{i}") for i in range(lookback)])
+    groups = groups.select(*key, "n_names", "z_total", F.array(*[f"z{i}" for i in range(lookback)]).alias("zs"))
+    own = names.select(*key, "ticker", F.lit(1).alias("own"))
+    d = asked.join(windows, ["ticker", "pos"]).join(groups, key).join(own, [*key, "ticker"], "left")
+    mine = F.coalesce("own", F.lit(0))
+    others = F.col("n_names") - mine
+    total = (_dot(F.col("xs"), F.col("zs")) - F.col("total") * F.col("z_total") / F.col("n")) / ((F.col("n") - 1) * F.col("sd")) - mine
+    mean = F.when((F.col("n") >= 2) & lively, total / others).otherwise(0.0)
+    return d.filter(others > 0).select(*key, "ticker", mean.alias("mean"))

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from assay.functions import scalars as S
 from assay.functions.scalars import rnd
 from assay.operators import decisions as D
 from assay.operators import portfolio as PF
+from assay.operators import recommend as R
 from assay.operators.asof import calendar
 from assay.plans.registry import query
-from assay.plans.views import r
+from assay.plans.views import BUILT, SWEEP_COLUMNS, SWEEP_NOW, SWEEP_PARAMS, SWEEP_TRIALS, r
 
 CASH = 1_000_000.0
 
@@ -46,6 +48,39 @@ cs AS (SELECT c.*, CASE WHEN total_orders > 0 THEN 'ok' ELSE 'no_orders' END AS
  FROM {{combos}} c LEFT JOIN st USING (combo_id) LEFT JOIN tc USING (combo_id) LEFT JOIN tt USING (combo_id), bm)"""
 
 
+#: The same for all combinations of the sweep, which share the paths of their orders.
+SWEEP = STATS.replace("{order_log}", "{path_log}").replace(
+    "FROM {combos} c LEFT JOIN st USING (combo_id) LEFT JOIN tc USING (combo_id) LEFT JOIN tt USING (combo_id), bm",
+    """FROM {sweep_combos} c JOIN {paths} p ON p.min_score = c.min_score AND p.max_position_pct = c.max_position_pct
+   LEFT JOIN st ON st.combo_id = p.combo_id LEFT JOIN tc ON tc.combo_id = p.combo_id LEFT JOIN tt ON tt.combo_id = p.combo_id, bm""")
+
+
+def sweep_combos(t):
+    """Combinations drawn from the grid of the values in the data and the ones in use now."""
+    def at(cond, value):
+        return F.when(cond, value.cast("bigint"))
+
+    q, line = F.col("l_quantity"), F.col("l_linenumber")
+    tried = {
+        "min_score": at((q >= 30) & (q % 5 == 0), 50 + q), "atr_tenths": at(F.lit(True), 20 + 5 * (line % 4)),
+        "position_bp": at((F.col("l_discount") > 0.005) & (F.col("l_discount") < 0.055), F.round(F.col("l_discount") * 10000)),
+        "exit_days": at(F.lit(True), 10 + 5 * (line % 3)),
+        "profit_bp": at((F.col("l_tax") > 0.005) & (F.col("l_tax") < 0.045), F.round(F.col("l_tax") * 10000)),
+    }
+    pairs = F.array(*[F.struct(F.lit(k).alias("param"), v.alias("value")) for k, v in tried.items()])
+    values = t.lineitem.select(F.inline(pairs)).filter("value IS NOT NULL").distinct()
+    now = t.spark.createDataFrame(list(SWEEP_NOW.items()), "param string, value bigint")
+    drawn = R.sampled_grid(R.parameter_grid(R.seed_grid(values, now), SWEEP_PARAMS), SWEEP_PARAMS, SWEEP_TRIALS)
+    no = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("draw")) - 1
+    return drawn.withColumn("combo_id", no.cast("int")).selectExpr("combo_id", *SWEEP_COLUMNS)
+
+
+BUILT["sweep_combos"] = sweep_combos
+BUILT["paths"] = lambda t: PF.order_paths(t.sweep_combos)
+BUILT["order_log"] = lambda t: PF.orders_of(t.trades, t.combos)
+BUILT["path_log"] = lambda t: PF.orders_of(t.trades, t.paths)
+
+
 def portfolio(t):
     cal = calendar(t.market_state)
     executed = PF.executed_orders(t.order_log)
@@ -97,13 +132,19 @@ def _(t):
     return PF.trade_counts(t.order_log).withColumn("win_rate", rnd("win_rate", 6))
 
 
+def path_nav(t):
+    cal = calendar(t.market_state)
+    return t.kept("path_nav", lambda: PF.nav_history(PF.executed_orders(t.path_log), cal, t.market_state, CASH))
+
+
 def combo_stats(t):
-    cal, _, _, nav = portfolio(t)
-    return t.kept("combo_stats", lambda: PF.combo_statistics(
-        t.combos, nav, t.order_log, PF.benchmark_return(spy(t), cal.select("date")), CASH))
+    """Statistics of every combination of the sweep, worked out once per order path."""
+    cal = calendar(t.market_state)
+    return t.kept("combo_stats", lambda: PF.sweep_statistics(t.sweep_combos, PF.combo_statistics(
+        t.paths, path_nav(t), t.path_log, PF.benchmark_return(spy(t), cal.select("date")), CASH)))
 
 
-@query("combo_statistics", f"WITH {STATS} SELECT * FROM cs")
+@query("combo_statistics", f"WITH {SWEEP} SELECT * FROM cs")
 def _(t):
     return combo_stats(t)
 
@@ -136,21 +177,23 @@ _RET = """rt AS (SELECT ticker, pos, ret FROM (SELECT ticker, cal.pos, close / l
 
 
 def daily_returns(t, cal):
-    from pyspark.sql import Window
     w = Window.partitionBy("ticker").orderBy("pos")
     d = t.market_state.filter("close IS NOT NULL").join(cal.select("date", "pos"), "date")
     return d.select("ticker", "pos", (F.col("close") / F.lag("close").over(w) - 1).alias("ret")).filter("ret IS NOT NULL")
 
 
-@query("pair_correlations", f"""WITH cal AS (SELECT date, row_number() OVER (ORDER BY date) - 1 AS pos FROM (SELECT DISTINCT date FROM {{market_state}})), {_RET},
- pr AS (SELECT DISTINCT cal.pos, x.ticker AS a, y.ticker AS b FROM {{candidates}} x JOIN {{candidates}} y ON x.date = y.date AND x.ticker < y.ticker JOIN cal ON cal.date = x.date WHERE x.score > 97 AND y.score > 97),
+@query("pair_correlations", f"""WITH {NAV}, {_RET},
+ pr AS (SELECT DISTINCT h.pos, c.ticker AS a, h.ticker AS b FROM (SELECT DISTINCT pos, date, ticker FROM mk) h JOIN {{ticker_sectors}} hs ON hs.ticker = h.ticker JOIN {{candidates}} c ON c.date = h.date JOIN {{ticker_sectors}} s ON s.ticker = c.ticker AND s.sector = hs.sector WHERE c.ticker <> h.ticker AND h.pos > 0),
  z AS (SELECT pr.pos, a, b, coalesce(ra.ret, 0e0) AS x, coalesce(rb.ret, 0e0) AS y FROM pr JOIN cal c ON c.pos BETWEEN pr.pos - 60 AND pr.pos - 1 LEFT JOIN rt ra ON ra.ticker = a AND ra.pos = c.pos LEFT JOIN rt rb ON rb.ticker = b AND rb.pos = c.pos)
  SELECT pos, a, b, count(*) AS n, {r('CASE WHEN count(*) >= 2 AND stddev_samp(x) > 1e-9 AND stddev_samp(y) > 1e-9 THEN covar_samp(x, y) / (stddev_samp(x) * stddev_samp(y)) END')} AS corr FROM z GROUP BY 1, 2, 3""")
 def _(t):
-    """Rolling 60-day correlation of the day's strongest candidates."""
-    cal = calendar(t.market_state)
-    c = t.candidates.filter("score > 97").select("ticker", "date").join(cal.select("date", "pos"), "date")
-    pairs = c.select("pos", F.col("ticker").alias("a")).join(c.select("pos", F.col("ticker").alias("b")), "pos").filter("a < b")
+    """60-day correlation of every candidate with every name of its sector that some combination holds that day."""
+    cal, _, marked, _ = portfolio(t)
+    sectors = t.ticker_sectors.select("ticker", "sector")
+    c = t.candidates.select("ticker", "date").join(cal.select("date", "pos"), "date").join(sectors, "ticker")
+    held = marked.select("pos", "ticker").distinct().join(sectors, "ticker")
+    pairs = c.select("pos", "sector", F.col("ticker").alias("a")).join(
+        held.select("pos", "sector", F.col("ticker").alias("b")), ["pos", "sector"]).filter("a <> b")
     return PF.pair_correlations(pairs, daily_returns(t, cal)).withColumn("corr", rnd("corr", 6))
 
 

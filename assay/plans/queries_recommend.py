@@ -15,7 +15,7 @@ from assay.plans import queries_predictor as QP
 from assay.plans.queries_documents import BOOST_ROWS, PARAMS, SCANNER_DEFAULTS, boost_rows
 from assay.plans.queries_lift import CIO, RANKING, TEAM
 from assay.plans.queries_market import NAMES
-from assay.plans.queries_portfolio import STATS, combo_stats, portfolio
+from assay.plans.queries_portfolio import SWEEP, combo_stats, path_nav
 from assay.plans.queries_quality import pearson_sql
 from assay.plans.queries_trades import _ENT, _SCORE, ENTRY_TRIGGERS, category_sql
 from assay.plans.registry import query
@@ -82,11 +82,11 @@ def _(t):
 # --- sweep --------------------------------------------------------------------------
 
 STAT = ["combo_id", "status", "total_orders", "total_trades", "win_rate", "total_return", "sharpe_ratio", "max_drawdown", "calmar_ratio", "spy_return", "total_alpha"]
-_SW = f"{STATS}, sw AS (SELECT c.*, {', '.join('s.' + c for c in STAT[1:])}, CASE WHEN s.sharpe_ratio IS NULL THEN 'no result' END AS error FROM {{combos}} c LEFT JOIN cs s USING (combo_id))"
+_SW = f"{SWEEP}, sw AS (SELECT c.*, {', '.join('s.' + c for c in STAT[1:])}, CASE WHEN s.sharpe_ratio IS NULL THEN 'no result' END AS error FROM {{sweep_combos}} c LEFT JOIN cs s USING (combo_id))"
 
 
 def sweep(t):
-    return R.sweep_results(t.combos, combo_stats(t).select(*STAT))
+    return R.sweep_results(t.sweep_combos, combo_stats(t).select(*STAT))
 
 
 @query("sweep_results", f"WITH {_SW} SELECT * FROM sw")
@@ -107,13 +107,13 @@ def _(t):
 
 @query("best_parameters", f"WITH {_SW} SELECT combo_id, min_score, max_position_pct, atr_multiplier, time_decay_reduce_days, time_decay_exit_days, profit_take_pct FROM sw WHERE sharpe_ratio IS NOT NULL ORDER BY total_alpha DESC NULLS LAST, sharpe_ratio DESC NULLS LAST, combo_id LIMIT 1")
 def _(t):
-    return R.best_parameters(sweep(t)).select(*t.combos.columns)
+    return R.best_parameters(sweep(t)).select(*t.sweep_combos.columns)
 
 
-CURRENT = {"min_score": 60.0, "max_position_pct": 0.1, "atr_multiplier": 2.5, "profit_take_pct": 0.04}
+CURRENT = {"min_score": 92.0, "max_position_pct": 0.03, "atr_multiplier": 2.5, "profit_take_pct": 0.02}
 TUNED = ["min_score", "max_position_pct", "atr_multiplier", "time_decay_exit_days", "profit_take_pct"]
 _D = " + ".join(f"coalesce(pow(({p} - {v}e0) / nullif(max({p}) OVER () - min({p}) OVER (), 0), 2), 0e0)" for p, v in CURRENT.items())
-_RK = f"""{STATS}, r0 AS (SELECT *, {r('sharpe_ratio - 0.5e0 * abs(max_drawdown)', 8)} AS combined_score, {r(f'sqrt({_D})', 8)} AS distance FROM cs),
+_RK = f"""{SWEEP}, r0 AS (SELECT *, {r('sharpe_ratio - 0.5e0 * abs(max_drawdown)', 8)} AS combined_score, {r(f'sqrt({_D})', 8)} AS distance FROM cs),
  rk AS (SELECT *, row_number() OVER (ORDER BY combined_score DESC, combo_id) AS "rank", row_number() OVER (ORDER BY distance, combined_score DESC, combo_id) AS nearness FROM r0)"""
 
 
@@ -141,12 +141,14 @@ def _(t):
     return R.closer_combos(ranked(t))
 
 
-@query("holdout_check", f"""WITH {_REC}, hp AS (SELECT nv.*, lag(nv.nav) OVER (ORDER BY nv.pos) AS prev2 FROM nv JOIN re ON nv.combo_id = re.best_combo WHERE nv.pos >= floor(((SELECT max(pos) FROM cal) + 1) * 0.7e0)),
+@query("holdout_check", f"""WITH {_REC}, hp AS (SELECT nv.*, lag(nv.nav) OVER (ORDER BY nv.pos) AS prev2 FROM re JOIN {{sweep_combos}} sc ON sc.combo_id = re.best_combo JOIN {{paths}} p ON p.min_score = sc.min_score AND p.max_position_pct = sc.max_position_pct JOIN nv ON nv.combo_id = p.combo_id WHERE nv.pos >= floor(((SELECT max(pos) FROM cal) + 1) * 0.7e0)),
  hs AS (SELECT count(*) AS n, CASE WHEN count(x) >= 2 AND stddev_samp(x) > 1e-15 THEN avg(x) / stddev_samp(x) * sqrt(252e0) ELSE 0e0 END AS s FROM (SELECT CASE WHEN prev2 > 0 THEN nav / prev2 - 1 WHEN prev2 IS NOT NULL THEN 0e0 END AS x FROM hp))
  SELECT best_combo AS combo_id, n AS holdout_dates, {r('s', 4)} AS holdout_sharpe, {r('CASE WHEN best_sharpe < 0 THEN 0e0 ELSE s / best_sharpe END', 4)} AS holdout_ratio, best_sharpe >= 0 AND s / best_sharpe >= 0.5e0 AND s > 0 AS holdout_passed,
   CASE WHEN status <> 'ok' OR (best_sharpe >= 0 AND s / best_sharpe >= 0.5e0 AND s > 0) THEN status ELSE 'holdout_failed' END AS status FROM hs, re""")
 def _(t):
-    nav = portfolio(t)[3]
+    keys = ["min_score", "max_position_pct"]
+    nav = t.sweep_combos.select("combo_id", *keys).join(t.paths.withColumnRenamed("combo_id", "path"), keys).join(
+        path_nav(t).withColumnRenamed("combo_id", "path"), "path")
     return R.holdout_check(nav.select("combo_id", "date", "pos", "nav"), R.recommend_combo(ranked(t), R.sweep_completion(sweep(t))))
 
 
@@ -338,7 +340,7 @@ def _(t):
 _VAR = "(SELECT concat('v', CAST(combo_id AS VARCHAR)) AS variant, sharpe_ratio FROM cs)"
 
 
-@query("variant_choice", f"""WITH {STATS}, v AS {_VAR}, b AS (SELECT max(CASE WHEN variant = 'v2' THEN sharpe_ratio END) AS bs FROM v), o AS (SELECT * FROM v WHERE variant <> 'v2' ORDER BY sharpe_ratio DESC, variant DESC LIMIT 1),
+@query("variant_choice", f"""WITH {SWEEP}, v AS {_VAR}, b AS (SELECT max(CASE WHEN variant = 'v2' THEN sharpe_ratio END) AS bs FROM v), o AS (SELECT * FROM v WHERE variant <> 'v2' ORDER BY sharpe_ratio DESC, variant DESC LIMIT 1),
  z AS (SELECT *, sharpe_ratio > bs AS better, coalesce((sharpe_ratio - bs) / nullif(abs(bs), 0), 0e0) AS g FROM b, o), s AS (SELECT *, CASE WHEN NOT better THEN 'baseline_best' WHEN g < 0.1e0 THEN 'below_threshold' WHEN 6.8e0 < 5 THEN 'insufficient_history' ELSE 'ok' END AS status FROM z)
  SELECT CASE WHEN better THEN variant ELSE 'v2' END AS best_variant, CASE WHEN better THEN sharpe_ratio ELSE bs END AS best_sharpe, bs AS baseline_sharpe, {r('CASE WHEN better THEN g END', 4)} AS improvement, status, CASE WHEN status = 'ok' THEN variant END AS recommended_variant FROM s""")
 def _(t):
@@ -380,7 +382,7 @@ def _(t):
 _ID = "CAST(round(cutoff * 200) AS INT)"
 
 
-@query("alpha_cutoff_choice", f"""WITH {STATS}, c AS (SELECT u.*, cs.sharpe_ratio FROM {_CUT} u JOIN cs ON cs.combo_id = {_ID}), b AS (SELECT max(CASE WHEN cutoff = 0 THEN sharpe_ratio END) AS bs FROM c), z AS (SELECT *, coalesce((sharpe_ratio - bs) / nullif(abs(bs), 0), 0e0) AS g FROM c, b ORDER BY sharpe_ratio DESC, cutoff LIMIT 1)
+@query("alpha_cutoff_choice", f"""WITH {SWEEP}, c AS (SELECT u.*, cs.sharpe_ratio FROM {_CUT} u JOIN cs ON cs.combo_id = {_ID}), b AS (SELECT max(CASE WHEN cutoff = 0 THEN sharpe_ratio END) AS bs FROM c), z AS (SELECT *, coalesce((sharpe_ratio - bs) / nullif(abs(bs), 0), 0e0) AS g FROM c, b ORDER BY sharpe_ratio DESC, cutoff LIMIT 1)
  SELECT cutoff AS best_cutoff, sharpe_ratio AS best_sharpe, {r('g', 4)} AS improvement, CASE WHEN sharpe_ratio > bs AND g >= 0.05e0 THEN cutoff END AS recommended_cutoff FROM z""")
 def _(t):
     """Each cut-off with the statistics of one combination standing for its run."""
@@ -394,7 +396,7 @@ def _(t):
 _M6 = ["sharpe_ratio", "total_alpha", "max_drawdown", "win_rate", "total_return", "total_trades"]
 
 
-@query("twin_comparison", f"WITH {STATS} SELECT metric, before, after, {r('after - before')} AS delta FROM (" + " UNION ALL ".join(
+@query("twin_comparison", f"WITH {SWEEP} SELECT metric, before, after, {r('after - before')} AS delta FROM (" + " UNION ALL ".join(
     f"SELECT '{m}' AS metric, CAST(max(CASE WHEN combo_id = 1 THEN {m} END) AS DOUBLE) AS before, CAST(max(CASE WHEN combo_id = 4 THEN {m} END) AS DOUBLE) AS after FROM cs" for m in _M6) + ")")
 def _(t):
     return R.compare_pair(combo_stats(t), "combo_id", 1, 4, _M6)
@@ -403,7 +405,7 @@ def _(t):
 _G2 = "coalesce((b - a) / nullif(abs(a), 0), 0e0)"
 
 
-@query("feature_ablation", f"WITH {STATS} SELECT a AS baseline_sharpe, b AS pruned_sharpe, {r(f'{_G2} * 100', 2)} AS sharpe_change_pct, {_G2} >= -0.05e0 AS recommend_pruning FROM (SELECT max(CASE WHEN combo_id = 0 THEN sharpe_ratio END) AS a, max(CASE WHEN combo_id = 3 THEN sharpe_ratio END) AS b FROM cs)")
+@query("feature_ablation", f"WITH {SWEEP} SELECT a AS baseline_sharpe, b AS pruned_sharpe, {r(f'{_G2} * 100', 2)} AS sharpe_change_pct, {_G2} >= -0.05e0 AS recommend_pruning FROM (SELECT max(CASE WHEN combo_id = 0 THEN sharpe_ratio END) AS a, max(CASE WHEN combo_id = 3 THEN sharpe_ratio END) AS b FROM cs)")
 def _(t):
     return R.ablation(combo_stats(t), "combo_id", 0, 3)
 
@@ -411,7 +413,7 @@ def _(t):
 _SD = "CASE WHEN sa <> 0 AND sb <> 0 THEN sa - sb END"
 
 
-@query("sizing_comparison", f"WITH {STATS} SELECT CASE WHEN least(ta, tb) < 50 THEN 'insufficient_data' ELSE 'ok' END AS status, {r(_SD, 3)} AS sharpe_diff, {r('ra - rb', 4)} AS return_diff, {r('aa - ab', 4)} AS alpha_diff, CASE WHEN {_SD} > 0.1e0 THEN 'sizing_helps' WHEN {_SD} < -0.1e0 THEN 'equal_weight_better' ELSE 'no_difference' END AS assessment FROM (SELECT "
+@query("sizing_comparison", f"WITH {SWEEP} SELECT CASE WHEN least(ta, tb) < 50 THEN 'insufficient_data' ELSE 'ok' END AS status, {r(_SD, 3)} AS sharpe_diff, {r('ra - rb', 4)} AS return_diff, {r('aa - ab', 4)} AS alpha_diff, CASE WHEN {_SD} > 0.1e0 THEN 'sizing_helps' WHEN {_SD} < -0.1e0 THEN 'equal_weight_better' ELSE 'no_difference' END AS assessment FROM (SELECT "
        + ", ".join(f"max(CASE WHEN combo_id = {k} THEN {c} END) AS {x}{n}" for n, k in (("a", 0), ("b", 5)) for x, c in (("t", "total_trades"), ("s", "sharpe_ratio"), ("r", "total_return"), ("a", "total_alpha"))) + " FROM cs)")
 def _(t):
     return R.sizing_comparison(combo_stats(t), "combo_id", 0, 5)

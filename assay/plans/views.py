@@ -9,6 +9,7 @@ one another, so the order of a distributed sum cannot flip a flag.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -88,6 +89,8 @@ FROM {{lineitem}} GROUP BY l_suppkey, CAST(l_shipdate AS DATE)
 """
 
 _T = "concat('S', CAST(c.k AS VARCHAR(20)))"
+# The committee's total on a cell: from 75 on it is advanced and traded, from 68 on it stays on the watch list.
+_TOTAL = "(30 + c.qmax + c.disc * 60 + c.pkey % 9 - 4 + c.pkey % 13 - 6)"
 
 VIEWS["bars"] = f"""
 SELECT {_T} AS ticker, c.date,
@@ -218,11 +221,11 @@ SELECT e.k * 100000000 + {ymd('e.date')} AS trade_id, e.ticker, e.date, e.exit_d
        {r('0.5e0 + (e.okey % 50) / 100e0', 4)} AS confidence,
        CASE e.okey % 4 WHEN 0 THEN 'DOWN' WHEN 1 THEN 'FLAT' ELSE 'UP' END AS direction
 FROM (
-  SELECT c.k, {_T} AS ticker, c.date, c.line, c.px, {r('c.px * (1 + (c.pkey % 11 - 5) / 1000e0)', 4)} AS fill, c.okey, c.pkey, c.qmax,
+  SELECT c.k, {_T} AS ticker, c.date, {_TOTAL} AS total, c.px, {r('c.px * (1 + (c.pkey % 11 - 5) / 1000e0)', 4)} AS fill, c.okey, c.pkey, c.qmax,
          lead(c.date, 3) OVER (PARTITION BY c.k ORDER BY c.date) AS exit_date,
          lead(c.px, 3) OVER (PARTITION BY c.k ORDER BY c.date) AS exit_px
   FROM {{cells}} c
-) e WHERE e.line = 7
+) e WHERE e.total >= 75
 """
 
 VIEWS["shadow_book"] = f"""
@@ -234,7 +237,7 @@ SELECT {_T} AS ticker, c.date,
        {r('0.02e0 + (c.pkey % 9) / 100e0', 4)} AS intended_position_pct,
        CASE WHEN c.pkey % 6 = 0 THEN NULL WHEN c.pkey % 6 = 1 THEN 0e0 ELSE CAST(1000 * (c.pkey % 60) AS DOUBLE) END AS intended_dollars,
        c.px AS current_price, 'neutral' AS market_regime
-FROM {{cells}} c WHERE c.line IN (4, 6)
+FROM {{cells}} c WHERE {_TOTAL} >= 68 AND {_TOTAL} < 75
 """
 
 # --- event-log side: 30 dense days with real gaps ---------------------------
@@ -360,21 +363,55 @@ FROM {{events}} WHERE event_type IN ('purchase', 'click')
 
 # --- sweep grid and what each combination traded ------------------------------
 
-VIEWS["combos"] = """
-SELECT CAST(c AS INT) AS combo_id, 55e0 + 5 * (c % 4) AS min_score, 0.05e0 * (1 + c % 3) AS max_position_pct,
-       2e0 + 0.5e0 * (c % 3) AS atr_multiplier, CAST(5 + c % 3 AS INT) AS time_decay_reduce_days,
-       CAST(10 + 5 * (c % 2) AS INT) AS time_decay_exit_days, 0.02e0 * (1 + c % 4) AS profit_take_pct
-FROM (VALUES (0), (1), (2), (3), (4), (5), (6), (7), (8), (9), (10), (11)) AS g(c)
+# Parameters of the sweep as whole numbers, the values tried, and the ones in use now.
+SWEEP_PARAMS = ["min_score", "position_bp", "atr_tenths", "exit_days", "profit_bp"]
+SWEEP_NOW = {"min_score": 92, "position_bp": 300, "atr_tenths": 25, "exit_days": 15, "profit_bp": 200}
+SWEEP_TRIALS, ROW_TRIALS = 400, 12
+
+VIEWS["sweep_values"] = """
+SELECT 'min_score' AS param, CAST(50 + l_quantity AS BIGINT) AS value FROM {lineitem} WHERE l_quantity >= 30 AND l_quantity % 5 = 0
+UNION SELECT 'position_bp', CAST(round(l_discount * 10000) AS BIGINT) FROM {lineitem} WHERE l_discount > 0.005e0 AND l_discount < 0.055e0
+UNION SELECT 'atr_tenths', CAST(20 + 5 * (l_linenumber % 4) AS BIGINT) FROM {lineitem}
+UNION SELECT 'exit_days', CAST(10 + 5 * (l_linenumber % 3) AS BIGINT) FROM {lineitem}
+UNION SELECT 'profit_bp', CAST(round(l_tax * 10000) AS BIGINT) FROM {lineitem} WHERE l_tax > 0.005e0 AND l_tax < 0.045e0
+UNION """ + " UNION ".join(f"SELECT '{k}', CAST({v} AS BIGINT)" for k, v in SWEEP_NOW.items())
+
+#: From the whole numbers of a combination to the parameters of the rules.
+SWEEP_COLUMNS = [
+    "CAST(min_score AS DOUBLE) AS min_score", "position_bp / 10000e0 AS max_position_pct", "atr_tenths / 10e0 AS atr_multiplier",
+    "CAST(floor(exit_days / 2e0) AS INT) AS time_decay_reduce_days", "CAST(exit_days AS INT) AS time_decay_exit_days",
+    "profit_bp / 10000e0 AS profit_take_pct",
+]
+
+VIEWS["sweep_combos"] = f"""
+SELECT CAST(row_number() OVER (ORDER BY draw) - 1 AS INT) AS combo_id, {', '.join(SWEEP_COLUMNS)}
+FROM (SELECT *, md5(concat('42', {', '.join(f"'|', CAST({p} AS VARCHAR)" for p in SWEEP_PARAMS)})) AS draw
+      FROM {', '.join(f"(SELECT value AS {p} FROM {{sweep_values}} WHERE param = '{p}')" for p in SWEEP_PARAMS)}
+      ORDER BY draw LIMIT {SWEEP_TRIALS})
 """
 
-VIEWS["order_log"] = f"""
+# The first trials of the draw, for the results that have a row per order, holding or candidate.
+VIEWS["combos"] = f"SELECT * FROM {{sweep_combos}} WHERE combo_id < {ROW_TRIALS}"
+
+# What is ordered depends on two of the parameters only: combinations alike in these share one path.
+VIEWS["paths"] = """
+SELECT CAST(row_number() OVER (ORDER BY min_score, max_position_pct) - 1 AS INT) AS combo_id, min_score, max_position_pct
+FROM (SELECT DISTINCT min_score, max_position_pct FROM {sweep_combos})
+"""
+
+
+def _orders(combos: str) -> str:
+    return f"""
 SELECT c.combo_id, t.trade_id AS seq, t.date, t.ticker, t.action,
        CAST(CASE WHEN t.action = 'REDUCE' THEN floor(t.shares * c.max_position_pct * 10 / 2e0) ELSE floor(t.shares * c.max_position_pct * 20) END AS DOUBLE) AS shares,
        t.fill_price AS price, t.position_pct, t.exit_reason
-FROM {{trades}} t JOIN {{combos}} c ON t.research_score >= c.min_score
+FROM {{trades}} t JOIN {{{combos}}} c ON t.research_score >= c.min_score
 """
 
 
+VIEWS["order_log"], VIEWS["path_log"] = _orders("combos"), _orders("paths")
+
+
 VIEWS["market_state"] = f"""
 SELECT {_T} AS ticker, c.date, CASE WHEN c.okey % 31 = 0 THEN NULL ELSE c.px END AS close, {r('c.px_hi + 1', 4)} AS high,
        CASE WHEN c.okey % 8 = 0 THEN NULL ELSE {r('1 + c.disc * 60', 4)} END AS atr_dollar, 20 + c.qmax AS rsi_14,
@@ -406,7 +443,7 @@ SELECT {_T} AS ticker, c.date, 50 + c.qmax AS score,
        CASE WHEN c.okey % 12 = 0 THEN NULL ELSE {r('c.tax * 300 - 8', 4)} END AS momentum_20d,
        c.okey % 15 = 0 AS model_veto, CAST(c.pkey % 12 AS INT) AS signal_age_days,
        CASE WHEN c.okey % 31 = 0 THEN NULL ELSE c.px END AS price
-FROM {{cells}} c WHERE c.line = 6
+FROM {{cells}} c WHERE {_TOTAL} >= 75
 """
 
 
@@ -426,8 +463,10 @@ def _fill(text: str, names: dict[str, str]) -> str:
 # survives the loss of executors.  Without such a folder they stay lazy.
 SHARED = {
     "cells", "round_trips", "predictor_outcomes", "universe_returns", "brand_bars",
-    "event_bars", "features", "event_outcomes", "order_log", "market_state",
+    "event_bars", "features", "event_outcomes", "market_state",
 }
+# Views that library operators build on the Spark side; their text above is for the oracle.
+BUILT: dict[str, Callable[[Tables], DataFrame]] = {}
 _written: set[str] = set()
 _plans: dict[tuple[str, int, str], tuple[SparkSession, dict[str, DataFrame]]] = {}
 
@@ -448,7 +487,7 @@ class Tables:
             if name in BASE:
                 df = self._base(name)
             else:
-                df = self._shared(name) if name in SHARED else self._view(name)
+                df = self.kept(name, lambda: BUILT[name](self)) if name in BUILT else self._shared(name) if name in SHARED else self._view(name)
             self._cache[name] = df
         return self._cache[name]
 
