@@ -17,8 +17,8 @@ def rnd(c, digits: int) -> Column:
 
     ``F.round`` looks at the shortest decimal form, so 0.12345 and
     0.12344999999999999 (the same mean, added up in another order) would give
-    different answers; the small shift makes both go up. NaN, infinities and
-    values without digits left to round pass through. The argument is named
+    different answers; the small shift makes both go up. NaN and infinities pass
+    through, and so, to the last bit, do values without digits left to round. The argument is named
     once, so nested roundings do not multiply the generated code; adding 0.0
     turns a negative zero into zero.
     """

@@ -355,17 +355,21 @@ def _gain(new: Column, old: Column) -> Column:
     return F.coalesce(F.try_divide(new - old, F.when(old != 0, F.abs(old))), F.lit(0.0))
 
 
-def best_variant(stats: DataFrame, baseline: str, n_years: float, min_gain: float = 0.10, min_years: float = 5.0) -> DataFrame:
-    """``stats``: (variant, sharpe_ratio).  The best variant, if it beats the baseline by enough."""
+def best_variant(stats: DataFrame, baseline: str, n_years: float | str, min_gain: float = 0.10, min_years: float = 5.0) -> DataFrame:
+    """``stats``: (variant, sharpe_ratio).  The best variant, if it beats the baseline by enough.
+
+    ``n_years`` is a number or a column of ``stats`` with one value.
+    """
+    years = F.max(n_years) if isinstance(n_years, str) else F.max(F.lit(n_years))
     base = F.coalesce(F.max(F.when(F.col("variant") == baseline, F.col("sharpe_ratio"))), F.lit(0.0))
     other = F.when(F.col("variant") != baseline, F.struct(F.col("sharpe_ratio"), F.col("variant")))
     row = stats.agg(base.alias("baseline_sharpe"), F.min_by("variant", F.struct(-F.col("sharpe_ratio"), F.col("variant")))
-                    .alias("__any"), F.max(other).alias("__o"))
+                    .alias("__any"), F.max(other).alias("__o"), years.alias("__years"))
     best, name = F.col("__o.sharpe_ratio"), F.col("__o.variant")
     gain = _gain(best, F.col("baseline_sharpe"))
     better = F.coalesce(best > F.col("baseline_sharpe"), F.lit(False))
     status = (F.when(~better, "baseline_best").when(gain < min_gain, "below_threshold")
-              .when(F.lit(n_years) < min_years, "insufficient_history").otherwise("ok"))
+              .when(F.col("__years") < min_years, "insufficient_history").otherwise("ok"))
     return row.select(
         F.when(better, name).otherwise(baseline).alias("best_variant"), F.when(better, best).otherwise(
             F.col("baseline_sharpe")).alias("best_sharpe"), "baseline_sharpe", rnd(F.when(better, gain), 4).alias("improvement"),
@@ -395,7 +399,7 @@ def choose_cutoff(rows: DataFrame, baseline_sharpe: float | Column, min_gain: fl
     gain = _gain(F.col("sharpe_ratio"), base)
     good = (F.col("sharpe_ratio") > base) & (gain >= min_gain)
     return best.select(F.col("cutoff").alias("best_cutoff"), F.col("sharpe_ratio").alias("best_sharpe"),
-                       rnd(gain, 4).alias("improvement"), F.when(good, F.col("cutoff")).alias("recommended_cutoff"))
+                       *[c for c in ("predictions_per_day",) if c in rows.columns], rnd(gain, 4).alias("improvement"), F.when(good, F.col("cutoff")).alias("recommended_cutoff"))
 
 
 def compare_pair(stats: DataFrame, key: str, a, b, metrics: list[str]) -> DataFrame:

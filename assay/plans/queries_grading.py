@@ -14,7 +14,6 @@ from assay.operators import quality as Q
 from assay.operators import recommend as R
 from assay.operators import trades as TR
 from assay.plans import queries_lift as QL
-from assay.plans.queries_portfolio import combo_stats
 from assay.plans.queries_quality import SLICE
 from assay.plans import queries_predictor, queries_recommend, queries_trades  # noqa: F401  (oracles used below)
 from assay.plans.registry import ORACLES, query
@@ -66,7 +65,6 @@ def executor_metrics(t) -> DataFrame:
     names = {"slippage": "avg_slippage_vs_signal", "win_rate": "win_rate_vs_spy"}
     guard = TR.blocked_vs_traded(t.shadow_book, t.trades, t.universe_returns)
     exits = TR.exit_timing_summary(queries_trades.timed(t))
-    stats = combo_stats(t)
     overall = Q.overall_accuracy(t.scored_signals)
     return _union([
         m(card.filter("trigger = '(all)'"), "entry_triggers", {**names, "alpha": "avg_realized_alpha"}),
@@ -76,10 +74,10 @@ def executor_metrics(t) -> DataFrame:
             "blocked_beat": F.when(F.col("precision").isNull(), F.col("blocked_beat_spy_pct"))}),
         m(exits, "exit_rules", {"capture": "avg_capture_ratio", "avg_return": "avg_realized_return",
                                 "diagnosis": G.words("diagnosis", G.DIAGNOSIS)}),
-        m(R.sizing_comparison(stats, "combo_id", 0, 5).filter("status = 'ok'"), "position_sizing",
+        m(R.sizing_comparison(queries_recommend.sizing_stats(t), "variant", "sized", "equal").filter("status = 'ok'"), "position_sizing",
           {"sharpe_diff": "sharpe_diff", "alpha_diff": "alpha_diff"}),
         m(overall, "portfolio", {"accuracy_10d": "accuracy_10d", "avg_alpha": "avg_alpha_10d"}),
-        m(stats.filter("combo_id = 0"), "portfolio", {"sharpe": "sharpe_ratio", "max_drawdown": "max_drawdown"}),
+        m(queries_recommend.ranked(t).filter("nearness = 1"), "portfolio", {"sharpe": "sharpe_ratio", "max_drawdown": "max_drawdown"}),
     ])
 
 
@@ -118,7 +116,7 @@ EXECUTOR_SQL = " UNION ALL ".join([
     _rows(_bare("exit_timing_summary"), "exit_rules", {"capture": "avg_capture_ratio", "avg_return": "avg_realized_return", "diagnosis": _CASE("diagnosis", G.DIAGNOSIS)}),
     _rows(f"SELECT * FROM ({_bare('sizing_comparison')}) WHERE status = 'ok'", "position_sizing", {"sharpe_diff": "sharpe_diff", "alpha_diff": "alpha_diff"}),
     _rows(OVERALL, "portfolio", {"accuracy_10d": "accuracy_10d", "avg_alpha": "avg_alpha_10d"}),
-    _rows(f"SELECT * FROM ({_bare('combo_statistics')}) WHERE combo_id = 0", "portfolio", {"sharpe": "sharpe_ratio", "max_drawdown": "max_drawdown"}),
+    _rows(f"WITH {queries_recommend._RK} SELECT * FROM rk WHERE nearness = 1", "portfolio", {"sharpe": "sharpe_ratio", "max_drawdown": "max_drawdown"}),
 ])
 
 _RULES = "(VALUES " + ", ".join(f"('{c}', {n}, '{m}', '{k}', {a}e0, {b}e0, {w}e0)" for c, n, m, k, a, b, w in G.RULES) + ") ru(component, rule_set, metric, kind, a, b, weight)"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from assay.functions.frames import with_scalars
@@ -11,10 +13,12 @@ from assay.operators import lift as L
 from assay.operators import predictor as P
 from assay.operators import recommend as R
 from assay.operators import trades as TR
+from assay.operators import variants as V
 from assay.plans import queries_predictor as QP
 from assay.plans.queries_documents import BOOST_ROWS, PARAMS, SCANNER_DEFAULTS, boost_rows
 from assay.plans.queries_lift import CIO, RANKING, TEAM
 from assay.plans.queries_market import NAMES
+from assay.plans.queries_market import WEIGHTS as MODEL
 from assay.plans.queries_portfolio import SWEEP, combo_stats, path_nav
 from assay.plans.queries_quality import pearson_sql
 from assay.plans.queries_trades import _ENT, _SCORE, ENTRY_TRIGGERS, category_sql
@@ -337,17 +341,6 @@ def _(t):
 
 # --- variants and comparisons -------------------------------------------------------------------
 
-_VAR = "(SELECT concat('v', CAST(combo_id AS VARCHAR)) AS variant, sharpe_ratio FROM cs)"
-
-
-@query("variant_choice", f"""WITH {SWEEP}, v AS {_VAR}, b AS (SELECT max(CASE WHEN variant = 'v2' THEN sharpe_ratio END) AS bs FROM v), o AS (SELECT * FROM v WHERE variant <> 'v2' ORDER BY sharpe_ratio DESC, variant DESC LIMIT 1),
- z AS (SELECT *, sharpe_ratio > bs AS better, coalesce((sharpe_ratio - bs) / nullif(abs(bs), 0), 0e0) AS g FROM b, o), s AS (SELECT *, CASE WHEN NOT better THEN 'baseline_best' WHEN g < 0.1e0 THEN 'below_threshold' WHEN 6.8e0 < 5 THEN 'insufficient_history' ELSE 'ok' END AS status FROM z)
- SELECT CASE WHEN better THEN variant ELSE 'v2' END AS best_variant, CASE WHEN better THEN sharpe_ratio ELSE bs END AS best_sharpe, bs AS baseline_sharpe, {r('CASE WHEN better THEN g END', 4)} AS improvement, status, CASE WHEN status = 'ok' THEN variant END AS recommended_variant FROM s""")
-def _(t):
-    v = combo_stats(t).select(F.concat(F.lit("v"), F.col("combo_id").cast("string")).alias("variant"), "sharpe_ratio")
-    return R.best_variant(v, "v2", n_years=6.8)
-
-
 _VW = {"plain": (0.01, 0.001), "tilted": (0.02, -0.001), "rsi": (0.0, 0.002)}
 
 
@@ -365,6 +358,53 @@ def _(t):
                                        rnd(F.stddev_samp("x"), 6).alias("std_alpha"), rnd(pearson("x", "y"), 6).alias("ic"))
 
 
+#: NAV and statistics of the daily series dy(variant, date, ret).
+SERIES = f"""vn AS (SELECT variant, date, 1000000e0 * exp(sum(ln(greatest(1 + ret, 1e-9))) OVER (PARTITION BY variant ORDER BY date ROWS UNBOUNDED PRECEDING)) AS nav FROM dy),
+ vr AS (SELECT *, CASE WHEN prev IS NULL THEN NULL WHEN prev > 0 THEN nav / prev - 1 ELSE 0e0 END AS daily_return, CASE WHEN peak > 0 THEN (nav - peak) / peak ELSE 0e0 END AS drawdown FROM (
+   SELECT *, max(nav) OVER (PARTITION BY variant ORDER BY date ROWS UNBOUNDED PRECEDING) AS peak, lag(nav) OVER (PARTITION BY variant ORDER BY date) AS prev FROM vn)),
+ vs AS (SELECT variant, n_dates, {r('tr')} AS total_return, {r('CASE WHEN k >= 2 AND s > 1e-15 THEN m / s * sqrt(252e0) ELSE 0e0 END')} AS sharpe_ratio, {r('mdd')} AS max_drawdown,
+   {r('CASE WHEN n_dates >= 2 AND mdd < 0 THEN (CASE WHEN 1 + tr > 0 THEN pow(1 + tr, 252e0 / n_dates) - 1 ELSE -1e0 END) / abs(mdd) ELSE 0e0 END')} AS calmar_ratio
+  FROM (SELECT variant, count(*) AS n_dates, max_by(nav, date) / 1000000e0 - 1 AS tr, avg(daily_return) AS m, stddev_samp(daily_return) AS s, count(daily_return) AS k, min(drawdown) AS mdd FROM vr GROUP BY 1))"""
+TOP = 10
+
+
+def _model_sql(models: dict[str, tuple[str, list[str]]]) -> str:
+    """dy of several models (score, features that must be known): each day's TOP rows by score."""
+    parts = " UNION ALL ".join(
+        f"SELECT '{v}' AS variant, f.ticker, f.date, {score} AS score, o.actual_5d_return / 100 AS y FROM {{features}} f LEFT JOIN {{event_outcomes}} o ON o.symbol = f.ticker AND o.prediction_date = f.date WHERE {' AND '.join(f'f.{n} IS NOT NULL' for n in known)}"
+        for v, (score, known) in models.items())
+    return f"dy AS (SELECT variant, date, coalesce(avg(y), 0e0) AS ret, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY variant, date ORDER BY score DESC, ticker) AS place FROM ({parts})) WHERE place <= {TOP} GROUP BY 1, 2)"
+
+
+def _with_outcomes(t):
+    o = t.event_outcomes.select(F.col("symbol").alias("ticker"), F.col("prediction_date").alias("date"), (F.col("actual_5d_return") / 100).alias("y"))
+    return t.features.join(o, ["ticker", "date"], "left")
+
+
+_VS = f"{_model_sql({n: (f'{a}e0 * f.breadth + {b}e0 * f.rsi_14', NAMES) for n, (a, b) in _VW.items()})}, {SERIES}"
+
+
+def variant_series(t):
+    known = reduce(lambda a, b: a & b, [F.col(n).isNotNull() & ~F.isnan(n) for n in NAMES])
+    return V.model_series(_with_outcomes(t), {n: F.when(known, a * F.col("breadth") + b * F.col("rsi_14")) for n, (a, b) in _VW.items()}, "y", TOP)
+
+
+@query("variant_statistics", f"WITH {_VS} SELECT vs.*, n_signals FROM vs JOIN (SELECT variant, sum(n)::BIGINT AS n_signals FROM dy GROUP BY 1) USING (variant)")
+def _(t):
+    """Every model's own series of daily top signals, and its statistics."""
+    d = variant_series(t)
+    return V.series_statistics(d).join(d.groupBy("variant").agg(F.sum("n").alias("n_signals")), "variant")
+
+
+@query("variant_choice", f"""WITH {_VS}, v AS (SELECT variant, sharpe_ratio FROM vs), ny AS (SELECT date_diff('day', min(date), max(date)) / 365.25e0 AS years FROM dy), b AS (SELECT max(CASE WHEN variant = 'plain' THEN sharpe_ratio END) AS bs FROM v), o AS (SELECT * FROM v WHERE variant <> 'plain' ORDER BY sharpe_ratio DESC, variant DESC LIMIT 1),
+ z AS (SELECT *, sharpe_ratio > bs AS better, coalesce((sharpe_ratio - bs) / nullif(abs(bs), 0), 0e0) AS g FROM b, o, ny), s AS (SELECT *, CASE WHEN NOT better THEN 'baseline_best' WHEN g < 0.1e0 THEN 'below_threshold' WHEN years < 5 THEN 'insufficient_history' ELSE 'ok' END AS status FROM z)
+ SELECT CASE WHEN better THEN variant ELSE 'plain' END AS best_variant, CASE WHEN better THEN sharpe_ratio ELSE bs END AS best_sharpe, bs AS baseline_sharpe, {r('CASE WHEN better THEN g END', 4)} AS improvement, status, CASE WHEN status = 'ok' THEN variant END AS recommended_variant FROM s""")
+def _(t):
+    d = variant_series(t)
+    years = d.agg((F.datediff(F.max("date"), F.min("date")) / 365.25).alias("n_years"))
+    return R.best_variant(with_scalars(V.series_statistics(d).select("variant", "sharpe_ratio"), years), "plain", "n_years")
+
+
 CUTS = [0.0, 0.005, 0.01, 0.015, 0.02, 0.025, 0.03]
 _CUT = f"(SELECT c AS cutoff, count(*) AS n_predictions, count(DISTINCT date) AS n_dates, {r('count(*) * 1e0 / count(DISTINCT date)', 4)} AS predictions_per_day FROM {{brand_bars}} b JOIN (VALUES {', '.join(f'({c}e0)' for c in CUTS)}) t(c) ON c <= 0 OR b.alpha >= c GROUP BY 1)"
 
@@ -379,16 +419,28 @@ def _(t):
     return t.brand_bars.filter("alpha >= 0.02D").select("ticker", "date", "alpha")
 
 
-_ID = "CAST(round(cutoff * 200) AS INT)"
+_CP = {c: f"alpha >= {c}e0" if c > 0 else "true" for c in CUTS}
+_CS = ("dy AS (SELECT d.variant, d.date, coalesce(ret, 0e0) AS ret, coalesce(n, 0) AS n FROM (SELECT DISTINCT date, v AS variant FROM {brand_signals}, (VALUES "
+       + ", ".join(f"({c}e0)" for c in CUTS) + ") q(v)) d LEFT JOIN (SELECT variant, date, avg(fwd) AS ret, count(*) AS n FROM ("
+       + " UNION ALL ".join(f"SELECT {c}e0 AS variant, date, fwd, row_number() OVER (PARTITION BY date ORDER BY score DESC, ticker) AS place FROM {{brand_signals}} WHERE {p}" for c, p in _CP.items())
+       + f") WHERE place <= 5 GROUP BY 1, 2) x ON x.variant = d.variant AND x.date = d.date), {SERIES}")
+
+
+def cutoff_stats(t):
+    return V.series_statistics(V.cutoff_series(t.brand_signals, CUTS, 5), "cutoff")
+
+
+@query("cutoff_statistics", f"WITH {_CS} SELECT variant AS cutoff, n_dates, total_return, sharpe_ratio, max_drawdown, calmar_ratio FROM vs")
+def _(t):
+    """The run of each cut-off: its five best signals of every day, all cut-offs in one pass."""
+    return cutoff_stats(t)
 
 
-@query("alpha_cutoff_choice", f"""WITH {SWEEP}, c AS (SELECT u.*, cs.sharpe_ratio FROM {_CUT} u JOIN cs ON cs.combo_id = {_ID}), b AS (SELECT max(CASE WHEN cutoff = 0 THEN sharpe_ratio END) AS bs FROM c), z AS (SELECT *, coalesce((sharpe_ratio - bs) / nullif(abs(bs), 0), 0e0) AS g FROM c, b ORDER BY sharpe_ratio DESC, cutoff LIMIT 1)
- SELECT cutoff AS best_cutoff, sharpe_ratio AS best_sharpe, {r('g', 4)} AS improvement, CASE WHEN sharpe_ratio > bs AND g >= 0.05e0 THEN cutoff END AS recommended_cutoff FROM z""")
+@query("alpha_cutoff_choice", f"""WITH {_CS}, c AS (SELECT u.*, vs.sharpe_ratio FROM {_CUT} u JOIN vs ON vs.variant = u.cutoff), b AS (SELECT max(CASE WHEN cutoff = 0 THEN sharpe_ratio END) AS bs FROM c), z AS (SELECT *, coalesce((sharpe_ratio - bs) / nullif(abs(bs), 0), 0e0) AS g FROM c, b ORDER BY sharpe_ratio DESC, cutoff LIMIT 1)
+ SELECT cutoff AS best_cutoff, sharpe_ratio AS best_sharpe, predictions_per_day, {r('g', 4)} AS improvement, CASE WHEN sharpe_ratio > bs AND g >= 0.05e0 THEN cutoff END AS recommended_cutoff FROM z""")
 def _(t):
-    """Each cut-off with the statistics of one combination standing for its run."""
-    stats = combo_stats(t).select("combo_id", "sharpe_ratio")
-    rows = R.alpha_cutoffs(t.brand_bars.select("date", "alpha"), CUTS).withColumn(
-        "combo_id", F.round(F.col("cutoff") * 200).cast("int")).join(stats, "combo_id")
+    """Each cut-off with the Sharpe ratio of its own run."""
+    rows = R.alpha_cutoffs(t.brand_bars.select("date", "alpha"), CUTS).join(cutoff_stats(t).select("cutoff", "sharpe_ratio"), "cutoff")
     base = rows.agg(F.max(F.when(F.col("cutoff") == 0, F.col("sharpe_ratio"))).alias("bs"))
     return R.choose_cutoff(with_scalars(rows, base), F.col("bs"))
 
@@ -396,43 +448,78 @@ def _(t):
 _M6 = ["sharpe_ratio", "total_alpha", "max_drawdown", "win_rate", "total_return", "total_trades"]
 
 
-@query("twin_comparison", f"WITH {SWEEP} SELECT metric, before, after, {r('after - before')} AS delta FROM (" + " UNION ALL ".join(
-    f"SELECT '{m}' AS metric, CAST(max(CASE WHEN combo_id = 1 THEN {m} END) AS DOUBLE) AS before, CAST(max(CASE WHEN combo_id = 4 THEN {m} END) AS DOUBLE) AS after FROM cs" for m in _M6) + ")")
+@query("twin_comparison", f"WITH {_RK} SELECT metric, before, after, {r('after - before')} AS delta FROM (" + " UNION ALL ".join(
+    f"SELECT '{m}' AS metric, CAST(max(CASE WHEN nearness = 1 THEN {m} END) AS DOUBLE) AS before, CAST(max(CASE WHEN \"rank\" = 1 THEN {m} END) AS DOUBLE) AS after FROM rk" for m in _M6) + ")")
 def _(t):
-    return R.compare_pair(combo_stats(t), "combo_id", 1, 4, _M6)
+    """The run of the combination in use (the nearest one) against that of the best combination."""
+    runs = ranked(t).select(*_M6, F.inline(F.array_compact(F.array(*[
+        F.when(F.col(c) == 1, F.struct(F.lit(n).alias("run"))) for c, n in (("nearness", "before"), ("rank", "after"))]))))
+    return R.compare_pair(runs, "run", "before", "after", _M6)
 
 
+_NOISE = ["breadth"]
+_AB = {"full": (" + ".join(f"{w}e0 * f.{n}" for n, w in MODEL.items()), NAMES),
+       "pruned": (" + ".join(f"{w}e0 * f.{n}" for n, w in MODEL.items() if n not in _NOISE), [n for n in NAMES if n not in _NOISE])}
 _G2 = "coalesce((b - a) / nullif(abs(a), 0), 0e0)"
 
 
-@query("feature_ablation", f"WITH {SWEEP} SELECT a AS baseline_sharpe, b AS pruned_sharpe, {r(f'{_G2} * 100', 2)} AS sharpe_change_pct, {_G2} >= -0.05e0 AS recommend_pruning FROM (SELECT max(CASE WHEN combo_id = 0 THEN sharpe_ratio END) AS a, max(CASE WHEN combo_id = 3 THEN sharpe_ratio END) AS b FROM cs)")
+@query("feature_ablation", f"""WITH {_model_sql(_AB)}, {SERIES}, pd AS (SELECT date, max(CASE WHEN variant = 'pruned' THEN ret END) - max(CASE WHEN variant = 'full' THEN ret END) AS d FROM dy GROUP BY 1)
+ SELECT a AS baseline_sharpe, b AS pruned_sharpe, {r(f'{_G2} * 100', 2)} AS sharpe_change_pct, {_G2} >= -0.05e0 AS recommend_pruning, n_paired, {r('m', 8)} AS mean_diff, {r('CASE WHEN s > 1e-15 THEN m / s * sqrt(n_paired) END', 4)} AS t_stat
+ FROM (SELECT max(CASE WHEN variant = 'full' THEN sharpe_ratio END) AS a, max(CASE WHEN variant = 'pruned' THEN sharpe_ratio END) AS b FROM vs), (SELECT count(d) AS n_paired, avg(d) AS m, stddev_samp(d) AS s FROM pd)""")
 def _(t):
-    return R.ablation(combo_stats(t), "combo_id", 0, 3)
+    """The model with all features against the one without its noise candidates, both scored on every row of one scan."""
+    def model(zero):
+        rest = [n for n in NAMES if n not in zero]
+        known = reduce(lambda a, b: a & b, [F.col(n).isNotNull() & ~F.isnan(n) for n in rest])
+        return F.when(known, reduce(lambda a, b: a + b, [F.lit(float(w)) * F.col(n) for n, w in MODEL.items() if n in rest]))
+
+    daily = V.model_series(_with_outcomes(t), {"full": model([]), "pruned": model(_NOISE)}, "y", TOP)
+    return with_scalars(R.ablation(V.series_statistics(daily), "variant", "full", "pruned"), V.paired_statistics(daily, "full", "pruned"))
 
 
 _SD = "CASE WHEN sa <> 0 AND sb <> 0 THEN sa - sb END"
+_SZW = f"""dw AS (SELECT date, count(*) AS n, sum(position_pct * ret) AS own_ret, sum(position_pct * alpha) AS own_alpha, avg(position_pct) * sum(ret) AS even_ret, avg(position_pct) * sum(alpha) AS even_alpha, greatest(sum(position_pct), 1e0) AS scale
+   FROM (SELECT date, position_pct, realized_return_pct / 100 AS ret, realized_alpha_pct / 100 AS alpha FROM {{trades}} WHERE action = 'ENTER' AND realized_return_pct IS NOT NULL AND realized_alpha_pct IS NOT NULL) GROUP BY 1),
+ dy AS (SELECT 'sized' AS variant, date, own_ret / scale AS ret, own_alpha / scale AS alpha, n FROM dw UNION ALL SELECT 'equal', date, even_ret / scale, even_alpha / scale, n FROM dw), {SERIES},
+ sz AS (SELECT vs.*, total_trades, total_alpha FROM vs JOIN (SELECT variant, sum(n)::BIGINT AS total_trades, {r('sum(alpha)')} AS total_alpha FROM dy GROUP BY 1) USING (variant))"""
+
+
+def sizing_stats(t):
+    """Statistics of the entries at their own sizes and at equal ones."""
+    entries = t.trades.filter("action = 'ENTER' AND realized_return_pct IS NOT NULL AND realized_alpha_pct IS NOT NULL")
+    daily = V.weighting_series(entries.select("date", (F.col("realized_return_pct") / 100).alias("ret"),
+                                              (F.col("realized_alpha_pct") / 100).alias("alpha"), F.col("position_pct").alias("weight")))
+    sums = daily.groupBy("variant").agg(F.sum("n").alias("total_trades"), rnd(F.sum("alpha"), 6).alias("total_alpha"))
+    return V.series_statistics(daily).join(sums, "variant")
+
+
+@query("weighting_statistics", f"WITH {_SZW} SELECT * FROM sz")
+def _(t):
+    return sizing_stats(t)
 
 
-@query("sizing_comparison", f"WITH {SWEEP} SELECT CASE WHEN least(ta, tb) < 50 THEN 'insufficient_data' ELSE 'ok' END AS status, {r(_SD, 3)} AS sharpe_diff, {r('ra - rb', 4)} AS return_diff, {r('aa - ab', 4)} AS alpha_diff, CASE WHEN {_SD} > 0.1e0 THEN 'sizing_helps' WHEN {_SD} < -0.1e0 THEN 'equal_weight_better' ELSE 'no_difference' END AS assessment FROM (SELECT "
-       + ", ".join(f"max(CASE WHEN combo_id = {k} THEN {c} END) AS {x}{n}" for n, k in (("a", 0), ("b", 5)) for x, c in (("t", "total_trades"), ("s", "sharpe_ratio"), ("r", "total_return"), ("a", "total_alpha"))) + " FROM cs)")
+@query("sizing_comparison", f"WITH {_SZW} SELECT CASE WHEN least(ta, tb) < 50 THEN 'insufficient_data' ELSE 'ok' END AS status, {r(_SD, 3)} AS sharpe_diff, {r('ra - rb', 4)} AS return_diff, {r('aa - ab', 4)} AS alpha_diff, CASE WHEN {_SD} > 0.1e0 THEN 'sizing_helps' WHEN {_SD} < -0.1e0 THEN 'equal_weight_better' ELSE 'no_difference' END AS assessment FROM (SELECT "
+       + ", ".join(f"max(CASE WHEN variant = '{k}' THEN {c} END) AS {x}{n}" for n, k in (("a", "sized"), ("b", "equal")) for x, c in (("t", "total_trades"), ("s", "sharpe_ratio"), ("r", "total_return"), ("a", "total_alpha"))) + " FROM sz)")
 def _(t):
-    return R.sizing_comparison(combo_stats(t), "combo_id", 0, 5)
+    return R.sizing_comparison(sizing_stats(t), "variant", "sized", "equal")
 
 
 # --- regression, alerts, decisions ------------------------------------------------------------------
 
-_BASE = "(SELECT max_by(acc, score_date) AS ba, max_by(sh, score_date) AS bs FROM (SELECT score_date, avg(beat_spy_10d) AS acc, avg(score) / 20 AS sh FROM {scored_signals} WHERE score_date < DATE '2000-01-01' GROUP BY 1))"
-_CURR = "(SELECT avg(beat_spy_10d) AS ca, avg(score) / 25 AS csh FROM {scored_signals} WHERE score_date >= DATE '2000-01-01')"
+_REG = f"""dy AS (SELECT CASE WHEN score_date < DATE '2000-01-01' THEN 'base' ELSE 'now' END AS variant, score_date AS date, coalesce(avg(return_10d), 0e0) / 100 AS ret FROM {{scored_signals}} WHERE return_10d IS NOT NULL GROUP BY 1, 2), {SERIES},
+ ac AS (SELECT avg(CASE WHEN score_date < DATE '2000-01-01' THEN beat_spy_10d END) AS ba, avg(CASE WHEN score_date >= DATE '2000-01-01' THEN beat_spy_10d END) AS ca FROM {{scored_signals}}),
+ sr AS (SELECT max(CASE WHEN variant = 'base' THEN sharpe_ratio END) AS bs, max(CASE WHEN variant = 'now' THEN sharpe_ratio END) AS csh FROM vs)"""
 
 
-@query("regression_check", f"SELECT true AS checked, {r('(ba - ca) * 100', 4)} AS accuracy_drop, {r('CASE WHEN bs > 0 THEN (bs - csh) / abs(bs) END', 4)} AS sharpe_drop_pct, coalesce((ba - ca) * 100 > 5, false) OR coalesce(bs > 0 AND (bs - csh) / abs(bs) > 0.2e0, false) AS regression_detected FROM {_CURR}, {_BASE}")
+@query("regression_check", f"WITH {_REG} SELECT true AS checked, {r('(ba - ca) * 100', 4)} AS accuracy_drop, {r('CASE WHEN bs > 0 THEN (bs - csh) / abs(bs) END', 4)} AS sharpe_drop_pct, coalesce((ba - ca) * 100 > 5, false) OR coalesce(bs > 0 AND (bs - csh) / abs(bs) > 0.2e0, false) AS regression_detected FROM ac, sr")
 def _(t):
-    daily = t.scored_signals.filter("score_date < DATE '2000-01-01'").groupBy("score_date").agg(
-        F.avg("beat_spy_10d").alias("accuracy_10d"), (F.avg("score") / 20).alias("sharpe_ratio"))
-    base = daily.agg(F.max_by(F.struct("accuracy_10d", "sharpe_ratio"), "score_date").alias("r")).select("r.*")
-    now = t.scored_signals.filter("score_date >= DATE '2000-01-01'").agg(
-        F.avg("beat_spy_10d").alias("accuracy_10d"), (F.avg("score") / 25).alias("sharpe_ratio"))
-    return R.regression_check(now, base)
+    """Accuracy and Sharpe ratio of the signals' daily mean return, before and since the turn of the year."""
+    period = F.when(F.col("score_date") < F.lit("2000-01-01").cast("date"), "base").otherwise("now")
+    s = t.scored_signals.select(period.alias("variant"), F.col("score_date").alias("date"), "return_10d", "beat_spy_10d")
+    daily = s.filter("return_10d IS NOT NULL").groupBy("variant", "date").agg((F.avg("return_10d") / 100).alias("ret"))
+    hits = s.groupBy("variant").agg(F.avg("beat_spy_10d").alias("accuracy_10d"))
+    row = V.series_statistics(daily).join(hits, "variant").select("variant", "accuracy_10d", "sharpe_ratio")
+    return R.regression_check(row.filter("variant = 'now'"), row.filter("variant = 'base'"))
 
 
 def triggers(t):
