@@ -3,20 +3,45 @@
 A window over a whole group puts that group into one task, and ``percentile``
 keeps every distinct value of a group in one buffer.  Both stop working when a
 group holds a large share of the rows.  Here values are first reduced to
-(group, value, count); the counts are cut into blocks at approximate quantiles
-(only the balance of the work depends on where the cuts fall, never the
-result); ranks are then offset of the block + rank inside the block.
+(group, value, count); the counts are cut into blocks (only the balance of the
+work depends on where the cuts fall, never the result); ranks are then offset
+of the block + rank inside the block.
+
+Blocks follow the data: COARSE approximate quantiles cut each group, and every
+value whose hash falls on one of SPLIT cuts its part again.  A group of n
+distinct values has about COARSE + n / SPLIT blocks of SPLIT values or fewer,
+whatever n is.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assay.functions.aggregates import pearson
 from assay.functions.frames import with_scalars
 
-BLOCKS = 64
+COARSE, SPLIT = 64, 1 << 17
+
+
+def _cut_columns(value: str) -> list[Column]:
+    """One row's worth of cuts: coarse quantiles, and the sampled splitters between each two of them."""
+    mark = F.when(F.pmod(F.xxhash64(value), F.lit(SPLIT)) == 0, F.col(value))
+    return [F.percentile_approx(value, [i / COARSE for i in range(1, COARSE)], 1000).alias("__cuts"),
+            F.sort_array(F.collect_set(mark)).alias("__marks")]
+
+
+def _with_parts(cuts: DataFrame) -> DataFrame:
+    """Splitters by coarse block, so that a row looks at its own part only."""
+    part = lambda b: F.filter("__marks", lambda m: F.size(F.filter("__cuts", lambda c: c < m)) == b)
+    empty = F.size("__marks") == 0
+    return cuts.withColumn("__parts", F.when(~empty, F.transform(F.sequence(F.lit(0), F.lit(COARSE)), part))).drop("__marks")
+
+
+def _block_of(value: Column) -> Column:
+    coarse = F.size(F.filter("__cuts", lambda c: c < value)).cast("long")
+    fine = F.size(F.filter(F.get("__parts", coarse.cast("int")), lambda m: m < value))
+    return coarse * (1 << 32) + F.when(F.col("__parts").isNotNull(), fine).otherwise(0)
 
 
 def _with_cuts(counts: DataFrame, cuts: DataFrame, groups: list[str]) -> DataFrame:
@@ -24,7 +49,7 @@ def _with_cuts(counts: DataFrame, cuts: DataFrame, groups: list[str]) -> DataFra
     return counts.join(cuts, groups) if groups else with_scalars(counts, cuts)
 
 
-def _blocked_counts(df: DataFrame, groups: list[str], value: str, blocks: int) -> tuple[DataFrame, DataFrame]:
+def _blocked_counts(df: DataFrame, groups: list[str], value: str) -> tuple[DataFrame, DataFrame]:
     """Counts per value with their block, and the offset of each block.
 
     Both results start from the same (groups, value, cnt) shuffle, which Spark
@@ -36,16 +61,9 @@ def _blocked_counts(df: DataFrame, groups: list[str], value: str, blocks: int) -
         .groupBy(*groups, value)
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
-    cuts = counts.groupBy(*groups).agg(
-        F.percentile_approx(value, [i / blocks for i in range(1, blocks)], 1000).alias("cuts"),
-        F.sum("cnt").alias("n"),
-    )
-    blocked = (
-        _with_cuts(counts, cuts, groups)
-        .withColumn("block", F.size(F.filter("cuts", lambda c: c < F.col(value))))
-        .drop("cuts")
-    )
-    # at most `blocks` rows per group from here on
+    cuts = _with_parts(counts.groupBy(*groups).agg(*_cut_columns(value), F.sum("cnt").alias("n")))
+    blocked = _with_cuts(counts, cuts, groups).withColumn("block", _block_of(F.col(value))).drop("__cuts", "__parts")
+    # one row per block from here on
     sizes = blocked.groupBy(*groups, "block", "n").agg(F.sum("cnt").alias("block_n"))
     earlier = (
         Window.partitionBy(*groups).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -61,7 +79,7 @@ def average_ranks(df: DataFrame, groups: list[str], value: str) -> DataFrame:
         Window.partitionBy(*keys, "block").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     )
     lower = F.col("before") + F.coalesce(F.sum("cnt").over(inside), F.lit(0))
-    blocked, offsets = _blocked_counts(df, keys, value, BLOCKS)
+    blocked, offsets = _blocked_counts(df, keys, value)
     return blocked.join(offsets, [*keys, "block"]).select(
         *groups, value, (lower + (F.col("cnt") + 1) / 2).alias("avg_rank"), "n"
     )
@@ -104,7 +122,7 @@ def exact_quantiles(
     Only the blocks that hold a wanted position are looked into.
     """
     keys = groups
-    blocked, offsets = _blocked_counts(df, keys, value, BLOCKS)
+    blocked, offsets = _blocked_counts(df, keys, value)
     inside = Window.partitionBy(*keys, "block").orderBy(value)
     wanted = (
         offsets.withColumn("p", F.explode(F.array(*[F.lit(float(x)) for x in probabilities])))
@@ -138,13 +156,14 @@ def exact_quantiles(
     )
 
 
-def numbered_by_id(df: DataFrame, id_col: str, out: str = "row_no", block: int = 1_000_000) -> DataFrame:
-    """Global 0-based row number in the order of a unique integer id.
+def numbered_by_id(df: DataFrame, id_col: str, out: str = "row_no") -> DataFrame:
+    """Global 0-based row number in the order of a unique id, dense or sparse.
 
-    A block spans ``block`` consecutive ids, so no task ever sees more rows
-    than that; the only single-task step adds up the block sizes.
+    Rows are cut into blocks of ids as above and numbered inside their block;
+    the only single-task step adds up the block sizes.
     """
-    d = df.withColumn("__blk", F.floor(F.col(id_col) / block))
+    cuts = _with_parts(df.agg(*_cut_columns(id_col)))
+    d = with_scalars(df, cuts).withColumn("__blk", _block_of(F.col(id_col))).drop("__cuts", "__parts")
     sizes = d.groupBy("__blk").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

@@ -244,14 +244,24 @@ def threshold_decision(selection: DataFrame, current: float, min_change: float =
     return selection.select(reason.isNull().alias("applied"), reason.alias("reason"), "recommended_threshold")
 
 
-def weight_reversals(history: DataFrame) -> DataFrame:
-    """Sub-scores whose weight turned direction between consecutive runs."""
-    w = Window.partitionBy("sub_score").orderBy("run_date")
-    step = F.col("weight") - F.lag("weight").over(w)
-    d = history.withColumn("step", rnd(step, 8)).withColumn("before", F.lag("step").over(w))
-    turned = F.coalesce(F.signum("step") * F.signum("before") < 0, F.lit(False))
-    return d.groupBy("sub_score").agg(F.count("*").alias("n_runs"), F.count_if(turned).alias("n_reversals")).withColumn(
-        "stable", F.col("n_reversals") == 0)
+def weight_stability(history: DataFrame, weeks: int = 3) -> DataFrame:
+    """(sub_score, run_date, weeks_loaded, n_reversals, stable): did a weight turn direction in the runs up to each run?
+
+    ``history``: (sub_score, run_date, weight), one row per run. A run looks back at the runs exactly one to ``weeks``
+    weeks before it; absent ones are skipped, so two neighbours may be two weeks apart. A step needs both weights; a
+    reversal is two steps after each other with different signs, neither of them zero. Every run is sent to the dates
+    that look back at it, so four rows at most meet per run and sub-score.
+    """
+    dates = history.select("sub_score", F.col("run_date").alias("seen_from"))
+    sent = history.withColumn("seen_from", F.explode(F.array(*[F.date_add("run_date", 7 * k) for k in range(weeks + 1)])))
+    runs = sent.join(dates, ["sub_score", "seen_from"], "left_semi").groupBy("sub_score", "seen_from").agg(
+        F.sort_array(F.collect_list(F.struct("run_date", "weight"))).alias("w"))
+    steps = F.zip_with(F.slice("w", 2, weeks + 1), F.slice("w", 1, F.size("w") - 1), lambda new, old: rnd(new["weight"] - old["weight"], 8))
+    d = runs.withColumn("s", F.array_compact(steps))
+    turns = F.zip_with(F.slice("s", 2, weeks), F.slice("s", 1, F.greatest(F.size("s") - 1, F.lit(0))), lambda new, old: new * old < 0)
+    n = F.size(F.filter(turns, lambda x: x))
+    return d.select("sub_score", F.col("seen_from").alias("run_date"), (F.size("w") - 1).alias("weeks_loaded"),
+                    n.alias("n_reversals"), (n == 0).alias("stable"))
 
 
 # --- parameter moves -----------------------------------------------------------------

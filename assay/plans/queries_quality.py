@@ -218,9 +218,19 @@ def _(t):
     return Q.sub_score_attribution(t.scored_signals, p_values=False)
 
 
-@query("sub_score_attribution")
+_COS = lambda lo, hi: (f"(({hi} - {lo}) / 200 / 3 * list_sum(list_transform(range(0, 201), lambda k: (CASE WHEN k = 0 OR k = 200 THEN 1e0 WHEN k % 2 = 1 THEN 4e0 ELSE 2e0 END)"
+                       f" * pow(greatest(cos({lo} + k * ({hi} - {lo}) / 200), 0e0), n - 3))))")
+
+
+@query("sub_score_attribution", f"""
+WITH z AS (SELECT * FROM {{scored_signals}} WHERE beat_spy_10d IS NOT NULL), x AS ({_ATTR}),
+k AS (SELECT *, CASE WHEN source <> 'predictor' THEN row_number() OVER (PARTITION BY target, source = 'predictor' ORDER BY coalesce(r, 0) DESC, source) END AS rank FROM x WHERE rows_analyzed >= 100),
+a AS (SELECT *, asin(least(abs(r), 1e0)) AS lo, least(pi() / 2, sqrt(60e0 / (n - 2))) AS u0, least(pi() / 2, sqrt(asin(least(abs(r), 1e0)) * asin(least(abs(r), 1e0)) + 60e0 / (n - 2))) AS u1 FROM k),
+p AS (SELECT rows_analyzed, source, target, r, n, rank, CASE WHEN r IS NOT NULL AND n >= 3 THEN CASE WHEN abs(r) >= 1 THEN 0e0 ELSE {r(f"least(1e0, {_COS('lo', 'u1')} / {_COS('0e0', 'u0')})", 4)} END END AS p_value FROM a),
+o AS (SELECT *, row_number() OVER (ORDER BY p_value NULLS LAST) AS j, count(p_value) OVER () AS m FROM p)
+SELECT rows_analyzed, source, target, r, n, rank, p_value, coalesce(p_value IS NOT NULL AND j <= max(CASE WHEN p_value <= j * 1e0 / m * 0.05e0 THEN j END) OVER (), false) AS fdr_significant FROM o""")
 def _(t):
-    """With Student-t p-values and the step-up correction (no SQL form: incomplete beta)."""
+    """With Student-t p-values and the step-up correction."""
     return Q.sub_score_attribution(t.scored_signals)
 
 

@@ -236,13 +236,16 @@ def _(t):
 _HIST = " UNION ALL ".join(f"SELECT '{s}' AS sub_score, score_date AS run_date, {r(f'avg({s}_score) / 100', 4)} AS weight FROM {{scored_signals}} WHERE date_diff('day', DATE '2001-06-29', score_date) % 7 = 0 GROUP BY score_date" for s in R.SUB_SCORES)
 
 
-@query("weight_reversals", f"""WITH h AS ({_HIST}), s AS (SELECT *, {r('weight - lag(weight) OVER (PARTITION BY sub_score ORDER BY run_date)', 8)} AS step FROM h), b AS (SELECT *, lag(step) OVER (PARTITION BY sub_score ORDER BY run_date) AS prev FROM s)
- SELECT sub_score, count(*) AS n_runs, count(CASE WHEN step * prev < 0 THEN 1 END) AS n_reversals, count(CASE WHEN step * prev < 0 THEN 1 END) = 0 AS stable FROM b GROUP BY 1""")
+@query("weight_reversals", f"""WITH h AS ({_HIST}),
+ j AS (SELECT c.sub_score, c.run_date, list(p.weight ORDER BY p.run_date) AS ws FROM h c JOIN h p ON p.sub_score = c.sub_score AND date_diff('day', p.run_date, c.run_date) IN (0, 7, 14, 21) GROUP BY 1, 2),
+ e AS (SELECT *, list_filter(list_transform(range(1, len(ws)), lambda i: {r('ws[i + 1] - ws[i]', 8)}), lambda x: x IS NOT NULL) AS ds FROM j),
+ n AS (SELECT *, CAST(len(list_filter(range(1, len(ds)), lambda i: ds[i] * ds[i + 1] < 0)) AS INT) AS n_reversals FROM e)
+ SELECT sub_score, CAST(run_date AS VARCHAR) AS run_date, CAST(len(ws) - 1 AS INT) AS weeks_loaded, n_reversals, n_reversals = 0 AS stable FROM n""")
 def _(t):
-    """Weights of all weekly runs."""
+    """Stability of the weights at each weekly run, over the runs one, two and three weeks before it."""
     days = t.scored_signals.filter("datediff(score_date, DATE '2001-06-29') % 7 = 0")
     h = days.groupBy(F.col("score_date").alias("run_date")).agg(*[rnd(F.avg(f"{s}_score") / 100, 4).alias(s) for s in R.SUB_SCORES])
-    return R.weight_reversals(h.unpivot("run_date", list(R.SUB_SCORES), "sub_score", "weight"))
+    return R.weight_stability(h.unpivot("run_date", list(R.SUB_SCORES), "sub_score", "weight"))
 
 
 # --- parameter moves ----------------------------------------------------------------------

@@ -281,10 +281,10 @@ FROM {{lineitem}} JOIN {{part}} ON l_partkey = p_partkey
 GROUP BY p_brand, CAST(l_shipdate AS DATE)
 """
 
-# Predicted alpha, a technical score to rank by, and what the next bar brought to a book that puts a twentieth into each.
+# Predicted alpha, a technical score to rank by, and what the next bar brought to a book that puts a 200th into each.
 VIEWS["brand_signals"] = f"""
 SELECT ticker, date, alpha, {r('(high - close) / close * 100', 6)} AS score,
-       {r('lead(close) OVER (PARTITION BY ticker ORDER BY date) / close / 20 - 0.05e0', 8)} AS fwd FROM {{brand_bars}}
+       {r('lead(close) OVER (PARTITION BY ticker ORDER BY date) / close / 200 - 0.005e0', 8)} AS fwd FROM {{brand_bars}}
 """
 
 # --- nested JSON documents, one per order ------------------------------------

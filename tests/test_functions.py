@@ -140,6 +140,30 @@ def test_numbered_by_id(spark):
     assert R.numbered_by_id(df, "id").select("row_no_total").distinct().collect()[0][0] == 6
 
 
+def test_blocks_grow_with_distinct_values(spark, monkeypatch):
+    """Values that are all distinct: more of them, more blocks; ranks stay exact."""
+    monkeypatch.setattr(R, "SPLIT", 16)
+    blocks = {}
+    for n in (500, 4000):
+        df = spark.range(n).select((F.col("id") * 7919 % n).alias("v"))
+        blocked, offsets = R._blocked_counts(df, [], "v")
+        blocks[n] = offsets.count()
+        assert offsets.agg(F.sum("block_n")).first()[0] == n
+        ranks = R.average_ranks(df, [], "v")
+        assert ranks.filter("avg_rank <> v + 1").count() == 0 and ranks.count() == n
+    assert blocks[4000] > 2 * blocks[500] > 0
+    assert blocks[4000] <= 65 + 4000 / 16 * 1.5
+
+
+def test_sparse_ids_need_few_blocks(spark):
+    df = spark.range(3000).select((F.col("id") * 10**12).alias("id"))
+    got = R.numbered_by_id(df, "id")
+    assert got.filter("row_no <> id / 1000000000000").count() == 0
+    cuts = R._with_parts(df.agg(*R._cut_columns("id")))
+    sizes = R.with_scalars(df, cuts).groupBy(R._block_of(F.col("id")).alias("b")).count().agg(F.count("*"), F.max("count")).first()
+    assert sizes[0] <= 70 and sizes[1] <= 3000 / 64 * 3
+
+
 def test_step_up_correction(spark):
     ps = [0.001, 0.02, 0.039, 0.041, 0.6, 0.02, None]
     df = spark.createDataFrame(list(enumerate(ps)), "i int, p double")
@@ -155,6 +179,11 @@ def test_pearson_p_value(spark):
     got = [r[0] for r in df.select(pearson_p_value("r", "n")).collect()]
     assert got[0] == pytest.approx(0.0247694, abs=1e-6) and got[1] == pytest.approx(1.0)
     assert got[2] == 0.0 and got[3] is None and got[4] is None
+    # one degree of freedom by hand; many rows against the normal tail
+    more = spark.createDataFrame([(0.6, 3), (0.002, 1_000_000), (0.0065, 100_000), (0.95, 200)], "r double, n int")
+    got = [r[0] for r in more.select(pearson_p_value("r", "n")).collect()]
+    assert got[0] == pytest.approx(1 - 2 / np.pi * np.arcsin(0.6), abs=1e-9)
+    assert got[1] == pytest.approx(0.0455003, abs=1e-5) and got[2] == pytest.approx(0.0398, abs=1e-4) and got[3] < 1e-12
 
 
 def test_rounding_passes_through_what_has_no_digits_left(spark):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from assay.functions import scalars as S
 from assay.operators import portfolio as PF
+from assay.operators import recommend as R
 from assay.operators import variants as V
 
 
@@ -138,3 +139,15 @@ def test_rounding_names_its_argument_once(spark):
     assert math.isnan(got[3]) and got[4] == math.inf and math.isclose(got[5], 1e17, rel_tol=1e-15) and got[6] is None
     plan = df.select(x.alias("x"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.splitlines()[0].count("v#") == 1
+
+
+def test_stability_looks_at_runs_exactly_weeks_before(table):
+    rows = [("q", "2024-01-01", 0.5), ("q", "2024-01-08", 0.6), ("q", "2024-01-15", 0.4), ("q", "2024-01-22", 0.4), ("q", "2024-01-29", 0.3),
+            ("q", "2024-02-12", 0.5), ("q", "2024-02-13", 0.9), ("q", "2024-02-19", None), ("q", "2024-02-26", 0.1)]
+    found = {str(x.run_date): (x.weeks_loaded, x.n_reversals, x.stable) for x in R.weight_stability(
+        table("sub_score string, run_date date, weight double", rows)).collect()}
+    assert found == {
+        "2024-01-01": (0, 0, True), "2024-01-08": (1, 0, True), "2024-01-15": (2, 1, False), "2024-01-22": (3, 1, False),
+        "2024-01-29": (3, 0, True),  # 0.6, 0.4, 0.4, 0.3: a zero step between two falls
+        "2024-02-12": (2, 1, False),  # 0.4, 0.3, 0.5: the run a week before is absent
+        "2024-02-13": (0, 0, True), "2024-02-19": (2, 0, True), "2024-02-26": (2, 0, True)}
