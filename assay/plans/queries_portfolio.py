@@ -134,7 +134,9 @@ def _(t):
 
 def path_nav(t):
     cal = calendar(t.market_state)
-    return t.kept("path_nav", lambda: PF.nav_history(PF.executed_orders(t.path_log), cal, t.market_state, CASH))
+    executed = t.kept("path_orders", lambda: PF.executed_orders(t.path_log.drop("position_pct", "exit_reason")).select(
+        "combo_id", "ticker", "date", "seq", "held_after", "cash_flow"))
+    return t.kept("path_nav", lambda: PF.nav_history(executed, cal, t.market_state, CASH))
 
 
 def combo_stats(t):
