@@ -20,3 +20,13 @@ def with_scalars(df: DataFrame, *rows: DataFrame) -> DataFrame:
         return left.withColumns({c: value[c] for c in row.columns})
 
     return reduce(add, rows, df)
+
+
+def with_status(counts: DataFrame, result: DataFrame, least: int, n: str = "n") -> DataFrame:
+    """One row whatever a sample gate says: ``status`` and ``n``, and the columns of the gated result or NULLs.
+
+    ``counts`` is the one row that the gate looks at, ``result`` the one row behind it, or none where the gate refused.
+    """
+    spine = counts.select(
+        F.when(F.col(n) >= least, "ok").otherwise("insufficient_data").alias("status"), F.col(n).alias("n_samples"))
+    return with_scalars(spine, result.select(*[c for c in result.columns if c not in ("status", "n_samples")]))

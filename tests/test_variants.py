@@ -10,6 +10,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from assay.functions import scalars as S
+from assay.functions.frames import with_status
 from assay.operators import portfolio as PF
 from assay.operators import recommend as R
 from assay.operators import variants as V
@@ -151,3 +152,9 @@ def test_stability_looks_at_runs_exactly_weeks_before(table):
         "2024-01-29": (3, 0, True),  # 0.6, 0.4, 0.4, 0.3: a zero step between two falls
         "2024-02-12": (2, 1, False),  # 0.4, 0.3, 0.5: the run a week before is absent
         "2024-02-13": (0, 0, True), "2024-02-19": (2, 0, True), "2024-02-26": (2, 0, True)}
+
+
+def test_a_refused_gate_still_answers(table):
+    counts, result = table("n bigint", [(7,)]), table("status string, x double", [("whatever", 2.5)])
+    assert tuple(with_status(counts, result, 5).first()) == ("ok", 7, 2.5)
+    assert tuple(with_status(counts, result.filter("false"), 8).first()) == ("insufficient_data", 7, None)
