@@ -63,7 +63,7 @@ ASSESSMENT = {"appropriate": 80.0, "too_tight": 45.0, "too_loose": 35.0, "neutra
 DIAGNOSIS = {"exits_well_timed": 85.0, "exits_could_improve": 55.0, "exits_too_early": 35.0}
 
 
-def metric_rows(df: DataFrame, component: str, metrics: dict[str, object], item=None) -> DataFrame:
+def metric_rows(df: DataFrame, component, metrics: dict[str, object], item=None) -> DataFrame:
     """Result columns (or column expressions) as metric rows."""
     pairs = F.explode(F.array(*[
         F.struct(F.lit(m).alias("metric"), (F.col(c) if isinstance(c, str) else c).cast("double").alias("value"))
@@ -79,26 +79,25 @@ def words(column: str, marks: dict[str, float]):
 
 
 def component_grades(metrics: DataFrame) -> DataFrame:
-    """(component, item, grade, letter): each metric through its rule, weighted mean of what is known."""
-    spark = metrics.sparkSession
-    rules = spark.createDataFrame(RULES, "component string, rule_set int, metric string, kind string, a double, b double, weight double")
-    needed = spark.createDataFrame([(c, m, len(ms)) for c, ms in NEEDED.items() for m in ms],
-                                   "component string, metric string, n_needed int")
-    known = metrics.filter(F.col("value").isNotNull())
-    have = known.join(F.broadcast(needed), ["component", "metric"]).groupBy("component", "item").agg(
-        (F.count("*") == F.max("n_needed")).alias("complete"))
-    picky = F.col("component").isin(*NEEDED)
-    use = F.when(picky & ~F.coalesce("complete", F.lit(False)), 2).otherwise(1)
+    """(component, item, grade, letter): each metric through its rule, weighted mean of what is known.
+
+    One aggregate: both rule sets of a component are summed side by side and the one that applies is chosen at the end,
+    so the metrics are read once.
+    """
+    rules = metrics.sparkSession.createDataFrame(
+        [(*rule, rule[1] == 1 and rule[2] in NEEDED.get(rule[0], []), len(NEEDED.get(rule[0], []))) for rule in RULES],
+        "component string, rule_set int, metric string, kind string, a double, b double, weight double, needed boolean, n_needed int")
     v, a, b = F.col("value"), F.col("a"), F.col("b")
     grade = (
         F.when(F.col("kind") == "pct", pct_grade(v, a, b)).when(F.col("kind") == "lift", lift_grade(v, a, b))
         .when(F.col("kind") == "line", clamp(a + v * b, 0, 100)).when(F.col("kind") == "ratio", ratio_grade(v, a))
         .otherwise(v))
-    d = known.join(F.broadcast(rules), ["component", "metric"]).join(have, ["component", "item"], "left")
-    rows = d.filter(F.col("rule_set") == use).withColumn("__g", grade).groupBy("component", "item").agg(
-        rnd(weighted_average("weight", "__g"), 6).alias("grade"))
-    everything = metrics.select("component", "item").distinct()
-    return everything.join(rows, ["component", "item"], "left").withColumn("letter", letter("grade"))
+    d = metrics.join(F.broadcast(rules), ["component", "metric"], "left").withColumn("__g", F.when(v.isNotNull(), grade))
+    mean = lambda n: weighted_average(F.when(F.col("rule_set") == n, F.col("weight")),
+                                      F.when(F.col("rule_set") == n, F.col("__g")))
+    complete = F.count_if(F.col("needed") & v.isNotNull()) >= F.coalesce(F.max("n_needed"), F.lit(0))
+    return d.groupBy("component", "item").agg(
+        rnd(F.when(complete, mean(1)).otherwise(mean(2)), 6).alias("grade")).withColumn("letter", letter("grade"))
 
 
 def component_means(grades: DataFrame) -> DataFrame:
@@ -106,28 +105,19 @@ def component_means(grades: DataFrame) -> DataFrame:
     return grades.groupBy("component").agg(F.avg("grade").alias("grade"))
 
 
-def as_values(means: DataFrame) -> DataFrame:
-    """The component means as literal rows: run now, one job per module.
-
-    There is at most one row per component of the rule table, about a dozen.
-    Left in one plan, the roll-up would be re-planned after every stage of every
-    component.
-    """
-    return means.sparkSession.createDataFrame(means.collect(), "component string, grade double")
-
-
 def scorecard(means: DataFrame) -> DataFrame:
-    """(level, name, grade, letter, status): components in modules, modules in the total."""
-    spark = means.sparkSession
-    weights = spark.createDataFrame([(m, c, w) for m, cs in MODULES.items() for c, w in cs.items()],
-                                    "module string, component string, weight double")
-    top = spark.createDataFrame(list(OVERALL.items()), "module string, weight double")
-    parts = weights.join(F.broadcast(means), "component", "left")  # a dozen rows
-    modules = parts.groupBy("module").agg(rnd(weighted_average("weight", "grade"), 6).alias("grade"))
-    total = top.join(F.broadcast(modules), "module", "left").agg(
-        rnd(weighted_average("weight", "grade"), 6).alias("grade"), F.count("grade").alias("n"))
-    status = F.when(F.col("n") == 0, "insufficient_data").when(F.col("n") < len(OVERALL), "partial").otherwise("ok")
-    none = F.lit(None).cast("string")
-    rows = modules.select(F.lit("module").alias("level"), F.col("module").alias("name"), "grade", none.alias("status")).unionByName(
-        total.select(F.lit("overall").alias("level"), F.lit("overall").alias("name"), "grade", status.alias("status")))
-    return rows.withColumn("letter", letter("grade"))
+    """(level, name, grade, letter, status): components in modules, modules in the total, one chain of aggregates."""
+    weights = means.sparkSession.createDataFrame(
+        [(m, OVERALL[m], c, w) for m, cs in MODULES.items() for c, w in cs.items()],
+        "module string, share double, component string, weight double")
+    parts = weights.join(F.broadcast(means), "component", "left")  # a row per component of the rule table at most
+    modules = parts.groupBy("module", "share").agg(rnd(weighted_average("weight", "grade"), 6).alias("grade"))
+    levels = F.explode(F.array(
+        F.struct(F.lit("module").alias("level"), F.col("module").alias("name")),
+        F.struct(F.lit("overall").alias("level"), F.lit("overall").alias("name")))).alias("x")
+    own, n = F.col("level") == "module", F.count("grade")
+    status = F.when(n == 0, "insufficient_data").when(n < len(OVERALL), "partial").otherwise("ok")
+    return modules.select(levels, "share", "grade").select("x.*", "share", "grade").groupBy("level", "name").agg(
+        F.when(own, F.max("grade")).otherwise(rnd(weighted_average("share", "grade"), 6)).alias("grade"),
+        F.when(~own, status).alias("status"),
+    ).withColumn("letter", letter("grade"))

@@ -136,33 +136,37 @@ def committee_vs_ranking(universe, committee) -> DataFrame:
 
     k differs per date.  Scores are first counted per (date, score), which keeps
     a crowded date small, and the score at which the k-th place falls is found
-    from those counts; only the rows tied at that score are ranked by ticker.
+    from those counts; rows above it are all taken, and rows tied at it are
+    ranked by ticker.
     """
     m = resolved_universe(universe).join(
-        committee.select(*KEYS, "cio_decision", "final_score"), KEYS)
-    advance = F.coalesce(F.col("cio_decision") == "ADVANCE", F.lit(False))
-    per_date = m.groupBy("eval_date").agg(
-        F.count_if(advance).alias("k"), F.avg(F.when(advance, F.col("return_5d"))).alias("cio_avg"),
-        F.count("final_score").alias("n_scored"),
-    ).filter((F.col("k") > 0) & (F.col("n_scored") > 0))
-    scores = m.filter(F.col("final_score").isNotNull()).groupBy("eval_date", "final_score").agg(
-        F.count("*").alias("cnt"))
-    above = Window.partitionBy("eval_date").orderBy(F.col("final_score").desc()) \
-        .rowsBetween(Window.unboundedPreceding, -1)
+        committee.select(*KEYS, "cio_decision", "final_score"), KEYS
+    ).select(*KEYS, "return_5d", "final_score", F.coalesce(F.col("cio_decision") == "ADVANCE", F.lit(False)).alias("advance"))
+    day = Window.partitionBy("eval_date")
+    above = day.orderBy(F.col("final_score").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     placed = (
-        scores.withColumn("above", F.coalesce(F.sum("cnt").over(above), F.lit(0)))
-        .join(per_date.select("eval_date", "k"), "eval_date")
-        .filter(F.col("above") < F.col("k"))
-        .withColumn("free", F.least(F.col("cnt"), F.col("k") - F.col("above")))
+        m.groupBy("eval_date", "final_score").agg(
+            F.count("*").alias("cnt"), F.count_if("advance").alias("picks"),
+            F.sum(F.when(F.col("advance"), F.col("return_5d"))).alias("pick_sum"))
+        .withColumns({"k": F.sum("picks").over(day), "pick_sum": F.sum("pick_sum").over(day),
+                      "above": F.coalesce(F.sum("cnt").over(above), F.lit(0))})
+        .filter(F.col("final_score").isNotNull() & (F.col("above") < F.col("k")))
+        .select("eval_date", F.col("final_score").alias("__score"), "k", (F.col("pick_sum") / F.col("k")).alias("cio_avg"),
+                F.least(F.col("cnt"), F.col("k") - F.col("above")).alias("free"), "cnt")
+    )
+    # null-safe, so that the rows of both uses of m are filtered alike and shuffled once
+    contenders = m.join(placed.withColumnRenamed("eval_date", "__day"), [
+        m["eval_date"].eqNullSafe(F.col("__day")), m["final_score"].eqNullSafe(F.col("__score"))])
+    # where all rows of a score are taken, each is ranked alone
+    alone = F.when(F.col("free") == F.col("cnt"), F.col("ticker"))
+    tied = Window.partitionBy("eval_date", "final_score", alone).orderBy("ticker")
+    dates = (
+        contenders.withColumn("__r", F.row_number().over(tied))
+        .filter((F.col("__r") <= F.col("free")) | alone.isNotNull())
+        .groupBy("eval_date").agg(
+            F.max("k").alias("k"), F.max("cio_avg").alias("cio_avg"),
+            F.avg("return_5d").alias("ranking_avg"), F.count_if("advance").alias("overlap"))
     )
-    contenders = m.join(placed, ["eval_date", "final_score"])
-    sure = contenders.filter(F.col("free") == F.col("cnt"))
-    tied = contenders.filter(F.col("free") < F.col("cnt"))
-    order = Window.partitionBy("eval_date", "final_score").orderBy("ticker")
-    tied = tied.withColumn("__r", F.row_number().over(order)).filter(F.col("__r") <= F.col("free")).drop("__r")
-    ranking = sure.unionByName(tied).groupBy("eval_date").agg(
-        F.avg("return_5d").alias("ranking_avg"), F.count_if(advance).alias("overlap"))
-    dates = per_date.join(ranking, "eval_date")
     row = dates.agg(
         rnd(F.avg("cio_avg"), 4).alias("cio_avg"), rnd(F.avg("ranking_avg"), 4).alias("ranking_avg"),
         rnd(F.avg("overlap"), 4).alias("avg_overlap"), F.count("*").alias("n_dates"),
@@ -221,30 +225,106 @@ def pipeline_lift(universe, executor_row: DataFrame, committee_row: DataFrame) -
                       rnd(F.col("traded_avg") - F.col("__u"), 4).alias("lift"))
 
 
+def stage_rows(universe, scanner=None, teams=None, committee=None, predictions=None, trades=None, blocked=None) -> DataFrame:
+    """One keyed union of the universe (stage ``universe``) and every stage given, each row with its outcome.
+
+    ``selected`` is the stage's choice, ``other`` its second one: rejected, DOWN, or traded for the executor.  All rows
+    of a (ticker, eval_date) meet in one shuffle; the outcome of the universe, one row per key, and whether the key was
+    traded are handed to them there.  Rows without a resolved outcome are dropped.
+    """
+    no = F.lit(False)
+
+    def part(df, name, selected=no, other=no, ticker="ticker", day="eval_date", **own):
+        return df.select(F.col(ticker).alias("ticker"), F.col(day).alias("eval_date"), F.lit(name).alias("stage"),
+                         F.coalesce(selected, no).alias("selected"), F.coalesce(other, no).alias("other"),
+                         *[F.col(c).alias(n) for n, c in own.items()])
+
+    c = F.col
+    outcome = ["return_5d", "beat_spy_5d", "beat_sector_5d", "sector"]
+    parts = [part(resolved_universe(universe), "universe", **{n: n for n in outcome})]
+    if scanner is not None:
+        parts.append(part(scanner, "scanner", c("quant_filter_pass") == 1))
+    if teams is not None:
+        parts.append(part(teams, "teams", c("team_recommended") == 1, team_id="team_id"))
+    if committee is not None:
+        parts.append(part(committee, "committee", c("cio_decision") == "ADVANCE", c("cio_decision") == "REJECT"))
+    if predictions is not None:
+        parts.append(part(predictions, "predictor", c("predicted_direction") == "UP", c("predicted_direction") == "DOWN",
+                          "symbol", "prediction_date"))
+    if trades is not None:
+        parts.append(part(trades.filter(c("action") == "ENTER"), "executor", F.lit(True), F.lit(True), day="date"))
+    if blocked is not None:
+        parts.append(part(blocked, "executor", day="date"))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    if teams is None:
+        rows = rows.withColumn("team_id", F.lit(None).cast("string"))
+    key = Window.partitionBy(*KEYS)
+    was_traded = F.max((c("stage") == "executor") & c("other")).over(key)
+    return rows.withColumns({
+        **{n: F.max(n).over(key) for n in outcome},
+        "selected": c("selected") | ((c("stage") == "executor") & was_traded)}).filter(c("return_5d").isNotNull())
+
+
+def stage_metrics(rows: DataFrame) -> DataFrame:
+    """(stage, team_id) with means, lifts, counts and rates; teams in a row each, other stages in one.
+
+    ``rows`` are aggregated once, per stage, team and sector; what a team's picks are held against, the stocks of the
+    picked sectors, is in the same small table.
+    """
+    c = F.col
+    outcome = F.when(c("stage") == "teams", c("beat_sector_5d")).otherwise(c("beat_spy_5d"))
+    cube = rows.groupBy("stage", "team_id", "sector").agg(
+        F.count("*").alias("rows"), F.sum("return_5d").alias("total"),
+        *[a for n in ("selected", "other") for a in (
+            F.count_if(n).alias(f"n_{n}"), F.sum(F.when(c(n), c("return_5d"))).alias(f"sum_{n}"))],
+        *_counts(c("selected"), outcome))
+    # from here on a row per stage, team and sector
+    sector = Window.partitionBy("sector")
+    universe = lambda n: F.max(F.when(c("stage") == "universe", c(n))).over(sector)
+    picked = (c("stage") == "teams") & (c("n_selected") > 0) & c("sector").isNotNull()
+    per_team = (
+        cube.withColumns({"sector_total": universe("total"), "sector_rows": universe("rows")})
+        .groupBy("stage", "team_id").agg(
+            *[F.sum(n).alias(n) for n in ("rows", "total", "n_selected", "sum_selected", "n_other", "sum_other", "tp", "fp", "fn", "tn")],
+            *[F.sum(F.when(picked, c(n))).alias(n) for n in ("sector_total", "sector_rows")])
+    )
+    mean = lambda s, n: F.try_divide(c(s), c(n))
+    executor = c("stage") == "executor"
+    per_team = binary_metrics(per_team).withColumns({
+        "__all": mean("total", "rows"), "__other": mean("sum_other", "n_other"),
+        "__mean": F.when(executor, mean("sum_other", "n_other")).otherwise(mean("sum_selected", "n_selected")),
+    }).withColumn("__base", F.when(c("stage") == "teams", mean("sector_total", "sector_rows")).otherwise(c("__all")))
+    return per_team.select(
+        "stage", "team_id", rnd("__mean", 4).alias("mean"), rnd("__base", 4).alias("baseline"), "__all",
+        rnd(c("__mean") - c("__base"), 4).alias("lift"), rnd(c("__mean") - c("__all"), 4).alias("lift_vs_all"),
+        (rnd("__mean", 4) - rnd("__other", 4)).alias("spread"),
+        F.when(executor, c("n_other")).otherwise(c("n_selected")).alias("n_selected"), c("rows").alias("n_rows"), *RATES)
+
+
 def lift_summary(universe, scanner, teams, committee, predictions, trades, blocked) -> DataFrame:
-    """One row per stage; teams appear with the mean over teams."""
-    def stage(df, name, mean, base, n):
-        return df.select(F.lit(name).alias("stage"), F.col(mean).alias("mean"), F.col(base).alias("baseline"),
-                         "lift", F.col(n).alias("n_selected"), "precision", "recall", "f1")
+    """One row per stage; teams appear with the mean over teams.
 
-    ex, cio = executor_lift(universe, trades, blocked), committee_lift(universe, committee)
+    All stages but the ranking are one pass (``stage_rows``); stages without a row keep theirs, with NULLs.
+    """
+    c = F.col
+    rates = ["precision", "recall", "f1"]
+    metrics = stage_metrics(stage_rows(universe, scanner, teams, committee, predictions, trades, blocked))
+    stages = metrics.groupBy("stage").agg(
+        *[rnd(F.avg(n), 4).alias(n) for n in ("mean", "baseline", "lift", *rates)],
+        F.max("__all").alias("__all"), F.sum("n_selected").alias("n_selected"))
+    names = ["scanner", "teams", "committee", "predictor", "executor", "pipeline"]
+    spine = universe.sparkSession.createDataFrame([(n,) for n in names], "name string")
+    source = F.when(c("name") == "pipeline", "universe").otherwise(c("name"))
+    rows = spine.join(F.broadcast(stages), source == c("stage"), "left")  # seven rows at most
+    of = lambda n: F.max(F.when(c("name") == n, c("mean"))).over(Window.partitionBy(F.lit(0)))
+    pipe = c("name") == "pipeline"
+    rows = rows.withColumn("mean", F.when(pipe, F.coalesce(of("executor"), of("committee"))).otherwise(c("mean"))).select(
+        c("name").alias("stage"), "mean", F.when(pipe, rnd("__all", 4)).otherwise(c("baseline")).alias("baseline"),
+        F.when(pipe, rnd(c("mean") - c("__all"), 4)).otherwise(c("lift")).alias("lift"),
+        F.when(c("name") == "teams", c("n_selected")).when(~pipe, F.coalesce("n_selected", F.lit(0))).alias("n_selected"),
+        *[F.when(~pipe, c(n)).alias(n) for n in rates])
     none = F.lit(None).cast("double")
-    team = team_lift(universe, teams).agg(
-        rnd(F.avg("pick_avg"), 4).alias("pick_avg"), rnd(F.avg("sector_avg"), 4).alias("sector_avg"),
-        rnd(F.avg("lift"), 4).alias("lift"), F.sum("n_picks").alias("n_picks"),
-        rnd(F.avg("precision"), 4).alias("precision"), rnd(F.avg("recall"), 4).alias("recall"),
-        rnd(F.avg("f1"), 4).alias("f1"))
-    rank = committee_vs_ranking(universe, committee).withColumns(
-        {"precision": none, "recall": none, "f1": none})
-    pipe = pipeline_lift(universe, ex, cio).withColumns(
-        {"precision": none, "recall": none, "f1": none, "n": F.lit(None).cast("bigint")})
-    parts = [
-        stage(scanner_lift(universe, scanner), "scanner", "passing_avg", "universe_avg", "n_passing"),
-        stage(team, "teams", "pick_avg", "sector_avg", "n_picks"),
-        stage(cio, "committee", "advance_avg", "all_recs_avg", "n_advance"),
-        stage(rank, "committee_vs_ranking", "cio_avg", "ranking_avg", "n_picks"),
-        stage(predictor_lift(universe, predictions), "predictor", "up_avg", "all_avg", "n_up"),
-        stage(ex, "executor", "traded_avg", "approved_avg", "n_traded"),
-        stage(pipe, "pipeline", "traded_avg", "universe_avg", "n"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    rank = committee_vs_ranking(universe, committee).select(
+        F.lit("committee_vs_ranking").alias("stage"), c("cio_avg").alias("mean"), c("ranking_avg").alias("baseline"),
+        "lift", c("n_picks").alias("n_selected"), *[none.alias(n) for n in rates])
+    return rows.unionByName(rank)

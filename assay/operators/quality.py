@@ -226,55 +226,56 @@ def score_calibration(signals: DataFrame, macro: DataFrame, horizon: str = "10d"
     """Quantile bins of the score with their outcome, make-up and a monotonic flag.
 
     Edges are exact interpolated quantiles, bins are right-closed, equal edges
-    collapse.  The edges are one row, attached as a scalar.
+    collapse.  The edges are one row, attached as a scalar.  ``macro`` has one row
+    per date.
     """
     ret, spy = f"return_{horizon}", f"spy_{horizon}_return"
-    sub = (
-        with_regime(signals, macro)
-        .filter(F.col("score").isNotNull() & F.col(ret).isNotNull() & F.col(spy).isNotNull())
-        .withColumn("alpha", F.col(ret) - F.col(spy))
-    )
+    sub = signals.filter(
+        F.col("score").isNotNull() & F.col(ret).isNotNull() & F.col(spy).isNotNull()
+    ).withColumn("alpha", F.col(ret) - F.col(spy))
     probs = [i / n_buckets for i in range(n_buckets + 1)]
     edges = (
         exact_quantiles(sub, [], "score", probs)
         .agg(F.array_sort(F.collect_set("quantile")).alias("edges"))  # n_buckets + 1 values
     )
     binned = (
-        with_scalars(sub, edges)
+        with_scalars(with_regime(sub, macro), edges)
         # edges strictly below the score; the lowest score belongs to the first bin
         .withColumn("bin", F.greatest(F.size(F.filter("edges", lambda e: e < F.col("score"))), F.lit(1)))
         .withColumn("score_low", F.element_at("edges", F.col("bin")))
         .withColumn("score_high", F.element_at("edges", F.col("bin") + 1))
     )
     keys = ["bin", "score_low", "score_high"]
-    stats = binned.groupBy(*keys).agg(
-        F.count("*").alias("n"), rnd(F.avg("score"), 4).alias("avg_score"),
-        rnd(F.avg("alpha"), 2).alias("avg_alpha"),
-        rnd(F.avg(F.when(F.col("alpha") > 0, 1.0).otherwise(0.0)), 4).alias("beat_spy_pct"),
-        F.min("score_date").alias("first_date"), F.max("score_date").alias("last_date"),
-    )
-    # one pass counts every (bin, dimension, value); distinct and top values come from these counts
-    dims = {"date": F.col("score_date").cast("string"), "symbol": F.col("symbol"), "sector": F.col("sector"),
-            "regime": F.col("market_regime")}
+    # one pass counts every (bin, dimension, value), the bin itself being a dimension of one value;
+    # means, distinct and top values all come from these counts
+    dims = {"all": F.lit(""), "date": F.col("score_date").cast("string"), "symbol": F.col("symbol"),
+            "sector": F.col("sector"), "regime": F.col("market_regime")}
     pairs = F.explode(F.array(*[F.struct(F.lit(d).alias("dim"), c.alias("value")) for d, c in dims.items()])).alias("x")
-    counts = binned.select("bin", pairs).select("bin", "x.dim", "x.value").filter(F.col("value").isNotNull()).groupBy(
-        "bin", "dim", "value").agg(F.count("*").alias("cnt"))
-    distinct = counts.groupBy("bin").agg(
-        F.count_if(F.col("dim") == "date").alias("n_unique_dates"), F.count_if(F.col("dim") == "symbol").alias("n_unique_tickers"))
-    ranked = top_counts(counts.filter(F.col("dim").isin("sector", "regime")), ["bin", "dim"], "value")
+    counts = (
+        binned.select(*keys, "score", "alpha", "score_date", pairs)
+        .select(*keys, "score", "alpha", "score_date", "x.*").filter(F.col("value").isNotNull())
+        .groupBy(*keys, "dim", "value").agg(
+            F.count("*").alias("cnt"), F.avg("score").alias("score"), F.avg("alpha").alias("alpha"),
+            F.avg(F.when(F.col("alpha") > 0, 1.0).otherwise(0.0)).alias("beat"),
+            F.min("score_date").alias("first_date"), F.max("score_date").alias("last_date"))
+    )
+    # only sectors and regimes are ranked; every other value stands alone
+    alone = F.when(~F.col("dim").isin("sector", "regime"), F.col("value"))
+    ranked = top_counts(counts.withColumn("alone", alone), [*keys, "dim", "alone"], "value")
+    of = lambda c: F.max(F.when(F.col("dim") == "all", F.col(c)))
 
     def listed(chosen: Column) -> Column:
         """The labels of the chosen rows in order of rank; NULL without any."""
         both = F.array_sort(F.collect_list(F.when(chosen, F.struct("rank", "label"))))
         return F.nullif(F.concat_ws(", ", F.transform(both, lambda x: x["label"])), F.lit(""))
 
-    top = ranked.groupBy("bin").agg(
+    rows = ranked.groupBy(*keys).agg(
+        of("cnt").alias("n"), rnd(of("score"), 4).alias("avg_score"), rnd(of("alpha"), 2).alias("avg_alpha"),
+        rnd(of("beat"), 4).alias("beat_spy_pct"), of("first_date").alias("first_date"), of("last_date").alias("last_date"),
+        F.count_if(F.col("dim") == "date").alias("n_unique_dates"), F.count_if(F.col("dim") == "symbol").alias("n_unique_tickers"),
         listed((F.col("dim") == "sector") & (F.col("rank") <= 3)).alias("top_sectors"),
-        listed(F.col("dim") == "regime").alias("regime_breakdown"))
-    rows = (
-        stats.filter(F.col("n") >= min_per_bucket)
-        .join(distinct, "bin").join(top, "bin", "left")
-    )
+        listed(F.col("dim") == "regime").alias("regime_breakdown"),
+    ).filter(F.col("n") >= min_per_bucket)
     everything = Window.partitionBy(F.lit(0))  # n_buckets rows
     falls = F.col("avg_alpha") < F.lag("avg_alpha").over(everything.orderBy("bin"))
     total = F.sum("n").over(everything)

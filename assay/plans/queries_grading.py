@@ -30,16 +30,19 @@ def research_metrics(t) -> DataFrame:
     overall = Q.overall_accuracy(s).filter("status = 'ok'")
     top = Q.accuracy_by_bucket(s).filter("bucket = '90+'")
     mono = Q.score_calibration(s, t.macro_snapshots).agg(F.max("monotonic").alias("m"))
-    cio = L.committee_lift(u, t.cio_evaluations).filter("n_advance >= 3")
+    # three stages in one pass; a component gets its metrics by its own stage, and teams a set each
+    stages = L.stage_metrics(L.stage_rows(u, t.scanner_evaluations, t.team_candidates, t.cio_evaluations))
+    stages = stages.filter("stage = 'scanner' or (stage in ('teams', 'committee') and n_selected >= 3)").withColumns({
+        "component": F.when(F.col("stage") == "teams", "team").otherwise(F.col("stage")),
+        "item": F.when(F.col("stage") == "teams", F.col("team_id")).otherwise("")})
+    own = lambda stage, column: F.when(F.col("stage") == stage, F.col(column))
     m = G.metric_rows
     return _union([
-        m(L.scanner_lift(u, t.scanner_evaluations), "scanner", {"precision": "precision", "recall": "recall", "lift": "lift"}),
+        m(stages, F.col("component"), {"precision": "precision", "recall": "recall", "lift": "lift",
+                                       "lift_vs_quant": own("teams", "lift_vs_all"),
+                                       "rejection_spread": own("committee", "spread")}, "item"),
         m(leak, "scanner", {"leakage": "leakage_rate"}),
-        m(L.team_lift(u, t.team_candidates).filter("n_picks >= 3"), "team",
-          {"precision": "precision", "recall": "recall", "lift": "lift", "lift_vs_quant": "lift_vs_quant"}, "team_id"),
         m(P.macro_evaluation(t.cio_evaluations, u), "macro", {"accuracy_lift": "accuracy_lift", "alpha_lift": "alpha_lift"}),
-        m(cio, "committee", {"precision": "precision", "recall": "recall", "lift": "lift",
-                             "rejection_spread": F.col("advance_avg") - F.col("reject_avg")}),
         m(L.committee_vs_ranking(u, t.cio_evaluations), "committee", {"ranking_lift": "lift"}),
         m(overall, "composite", {"accuracy_10d": "accuracy_10d"}), m(top, "composite", {"top_accuracy": "accuracy_10d"}),
         m(mono, "composite", {"monotonic": F.when(F.col("m"), 90.0).when(~F.col("m"), 40.0)}),
@@ -167,9 +170,8 @@ def _wavg(g: str, w: str) -> str:
  SELECT *, {_LETTER} AS letter FROM (SELECT 'module' AS level, module AS name, grade, NULL AS status FROM md UNION ALL SELECT 'overall', 'overall', grade, CASE WHEN n = 0 THEN 'insufficient_data' WHEN n < 3 THEN 'partial' ELSE 'ok' END FROM ov)""")
 def _(t):
     """Every component, rolled up to modules and to one overall grade."""
-    means = [G.as_values(G.component_means(G.component_grades(m(t))))
-             for m in (research_metrics, predictor_metrics, executor_metrics)]
-    return G.scorecard(_union(means))
+    metrics = _union([m(t) for m in (research_metrics, predictor_metrics, executor_metrics)])
+    return G.scorecard(G.component_means(G.component_grades(metrics)))
 
 
 @query("letter_grades", f"SELECT o_orderkey, grade, {_LETTER} AS letter FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE {r('o_totalprice % 10000 / 100e0', 4)} END AS grade FROM {{orders}})")
