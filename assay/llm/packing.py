@@ -235,7 +235,9 @@ def pack(
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
     pieces = keep(rows.mapInArrow(lambda it: _cut(shipped.value, window, largest_piece, with_ids, it), schema))
     groups = max(1, round(pieces.count() / group_pieces))
-    deal = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens"), F.lit(groups)).cast("long")
+    # equal pieces (any number of null or repeated rows) are told apart by their place in the written table
+    place = F.monotonically_increasing_id()
+    deal = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens", place), F.lit(groups)).cast("long")
     return (
         pieces.withColumn("grp", deal).groupBy("grp")
         .applyInArrow(lambda key, group: _pack(window, key, group), schema + ", sequence_id long, offset long")

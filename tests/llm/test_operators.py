@@ -272,6 +272,13 @@ def test_copies_in_a_chunk_send_their_prints_once():
     assert sent([one, None, *[two, one.upper(), one] * 20, ""]) == want
 
 
+def test_equal_pieces_are_dealt_over_all_groups(spark):
+    docs = spark.range(4000).selectExpr("cast(null as long) as doc_id", "cast(null as string) as text")
+    groups = packing.pack(docs, tokenizer_path(), group_pieces=100).selectExpr("sequence_id >> 32 as grp", "length").groupBy("grp").count().collect()
+    assert sum(g["count"] for g in groups) == 4000
+    assert len(groups) == 40 and max(g["count"] for g in groups) < 200
+
+
 def test_packing(docs, rows):
     from tokenizers import Tokenizer
 
