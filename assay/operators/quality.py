@@ -221,6 +221,16 @@ def alpha_summary(signals: DataFrame, horizons=HORIZONS, min_samples: int = 5) -
     return stats.join(median, "horizon").filter(F.col("n") >= min_samples)
 
 
+def alpha_summary_status(signals: DataFrame, horizons=HORIZONS, min_samples: int = 5) -> DataFrame:
+    """One row per horizon whatever the gate says: status, n_samples, and the summary or NULLs."""
+    spine = signals.sparkSession.createDataFrame([(h,) for h in horizons], "horizon string")
+    summary = alpha_summary(signals, horizons, 0)
+    enough, n = F.col("n") >= min_samples, F.coalesce("n", F.lit(0))
+    return spine.join(summary, "horizon", "left").select(
+        "horizon", F.when(enough, "ok").otherwise("insufficient_data").alias("status"), n.alias("n_samples"),
+        *[F.when(enough, F.col(c)).alias(c) for c in summary.columns if c not in ("horizon", "n")])
+
+
 def score_calibration(signals: DataFrame, macro: DataFrame, horizon: str = "10d",
                       n_buckets: int = 5, min_per_bucket: int = 3) -> DataFrame:
     """Quantile bins of the score with their outcome, make-up and a monotonic flag.

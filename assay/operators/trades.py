@@ -118,6 +118,15 @@ def trigger_scorecard(trades: DataFrame, min_trades: int = 3) -> DataFrame:
     )
 
 
+def trigger_scorecard_status(trades: DataFrame, min_trades: int = 3) -> DataFrame:
+    """The scorecard with a row for every trigger: below the gate its status says so and its figures are NULL."""
+    card = trigger_scorecard(trades, 0)
+    enough = (F.col("trigger") == "(all)") | (F.col("n_trades") >= min_trades)
+    return card.select(
+        "trigger", F.when(enough, "ok").otherwise("insufficient_data").alias("status"), "n_trades",
+        *[F.when(enough, F.col(c)).alias(c) for c in card.columns if c not in ("trigger", "n_trades")])
+
+
 def post_trade_by_trigger(trades: DataFrame, min_trades: int = 3) -> DataFrame:
     return (
         entries(trades)

@@ -299,46 +299,46 @@ def _(t):
 
 # --- gates that refuse still answer -----------------------------------------------
 
-_NEVER = 1_000_000_000
+NEVER = 1_000_000_000
 
 
-def _gates(name: str, counts: str, metrics: list[str], least: int) -> str:
+def gates(name: str, counts: str, metrics: list[str], least: int) -> str:
     """The gate as it is set, and one that no table passes: a row each, from the plain oracle of the result."""
     return " UNION ALL ".join(
-        f"SELECT {k} AS least, CASE WHEN n >= {k} THEN 'ok' ELSE 'insufficient_data' END AS status, n AS n_samples, "
-        + ", ".join(f"CASE WHEN n >= {k} THEN CAST({m} AS DOUBLE) END AS {m}" for m in metrics)
-        + f" FROM ({counts}) LEFT JOIN ({ORACLES[name]}) ON true" for k in (least, _NEVER))
+        f"SELECT {k} AS least, CASE WHEN g.n >= {k} THEN 'ok' ELSE 'insufficient_data' END AS status, g.n AS n_samples, "
+        + ", ".join(f"CASE WHEN g.n >= {k} THEN CAST({m} AS DOUBLE) END AS {m}" for m in metrics)
+        + f" FROM ({counts}) g LEFT JOIN ({ORACLES[name]}) ON true" for k in (least, NEVER))
 
 
-def _both(counts, build, metrics, least):
+def both(counts, build, metrics, least):
     one = lambda k: with_status(counts, build(k).select(*[F.col(m).cast("double").alias(m) for m in metrics]), k).select(
         F.lit(k).alias("least"), "status", "n_samples", *metrics)
-    return one(least).unionByName(one(_NEVER))
+    return one(least).unionByName(one(NEVER))
 
 
 _HEALTH = ["rolling_ic", "hit_rate", "ic_ratio"]
 
 
-@query("production_health_gate", _gates("production_health", f"SELECT count(*) AS n FROM {recent_sql(120)}", _HEALTH, 10))
+@query("production_health_gate", gates("production_health", f"SELECT count(*) AS n FROM {recent_sql(120)}", _HEALTH, 10))
 def _(t):
     counts = P.recent_resolved(t.predictor_outcomes, ASOF, 120).agg(F.count("*").alias("n"))
-    return _both(counts, lambda k: P.production_health(t.predictor_outcomes, ASOF, training_ic=0.3, lookback_days=120, min_samples=k), _HEALTH, 10)
+    return both(counts, lambda k: P.production_health(t.predictor_outcomes, ASOF, training_ic=0.3, lookback_days=120, min_samples=k), _HEALTH, 10)
 
 
 _SIZING = ["overall_rank_ic", "recent_mean_ic", "sizing_lift"]
 
 
-@query("predictor_sizing_gate", _gates("predictor_sizing", "SELECT count(*) AS n FROM {predictor_outcomes} WHERE p_up IS NOT NULL AND actual_5d_return IS NOT NULL", _SIZING, 30))
+@query("predictor_sizing_gate", gates("predictor_sizing", "SELECT count(*) AS n FROM {predictor_outcomes} WHERE p_up IS NOT NULL AND actual_5d_return IS NOT NULL", _SIZING, 30))
 def _(t):
     counts = t.predictor_outcomes.filter("p_up IS NOT NULL AND actual_5d_return IS NOT NULL").agg(F.count("*").alias("n"))
-    return _both(counts, lambda k: P.predictor_sizing(t.predictor_outcomes, min_samples=k), _SIZING, 30)
+    return both(counts, lambda k: P.predictor_sizing(t.predictor_outcomes, min_samples=k), _SIZING, 30)
 
 
 _MACRO = ["with_accuracy", "without_accuracy", "accuracy_lift"]
 
 
-@query("macro_evaluation_gate", _gates("macro_evaluation", "SELECT count(*) AS n FROM {cio_evaluations} c JOIN {universe_returns} u ON u.ticker = c.ticker AND u.eval_date = c.eval_date WHERE combined_score IS NOT NULL AND final_score IS NOT NULL AND return_5d IS NOT NULL", _MACRO, 10))
+@query("macro_evaluation_gate", gates("macro_evaluation", "SELECT count(*) AS n FROM {cio_evaluations} c JOIN {universe_returns} u ON u.ticker = c.ticker AND u.eval_date = c.eval_date WHERE combined_score IS NOT NULL AND final_score IS NOT NULL AND return_5d IS NOT NULL", _MACRO, 10))
 def _(t):
     counts = t.cio_evaluations.filter("combined_score IS NOT NULL AND final_score IS NOT NULL").join(
         t.universe_returns.filter("return_5d IS NOT NULL"), ["ticker", "eval_date"]).agg(F.count("*").alias("n"))
-    return _both(counts, lambda k: P.macro_evaluation(t.cio_evaluations, t.universe_returns, min_samples=k), _MACRO, 10)
+    return both(counts, lambda k: P.macro_evaluation(t.cio_evaluations, t.universe_returns, min_samples=k), _MACRO, 10)
