@@ -183,8 +183,8 @@ def alphas(signals: DataFrame, horizons=HORIZONS) -> DataFrame:
     return signals.select(pairs).select("x.*").filter(F.col("alpha").isNotNull())
 
 
-def alpha_distribution(signals: DataFrame, horizons=HORIZONS, min_samples: int = 5) -> DataFrame:
-    """Count, share and mean per alpha bucket and horizon; empty buckets stay."""
+def _alpha_buckets(signals: DataFrame, horizons) -> DataFrame:
+    """A row per horizon and bucket, empty ones too, with the rows of the horizon in ``__n`` (NULL without any)."""
     long = alphas(signals, horizons)
     counts = long.withColumn("bucket", bucket_right_open("alpha", ALPHA_BUCKETS)) \
         .groupBy("horizon", "bucket").agg(F.count("*").alias("cnt"), F.avg("alpha").alias("mean"))
@@ -197,16 +197,28 @@ def alpha_distribution(signals: DataFrame, horizons=HORIZONS, min_samples: int =
     return (
         spine.join(F.broadcast(counts), ["horizon", "bucket"], "left")  # 6 rows per horizon
         .withColumn("__n", total)
-        .filter(F.col("__n") >= min_samples)
         .select(
             "horizon", "bucket_no", "bucket",
             F.coalesce("cnt", F.lit(0)).alias("count"),
             rnd(ratio(F.coalesce("cnt", F.lit(0)), F.col("__n")), 4).alias("pct"),
-            rnd("mean", 4).alias("avg_alpha"),
+            rnd("mean", 4).alias("avg_alpha"), "__n",
         )
     )
 
 
+def alpha_distribution(signals: DataFrame, horizons=HORIZONS, min_samples: int = 5) -> DataFrame:
+    """Count, share and mean per alpha bucket and horizon; empty buckets stay."""
+    return _alpha_buckets(signals, horizons).filter(F.col("__n") >= min_samples).drop("__n")
+
+
+def alpha_distribution_status(signals: DataFrame, horizons=HORIZONS, min_samples: int = 5) -> DataFrame:
+    """A row per horizon and bucket whatever the gate says: status, n_samples, and the bucket's figures or NULLs."""
+    n = F.coalesce("__n", F.lit(0))
+    return _alpha_buckets(signals, horizons).select(
+        "horizon", "bucket_no", "bucket", F.when(n >= min_samples, "ok").otherwise("insufficient_data").alias("status"),
+        n.alias("n_samples"), *[F.when(n >= min_samples, F.col(c)).alias(c) for c in ("count", "pct", "avg_alpha")])
+
+
 def alpha_summary(signals: DataFrame, horizons=HORIZONS, min_samples: int = 5) -> DataFrame:
     long = alphas(signals, horizons)
     stats = long.groupBy("horizon").agg(

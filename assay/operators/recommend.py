@@ -316,16 +316,26 @@ def merge_parameters(existing: DataFrame, updates: DataFrame, run_date: str, rea
 # --- triggers, teams, committee --------------------------------------------------------
 
 def trigger_actions(scorecard: DataFrame, min_trades: int = 50, worst_alpha: float = -0.005, worst_win: float = 0.40,
-                    fallback: str = "time_expiry") -> DataFrame:
-    """Keep or disable each trigger; the fallback survives when all others would go."""
+                    fallback: str = "time_expiry", worst_slippage_bps: float = 20) -> DataFrame:
+    """Keep or disable each trigger, with the reasons in a fixed order; the fallback survives when all others would go.
+
+    Slippage against the open (percent in the scorecard, where it has the column) is a reason, but disables nothing.
+    """
     d = scorecard.filter(F.col("trigger") != "(all)")
     judged = F.col("n_trades") >= min_trades
-    poor = F.coalesce(F.col("avg_realized_alpha") < worst_alpha, F.lit(False)) | F.coalesce(
-        F.col("win_rate_vs_spy") < worst_win, F.lit(False))
-    d = d.withColumn("__off", judged & poor)
+    loses = F.coalesce(F.col("avg_realized_alpha") < worst_alpha, F.lit(False))
+    fails = F.coalesce(F.col("win_rate_vs_spy") < worst_win, F.lit(False))
+    slips = F.col("avg_slippage_vs_open") * 100 > worst_slippage_bps if "avg_slippage_vs_open" in d.columns else F.lit(False)
+    d = d.withColumn("__off", judged & (loses | fails))
     every = F.count_if("__off").over(_all()) >= F.count_if(judged).over(_all())
-    off = F.col("__off") & ~((F.col("trigger") == fallback) & every)
-    return d.select("trigger", "n_trades", judged.alias("evaluated"), F.when(off, "disable").otherwise("keep").alias("action"))
+    spared = F.col("__off") & (F.col("trigger") == fallback) & every
+    found = F.array_compact(F.array(*(F.when(c, name) for c, name in (
+        (loses, "negative_alpha"), (slips, "high_slippage"), (fails, "low_win_rate")))))
+    return d.select(
+        "trigger", "n_trades", judged.alias("evaluated"), F.when(F.col("__off") & ~spared, "disable").otherwise("keep").alias("action"),
+        F.when(~judged, F.array(F.lit("insufficient_data"))).when(spared, F.array(F.lit("preserved_as_fallback")))
+        .otherwise(found).alias("reasons"),
+        rnd(F.when(judged, F.col("avg_realized_alpha")), 4).alias("avg_alpha"), rnd(F.when(judged, F.col("win_rate_vs_spy")), 3).alias("win_rate"))
 
 
 def _enough_dates(df: DataFrame, dates: DataFrame, min_dates: int, verdicts: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from assay.operators import quality as Q
 from assay.operators import trades as TR
 from assay.plans.queries_predictor import NEVER, both, gates
+from assay.plans.queries_quality import ALPHA_SPINE
 from assay.plans.queries_trades import TIMED, timed
 from assay.plans.registry import ORACLES, query
 
@@ -41,6 +42,21 @@ def _(t):
     return one(5).unionByName(one(NEVER))
 
 
+_BUCKET = ["count", "pct", "avg_alpha"]
+
+
+@query("alpha_distribution_gate", " UNION ALL ".join(
+    f"SELECT {k} AS least, s.horizon, b.bucket_no, b.bucket, CASE WHEN coalesce(n.n, 0) >= {k} THEN 'ok' ELSE 'insufficient_data' END AS status, "
+    "coalesce(n.n, 0) AS n_samples, " + ", ".join(f"CASE WHEN n.n >= {k} THEN d.{m} END AS {m}" for m in _BUCKET)
+    + " FROM (VALUES " + ", ".join(f"('{h}')" for h in Q.HORIZONS) + f") s(horizon) CROSS JOIN {ALPHA_SPINE} "
+    f"LEFT JOIN (SELECT horizon, n FROM ({ORACLES['alpha_summary']})) n ON n.horizon = s.horizon "
+    f"LEFT JOIN ({ORACLES['alpha_distribution']}) d ON d.horizon = s.horizon AND d.bucket_no = b.bucket_no"
+    for k in (5, NEVER)))
+def _(t):
+    one = lambda k: Q.alpha_distribution_status(t.scored_signals, min_samples=k).select(F.lit(k).alias("least"), "*")
+    return one(5).unionByName(one(NEVER))
+
+
 _TRIGGER = ["avg_slippage_vs_signal", "avg_realized_alpha", "win_rate_vs_spy", "precision"]
 
 

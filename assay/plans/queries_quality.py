@@ -150,14 +150,14 @@ def _(t):
 _ALPHA = " UNION ALL ".join(
     f"SELECT '{h}' AS horizon, return_{h} - spy_{h}_return AS alpha FROM {{scored_signals}} WHERE return_{h} IS NOT NULL AND spy_{h}_return IS NOT NULL"
     for h in Q.HORIZONS)
-_ALPHA_SPINE = "(VALUES (0, '<-5%', -1e300, -5e0), (1, '-5% to -2%', -5e0, -2e0), (2, '-2% to 0%', -2e0, 0e0), (3, '0% to +2%', 0e0, 2e0), (4, '+2% to +5%', 2e0, 5e0), (5, '>+5%', 5e0, 1e300)) b(bucket_no, bucket, lo, hi)"
+ALPHA_SPINE = "(VALUES (0, '<-5%', -1e300, -5e0), (1, '-5% to -2%', -5e0, -2e0), (2, '-2% to 0%', -2e0, 0e0), (3, '0% to +2%', 0e0, 2e0), (4, '+2% to +5%', 2e0, 5e0), (5, '>+5%', 5e0, 1e300)) b(bucket_no, bucket, lo, hi)"
 
 
 @query("alpha_distribution", f"""
 WITH a AS ({_ALPHA}), n AS (SELECT horizon, count(*) AS n FROM a GROUP BY 1)
 SELECT n.horizon, b.bucket_no, b.bucket, count(a.alpha) AS count, {r('count(a.alpha) * 1e0 / max(n.n)', 4)} AS pct,
        {r('avg(a.alpha)', 4)} AS avg_alpha
-FROM n CROSS JOIN {_ALPHA_SPINE} LEFT JOIN a ON a.horizon = n.horizon AND a.alpha >= b.lo AND a.alpha < b.hi
+FROM n CROSS JOIN {ALPHA_SPINE} LEFT JOIN a ON a.horizon = n.horizon AND a.alpha >= b.lo AND a.alpha < b.hi
 GROUP BY 1, 2, 3""")
 def _(t):
     return Q.alpha_distribution(t.scored_signals)

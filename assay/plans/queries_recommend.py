@@ -311,10 +311,17 @@ def _(t):
 _TS = f"(SELECT {category_sql('trigger_type', ENTRY_TRIGGERS)} AS trigger, {_SCORE} FROM {_ENT} GROUP BY 1 HAVING count(*) >= 3)"
 
 
-@query("trigger_recommendation", f"""SELECT trigger, n_trades, ev AS evaluated, CASE WHEN bad AND NOT (trigger = 'time_expiry' AND count(CASE WHEN bad THEN 1 END) OVER () >= count(CASE WHEN ev THEN 1 END) OVER ()) THEN 'disable' ELSE 'keep' END AS action
- FROM (SELECT *, n_trades >= 50 AS ev, n_trades >= 50 AND (coalesce(avg_realized_alpha < -0.005e0, false) OR coalesce(win_rate_vs_spy < 0.4e0, false)) AS bad FROM {_TS})""")
+_LOSES, _FAILS = "coalesce(avg_realized_alpha < -0.005e0, false)", "coalesce(win_rate_vs_spy < 0.4e0, false)"
+
+
+@query("trigger_recommendation", f"""SELECT trigger, n_trades, ev AS evaluated, CASE WHEN bad AND NOT spared THEN 'disable' ELSE 'keep' END AS action,
+  CASE WHEN NOT ev THEN 'insufficient_data' WHEN spared THEN 'preserved_as_fallback' ELSE concat_ws('; ', CASE WHEN {_LOSES} THEN 'negative_alpha' END,
+    CASE WHEN avg_slippage_vs_open * 100 > 20 THEN 'high_slippage' END, CASE WHEN {_FAILS} THEN 'low_win_rate' END) END AS reasons,
+  CASE WHEN ev THEN {r('avg_realized_alpha', 4)} END AS avg_alpha, CASE WHEN ev THEN {r('win_rate_vs_spy', 3)} END AS win_rate
+ FROM (SELECT *, bad AND trigger = 'time_expiry' AND count(CASE WHEN bad THEN 1 END) OVER () >= count(CASE WHEN ev THEN 1 END) OVER () AS spared
+  FROM (SELECT *, n_trades >= 50 AS ev, n_trades >= 50 AND ({_LOSES} OR {_FAILS}) AS bad FROM {_TS}))""")
 def _(t):
-    return R.trigger_actions(TR.trigger_scorecard(t.trades))
+    return R.trigger_actions(TR.trigger_scorecard(t.trades)).withColumn("reasons", F.array_join("reasons", "; "))
 
 
 _SLOT = "(SELECT concat('team_', CAST(s_suppkey % 6 AS VARCHAR)) AS team_id, CAST(1 + max(s_suppkey) % 5 AS BIGINT) AS slots FROM {supplier} WHERE s_suppkey % 6 <> 5 GROUP BY 1)"

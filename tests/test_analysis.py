@@ -211,6 +211,19 @@ def test_trigger_fallback_survives(table):
     assert rows(R.trigger_actions(t).select("trigger", "action")) == [("other", "keep"), ("time_expiry", "keep"), ("vwap", "disable")]
 
 
+def test_trigger_reasons(table):
+    ddl = "trigger string, n_trades long, avg_realized_alpha double, win_rate_vs_spy double, avg_slippage_vs_open double"
+    t = table(ddl, [("a", 60, -0.01, 0.3, 0.21), ("b", 60, None, 0.5, 0.2), ("c", 49, -9.0, 0.0, 9.0), ("d", 50, -0.005, 0.4, None),
+                    ("time_expiry", 60, 0.123456, 0.39, 0.3)])
+    got = {r["trigger"]: (r["action"], r["reasons"], r["avg_alpha"], r["win_rate"]) for r in R.trigger_actions(t).collect()}
+    assert got == {
+        "a": ("disable", ["negative_alpha", "high_slippage", "low_win_rate"], -0.01, 0.3), "b": ("keep", [], None, 0.5),
+        "c": ("keep", ["insufficient_data"], None, None), "d": ("keep", [], -0.005, 0.4),
+        "time_expiry": ("disable", ["high_slippage", "low_win_rate"], 0.1235, 0.39)}
+    alone = R.trigger_actions(t.filter("trigger = 'time_expiry'")).first()
+    assert (alone["action"], alone["reasons"]) == ("keep", ["preserved_as_fallback"])
+
+
 def test_regression_needs_a_baseline(table):
     ddl = "accuracy_10d double, sharpe_ratio double"
     now = table(ddl, [(0.5, 1.0)])
