@@ -78,6 +78,22 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
+#: A key is hot if more than one in so many rows has it; so there are fewer hot keys than this number.
+HOT_KEYS = 4096
+
+
+def join_hot(rows: DataFrame, table: DataFrame, on: list[str], size: str, total: int, how: str = "inner") -> DataFrame:
+    """Join of rows with a table of one row per key; `size` is the weight of the key's rows, `total` at least their sum.
+
+    Hot keys are fewer than HOT_KEYS whatever the input, so these are broadcast and their rows stay where they are; the
+    others are shuffled, where no key brings a task more than one in HOT_KEYS of all rows. `how` is inner or left. Rows
+    with a null key have no partner. Both sides are read twice: give them as kept tables, or narrow ones.
+    """
+    hot, cold = (table.where(c) for c in (F.col(size) * HOT_KEYS > total, F.col(size) * HOT_KEYS <= total))
+    rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(cold, on, how)
+    return rows.join(F.broadcast(hot), on).unionByName(rest)
+
+
 def words_of(text: Column) -> Column:
     """Array of the words of a text (null: none)."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WHITE), lambda w: w != "")

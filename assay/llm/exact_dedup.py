@@ -4,7 +4,8 @@ Every partition builds counting quotient filters of its 64-bit text fingerprints
 block, and a block holds sorted remainders with their counts. Filters of all partitions merge block by block by their
 sorted remainders, without loss, into one count per fingerprint. A fingerprint counted once has no copy, so its text
 never moves again. Texts of the others go to byte verification: they are grouped by the bytes themselves, with partial
-counts on the map side, so a group of any number of copies travels as one row per partition.
+counts on the map side, so a group of any number of copies travels as one row per partition. Rows meet the results of
+their group where they are if the group is large: there are few large groups, and those are broadcast.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, keep, power_of_two
+from .common import WHITE, join_hot, keep, power_of_two
 
 FILTER_ROWS = 1 << 20
 FILTER = pa.schema([("block", pa.int64()), ("remainders", pa.binary()), ("counts", pa.binary())])
@@ -84,24 +85,23 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "doc_id", F.monotonically_increasing_id().alias("row"), print_.alias("print"),
         F.sha2("norm", 256).alias("text_sha256"), F.octet_length("norm").cast("long").alias("text_size"),
     ))
-    repeated = keep(repeated_fingerprints(rows.select("print"), rows.count()))
+    total = rows.count()
+    repeated = keep(repeated_fingerprints(rows.select("print"), total))
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"))
-    groups = (
-        base.withColumn("print", print_).join(repeated.select("print"), "print")
-        .groupBy("print", "norm").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("size"))
+    copies = keep(
+        join_hot(base.withColumn("print", print_), repeated, ["print"], "copies", total)
+        .groupBy("print", "norm").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1")
         .select("print", F.sha2("norm", 256).alias("text_sha256"), F.col("first.doc_id").alias("first_id"), "size")
     )
-    groups = keep(groups)
     # Rows that share text and smallest id: the first of them stays.
+    same = ["print", "text_sha256"]
     stay = (
-        rows.join(groups.where("size > 1"), ["print", "text_sha256"])
-        .where(F.col("doc_id").eqNullSafe(F.col("first_id")))
-        .groupBy("print", "text_sha256").agg(F.min("row").alias("stay"))
+        join_hot(rows, copies, same, "size", total).where(F.col("doc_id").eqNullSafe(F.col("first_id")))
+        .groupBy(*same).agg(F.min("row").alias("stay"))
     )
-    groups = groups.join(stay, ["print", "text_sha256"], "left")
-    size = F.coalesce("size", F.lit(1))
-    return rows.join(groups, ["print", "text_sha256"], "left").select(
-        "doc_id", F.when(size > 1, F.col("first_id")).otherwise(F.col("doc_id")).alias("keep_id"),
-        size.cast("long").alias("group_size"),
+    copies = keep(copies.join(stay, same, "left"))
+    return join_hot(rows, copies, same, "size", total, "left").select(
+        "doc_id", F.when(F.col("size").isNotNull(), F.col("first_id")).otherwise(F.col("doc_id")).alias("keep_id"),
+        F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
         F.coalesce(F.col("row") == F.col("stay"), F.lit(True)).alias("kept"), "text_sha256", "text_size",
     )

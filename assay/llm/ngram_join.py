@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import (
-    KEY_BYTES, Words, byte_slices, chunks, index_keys, keep, keyed, mix, postings, power_of_two, raw, runs, span_hashes,
+    KEY_BYTES, Words, byte_slices, chunks, index_keys, join_hot, keep, keyed, mix, postings, power_of_two, raw, runs, span_hashes,
     text_bytes, unpack,
 )
 from .components import components
@@ -298,8 +298,9 @@ def _tasks(members: DataFrame) -> DataFrame:
     for name, shift, step in (("below", F.lag, -1), ("above", F.lead, 1)):
         beside = shift("level").over(by_level) == F.col("level") + step
         near[name] = F.coalesce(F.when(beside, shift("blocks").over(by_level)), F.lit(0))
-    sizes = keep(sizes.withColumns(near).select(F.col("family").alias("f"), F.col("level").alias("l"), "blocks", "below", "above", "whole"))
-    m = members.join(sizes, (F.col("family") == F.col("f")) & (F.col("level") == F.col("l")))
+    sizes = keep(sizes.withColumns(near).select("family", "level", "grams_here", "blocks", "below", "above", "whole"))
+    total = sizes.agg(F.sum("grams_here")).first()[0] or 0
+    m = join_hot(members, sizes, ["family", "level"], "grams_here", total)
     groups = power_of_two((sizes.where(F.col("whole") <= BLOCK_GRAMS).agg(F.sum(F.col("whole") / F.col("blocks"))).first()[0] or 0) / BLOCK_GRAMS)
     small = m.where(F.col("whole") <= BLOCK_GRAMS).select(
         F.concat(F.lit("g"), F.pmod(F.xxhash64("family"), F.lit(groups)).cast("string")).alias("task"),
@@ -337,7 +338,8 @@ def near_duplicates(
         lambda it: _postings(width, similarity, shards, it), "shard long, keys binary, owner binary, prints binary")
     stars = packed.groupBy("shard").applyInArrow(_candidates, "a binary, b binary")
     nodes = table.where("node is not null").groupBy("node").agg(
-        F.min(F.struct("doc_key", "text_key")).alias("best"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+        F.min(F.struct("doc_key", "text_key")).alias("best"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
+        F.count(F.lit(1)).alias("copies"))
     size_class = F.floor(F.log(F.col("n").cast("double")) / levels(similarity, np.ones(1))[1]).cast("long")
     named = nodes.select("node", "n", size_class.alias("level"), "best.doc_key", "best.text_key", F.col("sketch").alias("payload"))
 
@@ -350,12 +352,13 @@ def near_duplicates(
     members = rows.select("doc_key", "text_key", "text").join(wanted, ["doc_key", "text_key"]).select("family", "node", "level", "n", "text")
     members = keep(members.mapInArrow(lambda it: _with_sets(width, it), "family binary, node binary, level long, n long, payload binary"))
     roots = keep(components(links(members, _sets_linked)))
-    named = nodes.join(roots, "node", "left").select("node", "best", F.coalesce("root", "node").alias("root"))
-    best = named.groupBy("root").agg(F.min("best").alias("least"))
-    final = named.join(best, "root").select("node", "least")
+    rooted = keep(nodes.join(roots, "node", "left").select("node", "best", "copies", F.coalesce("root", "node").alias("root")))
+    best = keep(rooted.groupBy("root").agg(F.min("best").alias("least"), F.count(F.lit(1)).alias("nodes")))
+    total = table.count()
+    final = keep(join_hot(rooted, best, ["root"], "nodes", total).select("node", "least", "copies"))
     own = F.struct("doc_key", "text_key")
     least = F.coalesce("least", own)
-    return table.join(final, "node", "left").select(
+    return join_hot(table, final, ["node"], "copies", total, "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("least").isNull(), F.col("doc_id")).otherwise(F.nullif(F.col("least.doc_key"), F.lit(2**63 - 1))).alias("component_id"),
         "text_key", (own == least).alias("first"))

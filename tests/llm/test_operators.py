@@ -18,7 +18,7 @@ from assay.llm import (
     exact_dedup, language, license_scan, mixing, ngram_join, packing, quality_model, quality_rules, substring_dedup,
     suffix_dedup,
 )
-from assay.llm.common import unpack
+from assay.llm.common import join_hot, unpack
 from assay.llm.components import components
 from assay.llm.license_rules import STEMS, rules
 from assay.llm.queries import tokenizer_path
@@ -255,6 +255,28 @@ def test_components(spark):
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 103: 100}
 
 
+def test_components_with_hubs(spark):
+    """A star of 9,000 nodes, a chain and many pairs: the hub is hot, the pairs are not."""
+    hub = 20_000
+    edges = [(hub, i) for i in range(9_000)] + [(30_000 + i, 30_001 + i) for i in range(9)]
+    edges += [(40_000 + 2 * i, 40_001 + 2 * i) for i in range(9_000)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = {hub: 0} | {i: 0 for i in range(9_000)} | {30_000 + i: 30_000 for i in range(10)}
+    assert got == want | {40_000 + i: 40_000 + i - i % 2 for i in range(18_000)}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_keys_join_as_others(spark, how):
+    keys = [None] * 50 + [7] * 3000 + list(range(100, 5100))
+    rows = spark.createDataFrame(list(enumerate(keys)), "i long, k long")
+    table = rows.where("k is not null and k <> 105").groupBy("k").agg(F.count("*").alias("size"))
+    joined = join_hot(rows, table, ["k"], "size", len(keys), how)
+    want = rows.join(table, "k", how)
+    assert joined.columns == want.columns and found(joined, *want.columns) == found(want, *want.columns)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 2
+
+
 def test_copies_in_a_chunk_send_their_prints_once():
     one, two = " ".join(f"w{i}" for i in range(80)), " ".join(f"w{i}" for i in range(1, 81))
 
